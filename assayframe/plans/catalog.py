@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import rule_queries, validation_queries  # noqa: F401
+from . import rule_queries, text_queries, validation_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
