@@ -38,8 +38,10 @@ def gate_summary(df: DataFrame) -> DataFrame:
     def occurrences(test):
         return F.coalesce(F.sum(F.size(F.filter(issues, test))), F.lit(0))
 
-    counters = [occurrences(lambda i, k=kind: i["type"] == k).alias(name)
-                for name, kind in fv.GATE_COUNTERS]
+    def of_kind(kind):
+        return occurrences(lambda i: i["type"] == kind)
+
+    counters = [of_kind(kind).alias(name) for name, kind in fv.GATE_COUNTERS]
     return df.agg(
         F.count("*").alias("records_checked"), *counters,
         occurrences(lambda i: i["type"].startswith("RA_")).alias("total_ra_issues"),

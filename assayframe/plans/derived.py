@@ -40,7 +40,11 @@ def _pick(values, index):
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return records_of(table(spark, sf_dir, "orders"))
+
+
+def records_of(o: DataFrame) -> DataFrame:
+    """Records of orders, batch or stream."""
     k, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     day = F.col("o_orderdate").cast("date")
     shift = k % 15 - 1

@@ -33,15 +33,22 @@ def inject_faults(df: DataFrame, key: str, faults: Sequence[Fault], rate: float
     names = F.array(*[F.lit(f.name) for f in faults])
     out = df.withColumn("fault", F.when(chance < int(rate * 2 ** 32), F.get(
         names, (pick % len(faults)).cast("int"))))
-    changed: dict[str, Column] = {}
+    # One CASE per column or struct field, so that expressions grow with the faults only.
+    cases: dict[str, dict[str, Column]] = {}
     for fault in faults:
         for path, value in fault.changes.items():
-            top, _, inner = path.partition(".")
-            dtype = df.schema[top].dataType
-            now = changed.get(top, F.col(top))
-            new = now.withField(inner, value.cast(dtype[inner].dataType)) if inner \
-                else value.cast(dtype)
-            changed[top] = F.when(F.col("fault") == fault.name, new).otherwise(now)
+            cases.setdefault(path, {})[fault.name] = value
+    changed: dict[str, Column] = {}
+    for path, values in cases.items():
+        top, _, inner = path.partition(".")
+        dtype = df.schema[top].dataType
+        case = None
+        for name, value in values.items():
+            test = F.col("fault") == name
+            new = value.cast(dtype[inner].dataType if inner else dtype)
+            case = F.when(test, new) if case is None else case.when(test, new)
+        case = case.otherwise(F.col(path))
+        changed[top] = changed.get(top, F.col(top)).withField(inner, case) if inner else case
     return out.withColumns(changed)
 
 

@@ -90,7 +90,7 @@ def main(argv):
                 n = queries[name](spark, sf_dir).count()
                 problem = None if n else "no rows"
         except Exception as ex:
-            problem = f"{type(ex).__name__}: {str(ex)[:1500]}"
+            problem = f"{type(ex).__name__}: {str(ex)[:700]}"
         bad += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.2f}s"
               + (f"\n  {problem}" if problem else ""), flush=True)
