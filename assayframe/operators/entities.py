@@ -27,9 +27,10 @@ def _entity(text, category, kind, score, begin, end, trait=None, normalized=None
 
 def _keyword(text, lowered, keyword, category, kind, score, trait=None, normalized=None) -> Column:
     position = F.instr(lowered, keyword.lower())
-    return F.when(position > 0, _entity(
+    return F.when(position > 0, F.array(_entity(
         F.substring(text, position, F.lit(len(keyword))), category, kind, score, position - 1,
-        position - 1 + len(keyword), trait, normalized))
+        position - 1 + len(keyword), trait, normalized).cast(ENTITY))
+    ).otherwise(F.array().cast(f"array<{ENTITY}>"))
 
 
 def all_matches(text: Column, pattern: str) -> Column:
@@ -72,8 +73,7 @@ def with_entities(df: DataFrame, text: str, into: str = "entities",
     none = F.array().cast("array<struct<text:string,begin:int,end:int>>")
     with_dates = F.when(source.rlike(java_pattern(date_pattern)),
                         all_matches(source, date_pattern)).otherwise(none)
-    everything = F.concat(F.array_compact(F.array(*keywords)).cast(f"array<{ENTITY}>"),
-                          dates.cast(f"array<{ENTITY}>"))
+    everything = F.concat(*keywords, dates.cast(f"array<{ENTITY}>"))
     return (df.withColumn("_lowered", F.lower(source)).withColumn("_dates", with_dates)
             .withColumn(into, F.transform(everything, lambda e, i: e.withField("id", i)))
             .drop("_lowered", "_dates"))

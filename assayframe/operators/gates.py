@@ -1,7 +1,9 @@
 """Text gates over notes, the relevance score, redaction and gate routing.
 
-The work is split in two projections: ``text_signals`` reads the text once per pattern
-and keeps numbers and short arrays; issues, score and routing are built from those.
+The work is split in two projections: ``with_signals`` reads the text once per pattern
+and keeps numbers and short arrays; issues, score and routing are built from those. The
+signals are columns of their own and not one struct, because the optimizer inlines a
+struct into every place that reads a field of it, and would search the text again there.
 """
 
 from __future__ import annotations
@@ -11,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as fv
-from ..functions.predicates import SPACE, WORD, java_pattern, word_count
-from .issues import ISSUE_TYPE, issue, keep_issues
+from ..functions.patterns import by_first_letter
+from ..functions.predicates import SPACE, java_pattern, word_count
+from .issues import ISSUES, found, issue
 
 
 @dataclass(frozen=True)
@@ -47,8 +50,10 @@ _FULL_SENTENCE = (rf"(?<![^.!?{SPACE}])[^.!?{SPACE}]++[{SPACE}]++[^.!?{SPACE}]++
                   r"[^.!?" + SPACE + r"]++[^.!?]*+")
 
 
-def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract_all(text, F.lit(java_pattern(pattern, True)), F.lit(group))
+def find_words(text: Column, pattern: str, group: int = 1) -> Column:
+    """All matches of a list of words, whatever their case."""
+    return F.regexp_extract_all(text, F.lit(java_pattern(by_first_letter(pattern), True)),
+                                F.lit(group))
 
 
 def _has_phi(text: Column, phi: PhiPattern) -> Column:
@@ -56,22 +61,38 @@ def _has_phi(text: Column, phi: PhiPattern) -> Column:
     return F.contains(text, F.lit(phi.needs)) & found if phi.needs else found
 
 
-def text_signals(note: Column, patterns: GatePatterns = GatePatterns()) -> Column:
-    """Everything the gates and the score need to know about a note, as one struct."""
+SIGNAL = "_signal_"
+
+
+def text_signals(note: Column, patterns: GatePatterns = GatePatterns()) -> dict[str, Column]:
+    """Everything the gates and the score need to know about a note."""
     text = F.coalesce(note, F.lit(""))
-    return F.struct(
-        word_count(text).alias("words"),
-        F.length(text).alias("chars"),
-        F.length(F.regexp_replace(text, rf"[^\p{{L}}{SPACE}]+", "")).alias("letters"),
-        _found(text, patterns.profanity).alias("profanity"),
-        F.array_compact(F.array(*[F.when(_has_phi(text, p), p.name) for p in patterns.phi]))
-        .alias("phi"),
-        F.size(F.array_distinct(_found(text, patterns.terms))).alias("distinct_terms"),
-        _found(text, patterns.bias).alias("bias"),
-        F.size(_found(text, patterns.sections)).alias("sections"),
-        F.regexp_count(text, F.lit(_FULL_SENTENCE)).alias("full_sentences"),
-        (F.regexp_count(text, F.lit("[.!?]+")) + 1).alias("sentences"),
-    )
+    return {
+        "words": word_count(text),
+        "chars": F.length(text),
+        "letters": F.length(F.regexp_replace(text, rf"[^\p{{L}}{SPACE}]+", "")),
+        "profanity": find_words(text, patterns.profanity),
+        "phi": F.concat(*[F.when(_has_phi(text, p), F.array(F.lit(p.name))).otherwise(
+            F.array().cast("array<string>")) for p in patterns.phi]),
+        "distinct_terms": F.size(F.array_distinct(find_words(text, patterns.terms))),
+        "bias": find_words(text, patterns.bias),
+        "sections": F.size(find_words(text, patterns.sections)),
+        "full_sentences": F.regexp_count(text, F.lit(_FULL_SENTENCE)),
+        "sentences": F.regexp_count(text, F.lit("[.!?]+")) + 1,
+    }
+
+
+def with_signals(df: DataFrame, note: str, patterns: GatePatterns = GatePatterns()) -> DataFrame:
+    signals = text_signals(F.col(note), patterns)
+    return df.withColumns({SIGNAL + name: signal for name, signal in signals.items()})
+
+
+def drop_signals(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(SIGNAL)])
+
+
+def _signal(name: str) -> Column:
+    return F.col(SIGNAL + name)
 
 
 def _listed(found: Column) -> Column:
@@ -81,19 +102,19 @@ def _listed(found: Column) -> Column:
     return F.concat(F.lit("['"), F.array_join(first, "', '"), F.lit("']"))
 
 
-def gate_issues(signals: Column, record_id: Column) -> Column:
-    """The issues of one note, in the order of the checks."""
-    s = signals.getField
+def gate_issues(record_id: Column) -> Column:
+    """The issues of a note with signals, in the order of the checks."""
+    s = _signal
     words = s("words")
     rid = F.coalesce(record_id.cast("string"), F.lit("unknown"))
 
     def gate(cond, kind, severity, message, value=None):
-        return F.when(cond, issue(kind, "clinical_note", severity, F.concat(
-            *[F.lit(m) if isinstance(m, str) else m for m in message]), value))
+        return found((cond, issue(kind, "clinical_note", severity, F.concat(
+            *[F.lit(m) if isinstance(m, str) else m for m in message]), value)))
 
     profane = s("profanity")
     ratio = F.try_divide(s("letters"), s("chars"))
-    checks = F.array(
+    checks = F.concat(
         gate(F.size(profane) > 0, "RA_PROFANITY", "ERROR",
              ["Profanity/inappropriate language detected in note for record ", rid, ": ",
               F.size(profane).cast("string"),
@@ -130,12 +151,13 @@ def gate_issues(signals: Column, record_id: Column) -> Column:
     )
     empty = F.array(issue("RA_EMPTY_NOTE", "clinical_note", "WARNING",
                           F.lit("Clinical note is empty — no content to send to FM")))
-    return F.when(words == 0, empty).otherwise(keep_issues(checks)).cast(f"array<{ISSUE_TYPE}>")
+    return F.when(words == 0, empty.cast(ISSUES)).otherwise(checks)
 
 
-def relevance_score(signals: Column) -> Column:
-    """0 to 100: length, term density, section headings and complete sentences."""
-    s = signals.getField
+def relevance_score() -> Column:
+    """0 to 100 for a note with signals: length, term density, section headings and
+    complete sentences."""
+    s = _signal
     words = s("words")
 
     def capped(value):
@@ -151,11 +173,9 @@ def relevance_score(signals: Column) -> Column:
 def with_gates(df: DataFrame, note: str, record_id: str,
                patterns: GatePatterns = GatePatterns()) -> DataFrame:
     """Adds ``gate_issues`` and ``relevance_score``."""
-    signals = F.col("_signals")
-    return (df.withColumn("_signals", text_signals(F.col(note), patterns))
-            .withColumn("gate_issues", gate_issues(signals, F.col(record_id)))
-            .withColumn("relevance_score", relevance_score(signals))
-            .drop("_signals"))
+    return drop_signals(with_signals(df, note, patterns)
+                        .withColumn("gate_issues", gate_issues(F.col(record_id)))
+                        .withColumn("relevance_score", relevance_score()))
 
 
 def redact_phi(note: Column, patterns: GatePatterns = GatePatterns()) -> Column:

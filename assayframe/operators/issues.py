@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 ISSUE_TYPE = ("struct<type:string,field:string,severity:string,value:string,message:string,"
               "drugs:array<string>,interaction_severity:string>")
 
+ISSUES = f"array<{ISSUE_TYPE}>"
+
 
 def issue(kind: str, field: str | None, severity: str | Column, message: Column,
           value: Column | None = None, drugs: Column | None = None,
@@ -22,16 +24,23 @@ def issue(kind: str, field: str | None, severity: str | Column, message: Column,
     )
 
 
-def keep_issues(issues: Column) -> Column:
-    return F.filter(issues, lambda i: i.isNotNull())
+def found(*cases: tuple[Column, Column]) -> Column:
+    """An array with the issue of the first case that holds, or an empty one.
+
+    Checks are joined with ``concat``: unlike a filter over an array of nulls it is
+    compiled with the rest of the projection.
+    """
+    chosen = None
+    for test, what in cases:
+        one = F.array(what)
+        chosen = F.when(test, one) if chosen is None else chosen.when(test, one)
+    return chosen.otherwise(F.array().cast(ISSUES))
 
 
 def count_severity(issues: Column, severity: str) -> Column:
     return F.size(F.filter(issues, lambda i: i["severity"] == severity))
 
 
-def status_of(issues: Column) -> Column:
+def status_of(errors: Column, warnings: Column) -> Column:
     """FAIL with any error, else WARNING with any warning, else PASS."""
-    return (F.when(F.exists(issues, lambda i: i["severity"] == "ERROR"), "FAIL")
-            .when(F.exists(issues, lambda i: i["severity"] == "WARNING"), "WARNING")
-            .otherwise("PASS"))
+    return F.when(errors > 0, "FAIL").when(warnings > 0, "WARNING").otherwise("PASS")

@@ -49,12 +49,13 @@ def interactions_of(names: Column, rules: Sequence[tuple] = fv.DRUG_INTERACTIONS
 
     For a few rules: no join and no shuffle, the rules are part of the expression.
     """
-    hits = [F.when(F.array_contains(names, a) & F.array_contains(names, b),
-                   F.struct(F.array(*[F.lit(d) for d in sorted((a, b))]).alias("drugs"),
-                            F.lit(severity).alias("severity"),
-                            F.lit(text).alias("description")))
+    none = F.array().cast("array<struct<drugs:array<string>,severity:string,description:string>>")
+    hits = [F.when(F.array_contains(names, a) & F.array_contains(names, b), F.array(
+                F.struct(F.array(*[F.lit(d) for d in sorted((a, b))]).alias("drugs"),
+                         F.lit(severity).alias("severity"), F.lit(text).alias("description")))
+                ).otherwise(none)
             for a, b, severity, text in rules]
-    return F.filter(F.array(*hits), lambda h: h.isNotNull())
+    return F.concat(*hits)
 
 
 def interactions_by_table(df: DataFrame, record_id: str, names: str, rules: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Per-record validation: every check is a Column yielding an issue or null."""
+"""Per-record validation: every check is a Column yielding an array of issues."""
 
 from __future__ import annotations
 
@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import as_day, field_type, matches, required_missing
-from .gates import GatePatterns, gate_issues, relevance_score, text_signals
-from .issues import ISSUE_TYPE, count_severity, issue, keep_issues, status_of
+from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
+from .issues import ISSUES, count_severity, found, issue, status_of
 from .joins import interactions_of
 
-ISSUES = f"array<{ISSUE_TYPE}>"
 LEVELS_WITH_CODES = ("full", "strict")
 
 
@@ -29,13 +28,14 @@ def _say(*parts) -> Column:
 
 
 def missing_required(df: DataFrame, fields: Sequence[str] = fv.REQUIRED_FIELDS) -> list[Column]:
-    found = []
+    checks = []
     for name in fields:
         gap = required_missing(F.col(name), df.schema[name].dataType) if _has(df, name) \
             else F.lit(True)
-        found.append(F.when(gap, issue("MISSING_REQUIRED_FIELD", name, "ERROR",
-                                       F.lit(f"Required field '{name}' is missing or empty"))))
-    return found
+        checks.append(found((gap, issue(
+            "MISSING_REQUIRED_FIELD", name, "ERROR",
+            F.lit(f"Required field '{name}' is missing or empty")))))
+    return checks
 
 
 def invalid_age(df: DataFrame) -> list[Column]:
@@ -55,9 +55,9 @@ def invalid_age(df: DataFrame) -> list[Column]:
     if _has(df, "age_raw"):
         bad = F.coalesce(bad, F.lit(False)) | F.col("age_raw").isNotNull()
         shown = F.coalesce(F.col("age_raw"), shown)
-    return [F.when(bad, issue("INVALID_AGE", "age", "ERROR",
+    return [found((bad, issue("INVALID_AGE", "age", "ERROR",
                               _say("Age ", shown, f" is outside valid range [{low}, {high}]"),
-                              shown))]
+                              shown)))]
 
 
 def invalid_gender(df: DataFrame) -> list[Column]:
@@ -70,9 +70,9 @@ def invalid_gender(df: DataFrame) -> list[Column]:
     if _has(df, "gender_is_null"):
         bad = F.coalesce(bad, F.col("gender_is_null"), F.lit(False))
         shown = F.coalesce(gender, F.lit("None"))
-    return [F.when(bad, issue("INVALID_GENDER", "gender", "WARNING",
+    return [found((bad, issue("INVALID_GENDER", "gender", "WARNING",
                               _say("Gender '", shown, "' not in standard set (M/F/O/U)"),
-                              gender))]
+                              gender)))]
 
 
 def date_checks(df: DataFrame, as_of) -> list[Column]:
@@ -86,25 +86,25 @@ def date_checks(df: DataFrame, as_of) -> list[Column]:
     shown = text["discharge_date"]
     bad_format = ~both
     checks = [
-        F.when(end < start, issue("DATE_INCONSISTENCY", "discharge_date", "ERROR", _say(
+        found((end < start, issue("DATE_INCONSISTENCY", "discharge_date", "ERROR", _say(
             "Discharge date (", shown, ") before admission date (", text["admission_date"],
-            ")"))),
-        F.when(both & (end.cast("timestamp") > F.lit(as_of).cast("timestamp")),
+            ")")))),
+        found((both & (end.cast("timestamp") > F.lit(as_of).cast("timestamp")),
                issue("FUTURE_DATE", "discharge_date", "ERROR",
-                     _say("Discharge date (", shown, ") is in the future"))),
+                     _say("Discharge date (", shown, ") is in the future")))),
     ]
     if _has(df, "length_of_stay_days"):
         stated = F.col("length_of_stay_days")
         if isinstance(df.schema["length_of_stay_days"].dataType, T.NumericType):
             actual = F.datediff(end, start)
-            checks.append(F.when(F.abs(actual - stated) > 1, issue(
+            checks.append(found((F.abs(actual - stated) > 1, issue(
                 "LOS_MISMATCH", "length_of_stay_days", "WARNING",
-                _say("Stated LOS (", stated, ") doesn't match computed (", actual, ")"))))
+                _say("Stated LOS (", stated, ") doesn't match computed (", actual, ")")))))
         else:
             bad_format = bad_format | stated.isNotNull()
-    checks.append(F.when(bad_format, issue(
+    checks.append(found((bad_format, issue(
         "INVALID_DATE_FORMAT", None, "ERROR",
-        F.lit("Could not parse admission or discharge date (expected YYYY-MM-DD)"))))
+        F.lit("Could not parse admission or discharge date (expected YYYY-MM-DD)")))))
     return checks
 
 
@@ -126,32 +126,33 @@ def invalid_codes(df: DataFrame) -> Column | None:
 def vital_checks(df: DataFrame, ranges: Sequence[tuple] = fv.VITAL_RANGES,
                  struct: str = "vitals_at_discharge") -> list[Column]:
     """Not a number, out of range, or in the critical band, for each vital sign."""
-    found = []
+    checks = []
     for name, low, high, critical_low, critical_high in ranges:
         path = f"{struct}.{name}"
         if _has(df, path):
             raw = F.col(path)
-            found.append(range_check(
-                f"vitals.{name}", name, raw, raw.try_cast("double"), low, high, critical_low,
-                critical_high))
-    return found
+            number = raw.cast("double") if isinstance(
+                field_type(df.schema, path), T.NumericType) else raw.try_cast("double")
+            checks.append(range_check(f"vitals.{name}", name, raw, number, low, high,
+                                      critical_low, critical_high))
+    return checks
 
 
 def range_check(field: str, label: str, raw: Column, number: Column, low, high, critical_low,
                 critical_high) -> Column:
-    """One issue or null for a value with a plausible range and a critical band."""
+    """At most one issue for a value with a plausible range and a critical band."""
     outside = ((number < low) | (number > high)) & ~F.isnan(number)
     critical = ((number <= critical_low) | (number >= critical_high)) & ~F.isnan(number)
     shown = number.cast("string")
-    return (F.when(raw.isNotNull() & number.isNull(), issue(
-                "INVALID_VITAL_VALUE", field, "ERROR",
-                F.lit(f"Non-numeric vital sign value for {label}"), raw.cast("string")))
-            .when(outside, issue(
-                "VITAL_OUT_OF_RANGE", field, "ERROR",
-                _say(f"{label}=", shown, f" outside physiological range [{low}, {high}]"), shown))
-            .when(critical, issue(
-                "VITAL_CRITICAL", field, "WARNING",
-                _say(f"{label}=", shown, " is in critical range"), shown)))
+    return found(
+        (raw.isNotNull() & number.isNull(), issue(
+            "INVALID_VITAL_VALUE", field, "ERROR",
+            F.lit(f"Non-numeric vital sign value for {label}"), raw.cast("string"))),
+        (outside, issue(
+            "VITAL_OUT_OF_RANGE", field, "ERROR",
+            _say(f"{label}=", shown, f" outside physiological range [{low}, {high}]"), shown)),
+        (critical, issue("VITAL_CRITICAL", field, "WARNING",
+                         _say(f"{label}=", shown, " is in critical range"), shown)))
 
 
 def interaction_issues(df: DataFrame, rules: Sequence[tuple] = fv.DRUG_INTERACTIONS) -> Column | None:
@@ -169,8 +170,8 @@ def interaction_issues(df: DataFrame, rules: Sequence[tuple] = fv.DRUG_INTERACTI
 def missing_note(df: DataFrame) -> Column:
     gap = required_missing(F.col("clinical_note"), T.StringType()) \
         if _has(df, "clinical_note") else F.lit(True)
-    return F.when(gap, issue("MISSING_CLINICAL_NOTE", "clinical_note", "WARNING",
-                             F.lit("No clinical note attached to record")))
+    return found((gap, issue("MISSING_CLINICAL_NOTE", "clinical_note", "WARNING",
+                             F.lit("No clinical note attached to record"))))
 
 
 def bad_doses(df: DataFrame) -> Column | None:
@@ -186,21 +187,16 @@ def bad_doses(df: DataFrame) -> Column | None:
 def record_issues(df: DataFrame, level: str, as_of,
                   extra: Sequence[Callable[[DataFrame], Column]] = ()) -> Column:
     """All issues of a record, in the order of the checks. ``extra`` are user rules:
-    functions from the frame to an issue Column."""
-    single = missing_required(df) + invalid_age(df) + invalid_gender(df) + date_checks(df, as_of)
-    parts: list[Column] = [keep_issues(F.array(*single)).cast(ISSUES)]
+    functions from the frame to an issue Column that is null where the rule holds."""
+    parts = missing_required(df) + invalid_age(df) + invalid_gender(df) + date_checks(df, as_of)
     if level in LEVELS_WITH_CODES:
-        vitals = vital_checks(df)
-        parts += [p for p in (
-            invalid_codes(df),
-            keep_issues(F.array(*vitals)) if vitals else None,
-            interaction_issues(df)) if p is not None]
+        parts += [invalid_codes(df), *vital_checks(df), interaction_issues(df)]
     if level == "strict":
-        parts += [p for p in (keep_issues(F.array(missing_note(df))), bad_doses(df))
-                  if p is not None]
-    if extra:
-        parts.append(keep_issues(F.array(*[f(df) for f in extra])))
-    return F.flatten(F.array(*[p.cast(ISSUES) for p in parts]))
+        parts += [missing_note(df), bad_doses(df)]
+    for rule in extra:
+        own = rule(df)
+        parts.append(found((own.isNotNull(), own)))
+    return F.concat(*[p.cast(ISSUES) for p in parts if p is not None])
 
 
 def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None = None,
@@ -213,16 +209,17 @@ def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None =
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     issues = record_issues(df, level, as_of, extra)
-    gated = level in LEVELS_WITH_CODES and note is not None
-    out = df
-    if gated:
-        out = out.withColumn("_signals", text_signals(F.col(note), patterns))
-        issues = F.concat(issues, gate_issues(F.col("_signals"), F.col(record_id)))
-    found = F.col("_issues")
-    relevance = relevance_score(F.col("_signals")) if gated else F.lit(None).cast("double")
-    out = out.withColumn("_issues", issues).withColumn("_validation", F.struct(
-        status_of(found).alias("status"), found.alias("issues"),
-        count_severity(found, "ERROR").alias("error_count"),
-        count_severity(found, "WARNING").alias("warning_count"),
-        relevance.alias("relevance_score")))
-    return out.drop("_issues", "_signals")
+    out, relevance = df, F.lit(None).cast("double")
+    if level in LEVELS_WITH_CODES and note is not None:
+        out = with_signals(out, note, patterns)
+        issues = F.concat(issues, gate_issues(F.col(record_id)))
+        relevance = relevance_score()
+    errors, warnings = F.col("_errors"), F.col("_warnings")
+    out = (out.withColumn("_issues", issues)
+           .withColumns({"_errors": count_severity(F.col("_issues"), "ERROR"),
+                         "_warnings": count_severity(F.col("_issues"), "WARNING")})
+           .withColumn("_validation", F.struct(
+               status_of(errors, warnings).alias("status"), F.col("_issues").alias("issues"),
+               errors.alias("error_count"), warnings.alias("warning_count"),
+               relevance.alias("relevance_score"))))
+    return drop_signals(out.drop("_issues", "_errors", "_warnings"))

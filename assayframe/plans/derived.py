@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed_values as fv
-from .registry import table
+from .registry import spread_table
 
 AS_OF = "2001-01-01 00:00:00"
 
@@ -40,7 +40,7 @@ def _pick(values, index):
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_of(table(spark, sf_dir, "orders"))
+    return records_of(spread_table(spark, sf_dir, "orders"))
 
 
 def records_of(o: DataFrame) -> DataFrame:
@@ -54,13 +54,13 @@ def records_of(o: DataFrame) -> DataFrame:
     second = F.struct(_pick(fv.INVALID_CODES, k % 5).alias("icd10"),
                       F.lit("UNKNOWN").alias("description"))
     dx = "array<struct<icd10:string,description:string>>"
-    meds = F.array_compact(F.array(*[
-        F.when((k + 5 * i) % 11 < 2, F.struct(
+    rx = "array<struct<name:string,dose:string,frequency:string>>"
+    meds = F.concat(*[
+        F.when((k + 5 * i) % 11 < 2, F.array(F.struct(
             F.lit(name).alias("name"),
             F.when(k % 37 == 0, "one pill").otherwise(dose).alias("dose"),
-            F.lit(freq).alias("frequency")))
-        for i, (name, dose, freq) in enumerate(DOSED)]))
-    rx = "array<struct<name:string,dose:string,frequency:string>>"
+            F.lit(freq).alias("frequency"))).cast(rx)).otherwise(F.array().cast(rx))
+        for i, (name, dose, freq) in enumerate(DOSED)])
     no_bp = k % 13 == 0
     vitals = F.struct(
         F.when(~no_bp, 40 + k % 260).alias("systolic_bp"),
@@ -96,7 +96,7 @@ def records_of(o: DataFrame) -> DataFrame:
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread_table(spark, sf_dir, "documents")
     i, text = F.col("doc_id"), F.col("text")
     body = F.when(i % 9 == 5, F.when(i % 2 == 0, "").otherwise("   ")).when(i % 9 == 6, GARBLED)
     for rest, ending in ENDINGS.items():

@@ -10,7 +10,7 @@ from ..operators import entities as en, gates, payloads, summaries, validation a
 from ..operators.joins import join_notes, join_notes_typed
 from . import derived
 from .derived import AS_OF, quoted, with_ctes
-from .registry import query, table
+from .registry import query, spread_table, table
 from .validation_queries import FULL, status_sql
 
 # --- signals of a note in SQL ----------------------------------------------------------------
@@ -142,7 +142,7 @@ SELECT record_id, {SCORE_SQL} AS score, len(profanity) > 0 AS blocked,
   (words > 0 AND len(bias) > 0) AS biased FROM sig""",
     src="SELECT doc_id AS record_id, text AS note FROM documents", sig=_GENERIC_SQL))
 def _(spark, sf_dir):
-    out = gates.with_gates(table(spark, sf_dir, "documents"), "text", "doc_id", GENERIC)
+    out = gates.with_gates(spread_table(spark, sf_dir, "documents"), "text", "doc_id", GENERIC)
 
     def has(kind):
         return F.exists("gate_issues", lambda i: i["type"] == kind)
@@ -176,7 +176,7 @@ def _(spark, sf_dir):
 
 @query("distinct_terms", over_notes("SELECT record_id, terms FROM sig"))
 def _(spark, sf_dir):
-    found = F.regexp_extract_all("note", F.lit(f"(?iUd){fv.TERM_PATTERN}"), F.lit(1))
+    found = gates.find_words(F.col("note"), fv.TERM_PATTERN)
     return noted(spark, sf_dir).select("record_id", F.size(F.array_distinct(found)).alias("terms"))
 
 

@@ -28,6 +28,17 @@ NOTE_SCHEMA = ("record_id bigint, mrn string, note_type string, note_text string
                "author string, date string")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with at least one task per core, for work that costs far more than reading.
+
+    A file with one row group gives one task however many cores are idle. Only then are
+    its rows dealt out; a table of many files already has more splits than cores and is
+    returned as it is, so large scans are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str] = FLAT_TYPES,
                    columns: str | None = None) -> DataFrame:
     """CSV with a header; a blank or bad value of a typed column is null.
