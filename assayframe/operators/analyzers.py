@@ -61,7 +61,7 @@ def analyze(df: DataFrame, analyzers: Sequence[Analyzer], table_name: str, run_i
     if measures:
         pairs = [F.struct(F.lit(m).alias("metric"), v.alias("value"))
                  for m, v in measures.items()]
-        frames.append(df.agg(F.array(*pairs).alias("m")).select(F.inline("m")))
+        frames.append(df.agg(F.array(*pairs).alias("m")).select(F.inline_outer("m")))
     for name in exact:
         values = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.lit(1))
         frames.append(values.agg(F.lit(f"Column.{name}.DistinctValuesCount").alias("metric"),
@@ -106,7 +106,7 @@ def _profile_columns(df: DataFrame) -> list[Column]:
 
 def profile(df: DataFrame) -> DataFrame:
     """One row per column, from one scan."""
-    return df.agg(F.array(*_profile_columns(df)).alias("p")).select(F.inline("p"))
+    return df.agg(F.array(*_profile_columns(df)).alias("p")).select(F.inline_outer("p"))
 
 
 def _number_text(value: Column, whole: Column) -> Column:
@@ -147,7 +147,7 @@ def recommend(df: DataFrame) -> DataFrame:
             F.lit(" and "), F.col("longest").cast("string"),
             F.lit(" with threshold >= 0.99")))),
     )
-    out = columns.select("column", F.explode(candidates).alias("r")).where("r is not null") \
+    out = columns.select("column", F.explode_outer(candidates).alias("r")).where("r is not null") \
         .select("column", "r.*")
     out = out.unionByName(columns.limit(1).select(
         F.lit(None).cast("string").alias("column"), F.lit("RowCount").alias("type"),

@@ -9,39 +9,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import java_pattern
+from .issues import name, text
 
 ENTITY = ("struct<id:int,text:string,category:string,type:string,score:double,begin:int,end:int,"
           "traits:array<struct<name:string,score:double>>,normalized:string>")
 
 
-def _entity(text, category, kind, score, begin, end, trait=None, normalized=None) -> Column:
-    traits = F.array(F.struct(F.lit(trait[0]).alias("name"), F.lit(trait[1]).alias("score"))) \
-        if trait else F.array()
-    return F.struct(
-        F.lit(0).alias("id"), text.alias("text"), F.lit(category).alias("category"),
-        F.lit(kind).alias("type"), F.lit(score).alias("score"), begin.alias("begin"),
-        end.alias("end"),
-        traits.cast("array<struct<name:string,score:double>>").alias("traits"),
-        F.lit(normalized).cast("string").alias("normalized"))
+def _entity(found, category, kind, score, begin, end, trait=None, normalized=None) -> str:
+    traits = f"array(named_struct('name', {text(trait[0])}, 'score', {trait[1]}D))" if trait \
+        else "array()"
+    return (f"CAST(named_struct('id', 0, 'text', {found}, 'category', {text(category)}, 'type', "
+            f"{text(kind)}, 'score', {score}D, 'begin', {begin}, 'end', {end}, 'traits', {traits}, "
+            f"'normalized', {text(normalized)}) AS {ENTITY})")
 
 
-def _keyword(text, lowered, keyword, category, kind, score, trait=None, normalized=None) -> Column:
-    position = F.instr(lowered, keyword.lower())
-    return F.when(position > 0, F.array(_entity(
-        F.substring(text, position, F.lit(len(keyword))), category, kind, score, position - 1,
-        position - 1 + len(keyword), trait, normalized).cast(ENTITY))
-    ).otherwise(F.array().cast(f"array<{ENTITY}>"))
+def _keyword(source, keyword, category, kind, score, trait=None, normalized=None) -> str:
+    at, size = f"instr(_lowered, {text(keyword.lower())})", len(keyword)
+    found = _entity(f"substring({source}, {at}, {size})", category, kind, score, f"{at} - 1",
+                    f"{at} - 1 + {size}", trait, normalized)
+    return f"CASE WHEN {at} > 0 THEN array({found}) ELSE CAST(array() AS array<{ENTITY}>) END"
 
 
-def all_matches(text: Column, pattern: str) -> Column:
+def all_matches(body: Column, pattern: str) -> Column:
     """Every match with its offsets: array of (text, begin, end), 0-based, end-exclusive.
 
     The text around the matches gives the offsets: a match begins after the gaps and
     matches before it.
     """
     regex = java_pattern(pattern)
-    gaps = F.transform(F.split(text, regex, -1), lambda p: F.length(p))
-    found = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
+    gaps = F.transform(F.split(body, regex, -1), lambda p: F.length(p))
+    found = F.regexp_extract_all(body, F.lit(regex), F.lit(0))
     sizes = F.transform(found, lambda m: F.length(m))
 
     def total(lengths, first):
@@ -55,31 +52,31 @@ def all_matches(text: Column, pattern: str) -> Column:
     return F.transform(found, place)
 
 
-def with_entities(df: DataFrame, text: str, into: str = "entities",
+def with_entities(df: DataFrame, column: str, into: str = "entities",
                   medications: Sequence[str] = fv.MEDICATION_KEYWORDS,
                   conditions: Sequence[tuple[str, str]] = fv.CONDITION_KEYWORDS,
                   date_pattern: str = fv.DATE_ENTITY_PATTERN) -> DataFrame:
     """Adds the entities of a text: the first occurrence of each keyword, whatever its
     case, then every date. Ids count up in that order."""
-    source = F.coalesce(F.col(text), F.lit(""))
-    lowered = F.col("_lowered")
+    body = F.coalesce(F.col(column), F.lit(""))
+    source = f"coalesce({name(column)}, '')"
     trait = ("DIAGNOSIS", fv.DIAGNOSIS_TRAIT_SCORE)
-    keywords = [_keyword(source, lowered, m, "MEDICATION", "GENERIC_NAME", fv.MEDICATION_SCORE)
+    keywords = [_keyword(source, m, "MEDICATION", "GENERIC_NAME", fv.MEDICATION_SCORE)
                 for m in medications]
-    keywords += [_keyword(source, lowered, k, "MEDICAL_CONDITION", "DX_NAME", fv.CONDITION_SCORE,
-                          trait, normal) for k, normal in conditions]
-    dates = F.transform(F.col("_dates"), lambda d: _entity(
-        d["text"], "PROTECTED_HEALTH_INFORMATION", "DATE", fv.DATE_SCORE, d["begin"], d["end"]))
+    keywords += [_keyword(source, k, "MEDICAL_CONDITION", "DX_NAME", fv.CONDITION_SCORE, trait,
+                          normal) for k, normal in conditions]
+    dates = "transform(_dates, d -> {})".format(_entity(
+        "d.text", "PROTECTED_HEALTH_INFORMATION", "DATE", fv.DATE_SCORE, "d.begin", "d.end"))
     none = F.array().cast("array<struct<text:string,begin:int,end:int>>")
-    with_dates = F.when(source.rlike(java_pattern(date_pattern)),
-                        all_matches(source, date_pattern)).otherwise(none)
-    everything = F.concat(*keywords, dates.cast(f"array<{ENTITY}>"))
-    return (df.withColumn("_lowered", F.lower(source)).withColumn("_dates", with_dates)
-            .withColumn(into, F.transform(everything, lambda e, i: e.withField("id", i)))
-            .drop("_lowered", "_dates"))
+    with_dates = F.when(body.rlike(java_pattern(date_pattern)),
+                        all_matches(body, date_pattern)).otherwise(none)
+    return (df.withColumns({"_lowered": F.lower(body), "_dates": with_dates})
+            .withColumn("_found", F.expr(f"concat({', '.join([*keywords, dates])})"))
+            .withColumn(into, F.transform("_found", lambda e, i: e.withField("id", i)))
+            .drop("_lowered", "_dates", "_found"))
 
 
-def with_custom_entities(df: DataFrame, text: str,
+def with_custom_entities(df: DataFrame, column: str,
                          extractor: Callable[[pd.Series], pd.Series],
                          into: str = "entities") -> DataFrame:
     """Entities from the caller's own extractor: a function from a batch of texts to a
@@ -90,7 +87,7 @@ def with_custom_entities(df: DataFrame, text: str,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(**{into: extractor(batch[text])})
+            yield batch.assign(**{into: extractor(batch[column])})
 
     return df.mapInPandas(run, f"{fields}, `{into}` array<{ENTITY}>")
 
@@ -112,7 +109,7 @@ def standardize(entities: Column) -> Column:
         of("ANATOMY").alias("anatomy"), (F.size(personal) > 0).alias("phi_detected"))
 
 
-def first_matches(text: Column, pattern: str, k: int = 3, group: int = 0) -> Column:
+def first_matches(body: Column, pattern: str, k: int = 3, group: int = 0) -> Column:
     """The first ``k`` matches of a pattern, whatever their case."""
-    return F.slice(F.regexp_extract_all(text, F.lit(java_pattern(pattern, True)), F.lit(group)),
+    return F.slice(F.regexp_extract_all(body, F.lit(java_pattern(pattern, True)), F.lit(group)),
                    1, k)

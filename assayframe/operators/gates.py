@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as fv
 from ..functions.patterns import by_first_letter
 from ..functions.predicates import SPACE, java_pattern, word_count
-from .issues import ISSUES, found, issue
+from .issues import NULL, found_sql, issue, name, say, text
 
 
 @dataclass(frozen=True)
@@ -66,92 +66,94 @@ SIGNAL = "_signal_"
 
 def text_signals(note: Column, patterns: GatePatterns = GatePatterns()) -> dict[str, Column]:
     """Everything the gates and the score need to know about a note."""
-    text = F.coalesce(note, F.lit(""))
+    body = F.coalesce(note, F.lit(""))
     return {
-        "words": word_count(text),
-        "chars": F.length(text),
-        "letters": F.length(F.regexp_replace(text, rf"[^\p{{L}}{SPACE}]+", "")),
-        "profanity": find_words(text, patterns.profanity),
-        "phi": F.concat(*[F.when(_has_phi(text, p), F.array(F.lit(p.name))).otherwise(
+        "words": word_count(body),
+        "chars": F.length(body),
+        "letters": F.length(F.regexp_replace(body, rf"[^\p{{L}}{SPACE}]+", "")),
+        "profanity": find_words(body, patterns.profanity),
+        "phi": F.concat(*[F.when(_has_phi(body, p), F.array(F.lit(p.name))).otherwise(
             F.array().cast("array<string>")) for p in patterns.phi]),
-        "distinct_terms": F.size(F.array_distinct(find_words(text, patterns.terms))),
-        "bias": find_words(text, patterns.bias),
-        "sections": F.size(find_words(text, patterns.sections)),
-        "full_sentences": F.regexp_count(text, F.lit(_FULL_SENTENCE)),
-        "sentences": F.regexp_count(text, F.lit("[.!?]+")) + 1,
+        "distinct_terms": F.size(F.array_distinct(find_words(body, patterns.terms))),
+        "bias": find_words(body, patterns.bias),
+        "sections": F.size(find_words(body, patterns.sections)),
+        "full_sentences": F.regexp_count(body, F.lit(_FULL_SENTENCE)),
+        "sentences": F.regexp_count(body, F.lit("[.!?]+")) + 1,
     }
 
 
 def with_signals(df: DataFrame, note: str, patterns: GatePatterns = GatePatterns()) -> DataFrame:
     signals = text_signals(F.col(note), patterns)
-    return df.withColumns({SIGNAL + name: signal for name, signal in signals.items()})
+    return df.withColumns({SIGNAL + n: signal for n, signal in signals.items()})
 
 
 def drop_signals(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(SIGNAL)])
 
 
-def _signal(name: str) -> Column:
-    return F.col(SIGNAL + name)
+def _signal(which: str) -> Column:
+    return F.col(SIGNAL + which)
 
 
-def _listed(found: Column) -> Column:
-    """The first three matches, as a Python list prints them."""
-    first = F.transform(F.slice(found, 1, 3), lambda m: F.replace(F.replace(
-        m, F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t")))
-    return F.concat(F.lit("['"), F.array_join(first, "', '"), F.lit("']"))
+def _first3(found: str, between: str = "', '") -> str:
+    return f"array_join(slice({found}, 1, 3), {between})"
 
 
-def gate_issues(record_id: Column) -> Column:
+def gate_issues(record_id: str) -> Column:
     """The issues of a note with signals, in the order of the checks."""
-    s = _signal
-    words = s("words")
-    rid = F.coalesce(record_id.cast("string"), F.lit("unknown"))
-
-    def gate(cond, kind, severity, message, value=None):
-        return found((cond, issue(kind, "clinical_note", severity, F.concat(
-            *[F.lit(m) if isinstance(m, str) else m for m in message]), value)))
-
-    profane = s("profanity")
-    ratio = F.try_divide(s("letters"), s("chars"))
-    checks = F.concat(
-        gate(F.size(profane) > 0, "RA_PROFANITY", "ERROR",
-             ["Profanity/inappropriate language detected in note for record ", rid, ": ",
-              F.size(profane).cast("string"),
-              " occurrence(s). Record BLOCKED from FM consumption."],
-             F.array_join(F.slice(profane, 1, 3), ", ")),
-        gate(F.size(s("phi")) > 0, "RA_PHI_EXPOSURE", "WARNING",
-             ["Potential PHI detected in note for record ", rid, ": ",
-              F.array_join(s("phi"), ", "), ". Route through de-identification before FM "
-              "consumption."], F.array_join(s("phi"), ", ")),
-        gate(words < fv.MIN_WORDS, "RA_LOW_RELEVANCE", "WARNING",
-             ["Clinical note for record ", rid, " has only ", words.cast("string"),
-              f" words (minimum {fv.MIN_WORDS} recommended). May be too short for useful FM "
-              "analysis."], words.cast("string")),
-        gate(s("distinct_terms") == 0, "RA_LOW_RELEVANCE", "WARNING",
-             ["Clinical note for record ", rid, " contains no recognized medical terminology. "
-              "May not be a valid clinical note."]),
-        gate(ratio < fv.MIN_ALPHA_RATIO, "RA_GARBLED_TEXT", "WARNING",
-             ["Clinical note for record ", rid, " has low alphabetic ratio (",
-              F.format_string("%.1f%%", ratio * 100), "). Possible garbled OCR or data "
-              "corruption."], F.round(ratio, 3).cast("string")),
-        gate(F.size(s("bias")) > 0, "RA_BIAS_INDICATOR", "WARNING",
-             ["Bias-loaded language detected in note for record ", rid, ": ",
-              _listed(s("bias")), ". This phrasing may inappropriately influence FM reasoning. "
-              "Consider neutral clinical language."],
-             F.array_join(F.slice(s("bias"), 1, 3), ", ")),
-        gate(s("full_sentences") == 0, "RA_LOW_COHERENCE", "WARNING",
-             ["Clinical note for record ", rid, " has no complete sentences. May be a fragment, "
-              "keyword list, or data artifact."]),
-        gate((s("sections") == 0) & (words >= fv.STRUCTURE_WORDS), "RA_UNSTRUCTURED_NOTE",
-             "WARNING",
-             ["Clinical note for record ", rid, " (", words.cast("string"), " words) lacks "
-              "standard clinical sections (Assessment, Plan, etc.). Structured notes produce "
-              "better FM outputs."]),
-    )
-    empty = F.array(issue("RA_EMPTY_NOTE", "clinical_note", "WARNING",
-                          F.lit("Clinical note is empty — no content to send to FM")))
-    return F.when(words == 0, empty.cast(ISSUES)).otherwise(checks)
+    s = {n: SIGNAL + n for n in ("words", "profanity", "phi", "bias", "distinct_terms", "sections",
+                                 "full_sentences")}
+    rid = f"coalesce(CAST({name(record_id)} AS STRING), 'unknown')"
+    words = f"CAST({s['words']} AS STRING)"
+    ratio = f"try_divide({SIGNAL}letters, {SIGNAL}chars)"
+    # The first three matches as a Python list prints them.
+    listed = (f"concat('[\\'', replace(replace({_first3(s['bias'], text(chr(39) + ', ' + chr(39)))},"
+              r" '\n', '\\n'), '\t', '\\t'), '\']')")
+
+    def gate(test, kind, severity, *message, value=NULL):
+        return found_sql((test, issue(kind, "clinical_note", severity, say(*message), value)))
+
+    checks = ", ".join([
+        gate(f"size({s['profanity']}) > 0", "RA_PROFANITY", "ERROR",
+             text("Profanity/inappropriate language detected in note for record "), rid, "': '",
+             f"CAST(size({s['profanity']}) AS STRING)",
+             text(" occurrence(s). Record BLOCKED from FM consumption."),
+             value=_first3(s["profanity"])),
+        gate(f"size({s['phi']}) > 0", "RA_PHI_EXPOSURE", "WARNING",
+             text("Potential PHI detected in note for record "), rid, "': '",
+             f"array_join({s['phi']}, ', ')",
+             text(". Route through de-identification before FM consumption."),
+             value=f"array_join({s['phi']}, ', ')"),
+        gate(f"{s['words']} < {fv.MIN_WORDS}", "RA_LOW_RELEVANCE", "WARNING",
+             text("Clinical note for record "), rid, "' has only '", words,
+             text(f" words (minimum {fv.MIN_WORDS} recommended). May be too short for useful FM "
+                  "analysis."), value=words),
+        gate(f"{s['distinct_terms']} = 0", "RA_LOW_RELEVANCE", "WARNING",
+             text("Clinical note for record "), rid,
+             text(" contains no recognized medical terminology. May not be a valid clinical "
+                  "note.")),
+        gate(f"{ratio} < {fv.MIN_ALPHA_RATIO}D", "RA_GARBLED_TEXT", "WARNING",
+             text("Clinical note for record "), rid, "' has low alphabetic ratio ('",
+             f"format_string('%.1f%%', {ratio} * 100)",
+             text("). Possible garbled OCR or data corruption."),
+             value=f"CAST(round({ratio}, 3) AS STRING)"),
+        gate(f"size({s['bias']}) > 0", "RA_BIAS_INDICATOR", "WARNING",
+             text("Bias-loaded language detected in note for record "), rid, "': '", listed,
+             text(". This phrasing may inappropriately influence FM reasoning. Consider neutral "
+                  "clinical language."), value=_first3(s["bias"])),
+        gate(f"{s['full_sentences']} = 0", "RA_LOW_COHERENCE", "WARNING",
+             text("Clinical note for record "), rid,
+             text(" has no complete sentences. May be a fragment, keyword list, or data "
+                  "artifact.")),
+        gate(f"{s['sections']} = 0 AND {s['words']} >= {fv.STRUCTURE_WORDS}",
+             "RA_UNSTRUCTURED_NOTE", "WARNING",
+             text("Clinical note for record "), rid, "' ('", words,
+             text(" words) lacks standard clinical sections (Assessment, Plan, etc.). Structured "
+                  "notes produce better FM outputs.")),
+    ])
+    empty = issue("RA_EMPTY_NOTE", "clinical_note", "WARNING",
+                  text("Clinical note is empty — no content to send to FM"))
+    return F.expr(f"CASE WHEN {s['words']} = 0 THEN array({empty}) ELSE concat({checks}) END")
 
 
 def relevance_score() -> Column:
@@ -174,7 +176,7 @@ def with_gates(df: DataFrame, note: str, record_id: str,
                patterns: GatePatterns = GatePatterns()) -> DataFrame:
     """Adds ``gate_issues`` and ``relevance_score``."""
     return drop_signals(with_signals(df, note, patterns)
-                        .withColumn("gate_issues", gate_issues(F.col(record_id)))
+                        .withColumn("gate_issues", gate_issues(record_id))
                         .withColumn("relevance_score", relevance_score()))
 
 

@@ -1,4 +1,8 @@
-"""The issue struct all validation and gate checks share."""
+"""The issue struct all validation and gate checks share.
+
+Checks are written as SQL expressions: a record has dozens of them, and one parsed
+expression each builds faster than a tree of Column calls.
+"""
 
 from __future__ import annotations
 
@@ -6,35 +10,57 @@ from pyspark.sql import Column, functions as F
 
 ISSUE_TYPE = ("struct<type:string,field:string,severity:string,value:string,message:string,"
               "drugs:array<string>,interaction_severity:string>")
-
 ISSUES = f"array<{ISSUE_TYPE}>"
+NULL = "CAST(NULL AS STRING)"
+
+
+def text(value: str | None) -> str:
+    """A string literal."""
+    if value is None:
+        return NULL
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
+
+
+def name(column: str) -> str:
+    """A column or dotted field, quoted."""
+    return ".".join(f"`{part}`" for part in column.split("."))
+
+
+def issue(kind: str, field: str | None, severity: str, message: str, value: str = NULL,
+          drugs: str = "CAST(NULL AS ARRAY<STRING>)", interaction_severity: str = NULL) -> str:
+    """An issue struct; ``message``, ``value`` and what follows are SQL expressions, and so
+    is a severity that is neither ERROR nor WARNING."""
+    severity = text(severity) if severity in ("ERROR", "WARNING") else severity
+    return (f"named_struct('type', {text(kind)}, 'field', {text(field)}, 'severity', {severity}, "
+            f"'value', {value}, 'message', {message}, 'drugs', {drugs}, "
+            f"'interaction_severity', {interaction_severity})")
+
+
+def say(*parts: str) -> str:
+    """Concatenation of SQL expressions."""
+    return f"concat({', '.join(parts)})"
+
+
+def found_sql(*cases: tuple[str, str]) -> str:
+    """An array with the issue of the first case (test, issue) that holds, or an empty one."""
+    whens = " ".join(f"WHEN {test} THEN array({what})" for test, what in cases)
+    return f"CASE {whens} ELSE CAST(array() AS {ISSUES}) END"
 
 
-def issue(kind: str, field: str | None, severity: str | Column, message: Column,
-          value: Column | None = None, drugs: Column | None = None,
-          interaction_severity: Column | None = None) -> Column:
-    none = F.lit(None).cast("string")
-    return F.struct(
-        F.lit(kind).alias("type"), F.lit(field).cast("string").alias("field"),
-        (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
-        (none if value is None else value).alias("value"), message.alias("message"),
-        (F.lit(None).cast("array<string>") if drugs is None else drugs).alias("drugs"),
-        (none if interaction_severity is None else interaction_severity)
-        .alias("interaction_severity"),
-    )
+def found(*cases: tuple[str, str]) -> Column:
+    """The same as a Column. Checks are joined with ``concat``: unlike a filter over an
+    array of nulls it is compiled with the rest of the projection."""
+    return F.expr(found_sql(*cases))
 
 
-def found(*cases: tuple[Column, Column]) -> Column:
-    """An array with the issue of the first case that holds, or an empty one.
+def unfold(array: Column) -> Column:
+    """One row per element, for arrays that are computed.
 
-    Checks are joined with ``concat``: unlike a filter over an array of nulls it is
-    compiled with the rest of the projection.
+    The plain generators make the optimizer test the array for emptiness in a filter
+    below, which computes it twice; the outer one does not. Rows of empty arrays come out
+    as nulls, to be filtered by a field that is never null.
     """
-    chosen = None
-    for test, what in cases:
-        one = F.array(what)
-        chosen = F.when(test, one) if chosen is None else chosen.when(test, one)
-    return chosen.otherwise(F.array().cast(ISSUES))
+    return F.inline_outer(array)
 
 
 def count_severity(issues: Column, severity: str) -> Column:

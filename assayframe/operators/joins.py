@@ -65,7 +65,7 @@ def interactions_by_table(df: DataFrame, record_id: str, names: str, rules: Data
     is tested in the row's own array, so pairs within a record are never built.
     """
     opened = (df.select(record_id, F.array_distinct(names).alias("_names"))
-              .withColumn("drug_a", F.explode("_names")))
+              .withColumn("drug_a", F.explode_outer("_names")))
     return (opened.join(rules, "drug_a")
             .where(F.array_contains("_names", F.col("drug_b")))
             .select(record_id, F.least("drug_a", "drug_b").alias("drug_1"),

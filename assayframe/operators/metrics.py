@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv
+from .issues import unfold
 from .ranking import number_rows
 
 METRIC = ("struct<namespace:string,name:string,value:double,unit:string,ts:timestamp,"
@@ -33,7 +34,7 @@ def dq_metrics(scores: DataFrame, ts: Column, namespace: str = NAMESPACE,
                run: str = "healthcare-ingest") -> DataFrame:
     """Score, passed, failed and records of each table's score row."""
     table = {"Dataset": F.col("table_name")}
-    return scores.select(F.inline(F.array(
+    return scores.select(F.inline_outer(F.array(
         metric("GlueDQ_OverallScore", F.col("overall_score"), "Percent", ts,
                {**table, "Pipeline": run}, namespace),
         metric("GlueDQ_RulesPassed", F.col("rules_passed"), "Count", ts, table, namespace),
@@ -57,9 +58,8 @@ def tally(validated: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.array(entry("status", v["status"], F.lit(1)),
                 entry("relevance", F.lit(""), v["relevance_score"])),
         F.transform(v["issues"], lambda i: entry("issue", i["type"], F.lit(1))))
-    return (validated.select(*by, F.explode(entries).alias("e"))
-            .groupBy(*by, "e.kind", "e.key")
-            .agg(F.count("e.amount").alias("n"), F.sum("e.amount").alias("amount"))
+    return (validated.select(*by, unfold(entries)).groupBy(*by, "kind", "key")
+            .agg(F.count("amount").alias("n"), F.sum("amount").alias("amount"))
             .groupBy(*by).agg(F.collect_list(F.struct("kind", "key", "n", "amount")).alias("t")))
 
 
@@ -99,7 +99,7 @@ def validation_metrics(tallied: DataFrame, ts: Column, namespace: str = NAMESPAC
     parts = [F.array(*base).cast(f"array<{METRIC}>"), by_type.cast(f"array<{METRIC}>"),
              F.when(scored > 0, F.array(*gates).cast(f"array<{METRIC}>"))
              .otherwise(F.array().cast(f"array<{METRIC}>"))]
-    return tallied.select(F.inline(F.concat(*parts)))
+    return tallied.select(F.inline_outer(F.concat(*parts)))
 
 
 def batches(metrics: DataFrame, size: int = fv.METRIC_BATCH) -> DataFrame:

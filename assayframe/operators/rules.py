@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import as_day, field_type, matches, missing, outside
+from .issues import name, text
 
 RESULT_COLUMNS = [
     "table_name", "run_id", "rule_id", "rule", "type", "column",
@@ -126,8 +127,8 @@ def nested_range(path, low, high) -> Rule:
 
 def unique(*columns: str) -> Rule:
     """Distinct over non-null values equals one. A table without values passes."""
-    name = ", ".join(columns)
-    return Rule(f'Uniqueness "{name}" = 1.0', "Uniqueness", name, unique_key=tuple(columns))
+    listed = ", ".join(columns)
+    return Rule(f'Uniqueness "{listed}" = 1.0', "Uniqueness", listed, unique_key=tuple(columns))
 
 
 def date_order(start: str, end: str, text: str | None = None) -> Rule:
@@ -303,49 +304,45 @@ def custom_sql(sql: str, compare: str, value: float) -> Rule:
 
 # --- evaluation ------------------------------------------------------------------------
 
-def _result(rule, table_name, run_id, rule_id, total, checked, violations, metric, outcome):
-    return F.struct(
-        F.lit(table_name).alias("table_name"), F.lit(run_id).alias("run_id"),
-        F.lit(rule_id).cast("int").alias("rule_id"), F.lit(rule.text).alias("rule"),
-        F.lit(rule.type).alias("type"), F.lit(rule.column).cast("string").alias("column"),
-        total.cast("long").alias("total"), checked.cast("long").alias("checked"),
-        violations.cast("long").alias("violations"), metric.cast("double").alias("metric"),
-        outcome.alias("outcome"),
-    )
+_PASSED = "CASE WHEN {p} THEN 'PASS' ELSE 'FAIL' END"
 
 
-def _verdict(passed: Column) -> Column:
-    return F.when(passed, "PASS").otherwise("FAIL")
+def _result(rule, table_name, run_id, rule_id, total="NULL", checked="NULL", violations="NULL",
+            metric="NULL", outcome="'ERROR'") -> str:
+    """A result struct; the measures are names of columns or SQL expressions."""
+    fields = {
+        "table_name": text(table_name), "run_id": text(run_id),
+        "rule_id": f"CAST({rule_id} AS INT)", "rule": text(rule.text), "type": text(rule.type),
+        "column": text(rule.column), "total": f"CAST({total} AS BIGINT)",
+        "checked": f"CAST({checked} AS BIGINT)", "violations": f"CAST({violations} AS BIGINT)",
+        "metric": f"CAST({metric} AS DOUBLE)", "outcome": outcome}
+    return f"named_struct({', '.join(f'{text(k)}, {v}' for k, v in fields.items())})"
 
 
-def _error_result(rule, table_name, run_id, rule_id):
-    none = F.lit(None)
-    return _result(rule, table_name, run_id, rule_id, none, none, none, none, F.lit("ERROR"))
-
-
-def _uniqueness(df, rule, table_name, run_id, rule_id):
+def _uniqueness(df, rule, ids):
     # Two levels: counts per key are combined on the map side, so a key that holds a
     # large part of the rows costs one row per task. Only the key columns are read.
-    keys = [F.col(c) for c in rule.unique_key]
-    present = keys[0].isNotNull()
-    for key in keys[1:]:
-        present = present & key.isNotNull()
+    present = F.expr(" AND ".join(f"{name(c)} IS NOT NULL" for c in rule.unique_key))
     counts = df.where(present).groupBy(*rule.unique_key).agg(F.count("*").alias("n"))
-    total, distinct = F.coalesce(F.sum("n"), F.lit(0)), F.count("*")
-    return counts.agg(_result(
-        rule, table_name, run_id, rule_id, total, total, total - distinct,
-        F.round(_ratio(distinct, total), 4), _verdict(distinct == total)).alias("r"))
+    return (counts.selectExpr("coalesce(sum(n), 0) AS t", "count(*) AS u")
+            .selectExpr(_result(*ids, "t", "t", "t - u", "round(coalesce(try_divide(u, t), 0), 4)",
+                                _PASSED.format(p="t = u")) + " AS r").select("r.*"))
 
 
-def _free_sql(df, rule, table_name, run_id, rule_id):
+def _free_sql(df, rule, ids):
     df.createOrReplaceTempView("primary")
     answer = df.sparkSession.sql(rule.sql)
     if len(answer.columns) != 1:
         raise TypeError("custom SQL must give one number")
     value = F.max(F.col(f"`{answer.columns[0]}`")).cast("double")
-    none = F.lit(None)
-    return answer.agg(_result(rule, table_name, run_id, rule_id, none, none, none, value,
-                              _verdict(F.coalesce(rule.accept(value), F.lit(False)))).alias("r"))
+    return (answer.agg(value.alias("m"), rule.accept(value).alias("p"))
+            .selectExpr(_result(*ids, metric="m", outcome=_PASSED.format(p="p")) + " AS r")
+            .select("r.*"))
+
+
+def _aggregates(measures: Measures, i: int) -> list[Column]:
+    return [measures.checked.alias(f"c{i}"), measures.violations.alias(f"v{i}"),
+            measures.metric.alias(f"m{i}"), measures.passed.alias(f"p{i}")]
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule], table_name: str, run_id: str = "") -> DataFrame:
@@ -353,49 +350,44 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], table_name: str, run_id: str
 
     A rule that cannot be run (its column is missing or of the wrong type) is ERROR.
     """
-    fused, separate = [], []
-    for rule_id, rule in enumerate(rules, start=1):
-        ids = (rule, table_name, run_id, rule_id)
+    fused, frames, results = {}, [], []
+    for i, rule in enumerate(rules, start=1):
+        ids = (rule, table_name, run_id, i)
         try:
             if rule.sql is not None:
-                separate.append(_free_sql(df, *ids))
+                frames.append(_free_sql(df, rule, ids))
             elif rule.unique_key:
-                for name in rule.unique_key:
-                    field_type(df.schema, name)
-                separate.append(_uniqueness(df, *ids))
+                for key in rule.unique_key:
+                    field_type(df.schema, key)
+                frames.append(_uniqueness(df, rule, ids))
             else:
-                m = rule.measure(df.schema)
-                row = _result(*ids, F.count("*"), m.checked, m.violations, m.metric,
-                              _verdict(m.passed))
-                fused.append((row, ids))
+                fused[i] = _aggregates(rule.measure(df.schema), i)
+                results.append((i, _result(*ids, "total", f"c{i}", f"v{i}", f"m{i}",
+                                           _PASSED.format(p=f"p{i}"))))
         except (KeyError, TypeError, AnalysisException):
-            fused.append((_error_result(*ids), ids))
-    fused = _analyzable(df, fused)
-    frames = []
-    if fused:
-        frames.append(df.agg(F.count("*"), *[r.alias(f"r{i}") for i, r in enumerate(fused)])
-                      .select(F.inline(F.array(*[F.col(f"r{i}") for i in range(len(fused))]))))
-    frames += [s.select("r.*") for s in separate]
+            results.append((i, _result(*ids)))
+    if results:
+        usable = _analyzable(df, fused)
+        rows = ", ".join(row if i in usable or i not in fused else
+                         _result(rules[i - 1], table_name, run_id, i) for i, row in results)
+        scan = df.agg(F.count("*").alias("total"), *[c for i in usable for c in fused[i]])
+        frames.insert(0, scan.selectExpr(f"inline_outer(array({rows}))"))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
     return out
 
 
-def _analyzable(df, fused):
-    rows = [row for row, _ in fused]
-    try:
-        df.agg(F.count("*"), *[r.alias(f"r{i}") for i, r in enumerate(rows)])
-        return rows
-    except AnalysisException:
-        checked = []
-        for row, ids in fused:
-            try:
-                df.agg(row)
-            except AnalysisException:
-                row = _error_result(*ids)
-            checked.append(row)
-        return checked
+def _analyzable(df: DataFrame, fused: dict[int, list[Column]]) -> list[int]:
+    """The rules whose aggregates the table's types allow."""
+    def fits(ids):
+        try:
+            df.agg(F.count("*"), *[c for i in ids for c in fused[i]])
+            return True
+        except AnalysisException:
+            return False
+
+    return list(fused) if fits(fused) else [i for i in fused if fits([i])]
 
 
 def violations(df: DataFrame, rules: Sequence[Rule], table_name: str, record_id: str,
@@ -407,8 +399,8 @@ def violations(df: DataFrame, rules: Sequence[Rule], table_name: str, record_id:
     """
     window = Window.partitionBy("rule_id").orderBy("_key", "value")
     return (tagged(df, rules)
-            .select(F.col(record_id).alias("_key"), F.explode("violated").alias("v"))
-            .select("_key", "v.rule_id", "v.value")
+            .select(F.col(record_id).alias("_key"), F.inline_outer("violated"))
+            .where("rule_id is not null")
             .withColumn("rank", F.row_number().over(window))
             .where(F.col("rank") <= keep)
             .select(F.lit(table_name).alias("table_name"), "rule_id",
@@ -417,7 +409,8 @@ def violations(df: DataFrame, rules: Sequence[Rule], table_name: str, record_id:
 
 def tagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds ``violated``: the id and offending value of each row-level rule a row breaks."""
-    tags = []
+    tag = "array<struct<rule_id:int,rule:string,value:string>>"
+    tags = [F.array().cast(tag)]
     for rule_id, rule in enumerate(rules, start=1):
         if rule.measure is None:
             continue
@@ -426,13 +419,10 @@ def tagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         except (KeyError, TypeError):
             continue
         if m.offends is not None:
-            tags.append(F.when(m.offends, F.struct(
-                F.lit(rule_id).cast("int").alias("rule_id"), F.lit(rule.text).alias("rule"),
-                m.value.alias("value"))))
-    if not tags:
-        empty = "array<struct<rule_id:int,rule:string,value:string>>"
-        return df.withColumn("violated", F.array().cast(empty))
-    return df.withColumn("violated", F.filter(F.array(*tags), lambda t: t.isNotNull()))
+            broken = F.array(F.struct(F.lit(rule_id).alias("rule_id"),
+                                      F.lit(rule.text).alias("rule"), m.value.alias("value")))
+            tags.append(F.when(m.offends, broken.cast(tag)).otherwise(F.array().cast(tag)))
+    return df.withColumn("violated", F.concat(*tags))
 
 
 # --- scores ----------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed_values as fv
+from .issues import unfold
 
 ISSUES = "_validation.issues"
 
@@ -27,7 +28,7 @@ def validation_summary(df: DataFrame) -> DataFrame:
 
 def errors_by_type(df: DataFrame) -> DataFrame:
     """Issues (not records) per type, warnings included, most frequent first."""
-    return (df.select(F.explode(ISSUES).alias("i")).groupBy(F.col("i.type").alias("type"))
+    return (df.select(unfold(F.col(ISSUES))).where("type is not null").groupBy("type")
             .agg(F.count("*").alias("issues")).orderBy(F.desc("issues"), "type"))
 
 

@@ -7,196 +7,208 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed_values as fv
-from ..functions.predicates import as_day, field_type, matches, required_missing
+from ..functions.predicates import field_type, java_pattern
 from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
-from .issues import ISSUES, count_severity, found, issue, status_of
-from .joins import interactions_of
+from .issues import (ISSUES, count_severity, found, found_sql, issue, name as quote, say,
+                     status_of, text)
 
 LEVELS_WITH_CODES = ("full", "strict")
 
 
-def _has(df: DataFrame, path: str) -> bool:
+def _type(df: DataFrame, path: str) -> T.DataType | None:
     try:
-        field_type(df.schema, path)
-        return True
+        return field_type(df.schema, path)
     except KeyError:
-        return False
+        return None
+
 
+def _raw(pattern: str) -> str:
+    """A pattern as a literal without escapes."""
+    return f'r"{pattern}"'
 
-def _say(*parts) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+def _gap(df: DataFrame, column: str) -> str:
+    dtype, name = _type(df, column), quote(column)
+    if dtype is None:
+        return "true"
+    if isinstance(dtype, T.StringType):
+        return f"({name} IS NULL OR {name} = '')"
+    if isinstance(dtype, T.ArrayType):
+        return f"({name} IS NULL OR size({name}) = 0)"
+    return f"{name} IS NULL"
 
 
 def missing_required(df: DataFrame, fields: Sequence[str] = fv.REQUIRED_FIELDS) -> list[Column]:
-    checks = []
-    for name in fields:
-        gap = required_missing(F.col(name), df.schema[name].dataType) if _has(df, name) \
-            else F.lit(True)
-        checks.append(found((gap, issue(
-            "MISSING_REQUIRED_FIELD", name, "ERROR",
-            F.lit(f"Required field '{name}' is missing or empty")))))
-    return checks
+    return [found((_gap(df, f), issue(
+        "MISSING_REQUIRED_FIELD", f, "ERROR",
+        text(f"Required field '{f}' is missing or empty")))) for f in fields]
+
+
+def _not_nan(dtype: T.DataType, number: str) -> str:
+    return f" AND NOT isnan({number})" if isinstance(dtype, (T.DoubleType, T.FloatType)) else ""
 
 
 def invalid_age(df: DataFrame) -> list[Column]:
     """Out of range, or not a number. A reader that keeps raw types (``read_json_strict``)
     hands over a non-numeric age in ``age_raw``."""
-    if not _has(df, "age"):
+    dtype = _type(df, "age")
+    if dtype is None:
         return []
-    age = F.col("age")
     low, high = fv.AGE_RANGE
-    if isinstance(df.schema["age"].dataType, T.StringType):
-        bad = age.isNotNull()
-    else:
-        bad = (age < low) | (age > high)
-        if isinstance(df.schema["age"].dataType, (T.DoubleType, T.FloatType)):
-            bad = bad & ~F.isnan(age)
-    shown = age.cast("string")
-    if _has(df, "age_raw"):
-        bad = F.coalesce(bad, F.lit(False)) | F.col("age_raw").isNotNull()
-        shown = F.coalesce(F.col("age_raw"), shown)
-    return [found((bad, issue("INVALID_AGE", "age", "ERROR",
-                              _say("Age ", shown, f" is outside valid range [{low}, {high}]"),
-                              shown)))]
+    bad = "age IS NOT NULL" if isinstance(dtype, T.StringType) else \
+        f"(age < {low} OR age > {high}){_not_nan(dtype, 'age')}"
+    shown = "CAST(age AS STRING)"
+    if _type(df, "age_raw") is not None:
+        bad, shown = f"coalesce({bad}, false) OR age_raw IS NOT NULL", f"coalesce(age_raw, {shown})"
+    return [found((bad, issue(
+        "INVALID_AGE", "age", "ERROR",
+        say("'Age '", shown, text(f" is outside valid range [{low}, {high}]")), shown)))]
 
 
 def invalid_gender(df: DataFrame) -> list[Column]:
     """Not in the set. Null counts as absent unless ``gender_is_null`` says otherwise."""
-    if not _has(df, "gender"):
+    if _type(df, "gender") is None:
         return []
-    gender = F.col("gender")
-    bad = ~gender.isin(fv.GENDERS)
-    shown = gender
-    if _has(df, "gender_is_null"):
-        bad = F.coalesce(bad, F.col("gender_is_null"), F.lit(False))
-        shown = F.coalesce(gender, F.lit("None"))
-    return [found((bad, issue("INVALID_GENDER", "gender", "WARNING",
-                              _say("Gender '", shown, "' not in standard set (M/F/O/U)"),
-                              gender)))]
+    bad = f"gender NOT IN ({', '.join(map(text, fv.GENDERS))})"
+    shown = "gender"
+    if _type(df, "gender_is_null") is not None:
+        bad, shown = f"coalesce({bad}, gender_is_null, false)", "coalesce(gender, 'None')"
+    return [found((bad, issue(
+        "INVALID_GENDER", "gender", "WARNING",
+        say(text("Gender '"), shown, text("' not in standard set (M/F/O/U)")), "gender")))]
+
+
+def _day(df: DataFrame, column: str) -> str:
+    dtype = _type(df, column)
+    if dtype is None:
+        return "CAST(NULL AS DATE)"
+    if isinstance(dtype, T.StringType):
+        return f"try_to_date({column}, 'yyyy-M-d')"
+    return f"CAST({column} AS DATE)"
 
 
 def date_checks(df: DataFrame, as_of) -> list[Column]:
     """Order, future, stated length of stay; or one issue when a date does not parse."""
-    text = {n: F.col(n) if _has(df, n) else F.lit(None).cast("string")
-            for n in ("admission_date", "discharge_date")}
-    day = {n: as_day(c, df.schema[n].dataType) if _has(df, n) else F.lit(None).cast("date")
-           for n, c in text.items()}
-    start, end = day["admission_date"], day["discharge_date"]
-    both = start.isNotNull() & end.isNotNull()
-    shown = text["discharge_date"]
-    bad_format = ~both
+    start, end = _day(df, "admission_date"), _day(df, "discharge_date")
+    shown = {c: f"CAST({c} AS STRING)" if _type(df, c) is not None else "''"
+             for c in ("admission_date", "discharge_date")}
+    now = "current_timestamp()" if as_of is None else f"CAST({text(str(as_of))} AS TIMESTAMP)"
+    both = f"{start} IS NOT NULL AND {end} IS NOT NULL"
+    bad_format = f"NOT ({both})"
     checks = [
-        found((end < start, issue("DATE_INCONSISTENCY", "discharge_date", "ERROR", _say(
-            "Discharge date (", shown, ") before admission date (", text["admission_date"],
-            ")")))),
-        found((both & (end.cast("timestamp") > F.lit(as_of).cast("timestamp")),
-               issue("FUTURE_DATE", "discharge_date", "ERROR",
-                     _say("Discharge date (", shown, ") is in the future")))),
+        found((f"{end} < {start}", issue("DATE_INCONSISTENCY", "discharge_date", "ERROR", say(
+            "'Discharge date ('", shown["discharge_date"], "') before admission date ('",
+            shown["admission_date"], "')'")))),
+        found((f"{both} AND CAST({end} AS TIMESTAMP) > {now}",
+               issue("FUTURE_DATE", "discharge_date", "ERROR", say(
+                   "'Discharge date ('", shown["discharge_date"], "') is in the future'")))),
     ]
-    if _has(df, "length_of_stay_days"):
-        stated = F.col("length_of_stay_days")
-        if isinstance(df.schema["length_of_stay_days"].dataType, T.NumericType):
-            actual = F.datediff(end, start)
-            checks.append(found((F.abs(actual - stated) > 1, issue(
-                "LOS_MISMATCH", "length_of_stay_days", "WARNING",
-                _say("Stated LOS (", stated, ") doesn't match computed (", actual, ")")))))
-        else:
-            bad_format = bad_format | stated.isNotNull()
+    stated = _type(df, "length_of_stay_days")
+    if isinstance(stated, T.NumericType):
+        actual = f"datediff({end}, {start})"
+        checks.append(found((f"abs({actual} - length_of_stay_days) > 1", issue(
+            "LOS_MISMATCH", "length_of_stay_days", "WARNING",
+            say("'Stated LOS ('", "CAST(length_of_stay_days AS STRING)",
+                text(") doesn't match computed ("), f"CAST({actual} AS STRING)", "')'")))))
+    elif stated is not None:
+        bad_format += " OR length_of_stay_days IS NOT NULL"
     checks.append(found((bad_format, issue(
         "INVALID_DATE_FORMAT", None, "ERROR",
-        F.lit("Could not parse admission or discharge date (expected YYYY-MM-DD)")))))
+        text("Could not parse admission or discharge date (expected YYYY-MM-DD)")))))
     return checks
 
 
-def _items(df: DataFrame, column: str) -> Column:
-    """An array column, with null read as empty."""
-    return F.coalesce(F.col(column), F.array().cast(df.schema[column].dataType))
-
-
 def invalid_codes(df: DataFrame) -> Column | None:
-    if not _has(df, "diagnoses"):
+    if _type(df, "diagnoses") is None:
         return None
-    codes = F.transform(_items(df, "diagnoses"), lambda d: d["icd10"])
-    bad = F.filter(codes, lambda c: (c != "") & ~matches(c, fv.ICD10_RECORD_PATTERN))
-    return F.transform(bad, lambda c: issue(
-        "INVALID_ICD10", "diagnoses.icd10", "ERROR",
-        _say("ICD-10 code '", c, "' does not match expected format"), c))
+    bad = (f"filter(transform(diagnoses, d -> d.icd10), c -> c <> '' AND NOT "
+           f"c RLIKE {_raw(java_pattern(fv.ICD10_RECORD_PATTERN))})")
+    each = issue("INVALID_ICD10", "diagnoses.icd10", "ERROR", say(
+        text("ICD-10 code '"), "c", text("' does not match expected format")), "c")
+    return F.expr(_each(bad, "c", each))
+
+
+def _each(array: str, element: str, what: str) -> str:
+    """An issue per element; none for a null array."""
+    return (f"coalesce(transform({array}, {element} -> {what}), CAST(array() AS {ISSUES}))")
 
 
 def vital_checks(df: DataFrame, ranges: Sequence[tuple] = fv.VITAL_RANGES,
                  struct: str = "vitals_at_discharge") -> list[Column]:
     """Not a number, out of range, or in the critical band, for each vital sign."""
     checks = []
-    for name, low, high, critical_low, critical_high in ranges:
-        path = f"{struct}.{name}"
-        if _has(df, path):
-            raw = F.col(path)
-            number = raw.cast("double") if isinstance(
-                field_type(df.schema, path), T.NumericType) else raw.try_cast("double")
-            checks.append(range_check(f"vitals.{name}", name, raw, number, low, high,
-                                      critical_low, critical_high))
+    for vital, *bounds in ranges:
+        path = f"{struct}.{vital}"
+        if _type(df, path) is not None:
+            checks.append(range_check(df, path, f"vitals.{vital}", vital, *bounds))
     return checks
 
 
-def range_check(field: str, label: str, raw: Column, number: Column, low, high, critical_low,
+def range_check(df: DataFrame, path: str, field: str, label: str, low, high, critical_low,
                 critical_high) -> Column:
     """At most one issue for a value with a plausible range and a critical band."""
-    outside = ((number < low) | (number > high)) & ~F.isnan(number)
-    critical = ((number <= critical_low) | (number >= critical_high)) & ~F.isnan(number)
-    shown = number.cast("string")
+    dtype, raw = field_type(df.schema, path), quote(path)
+    numeric = isinstance(dtype, T.NumericType)
+    number = f"CAST({raw} AS DOUBLE)" if numeric else f"TRY_CAST({raw} AS DOUBLE)"
+    sure = "" if isinstance(dtype, T.IntegralType) else f" AND NOT isnan({number})"
+    shown = f"CAST({number} AS STRING)"
+    cases = [] if numeric else [(f"{raw} IS NOT NULL AND {number} IS NULL", issue(
+        "INVALID_VITAL_VALUE", field, "ERROR",
+        text(f"Non-numeric vital sign value for {label}"), f"CAST({raw} AS STRING)"))]
     return found(
-        (raw.isNotNull() & number.isNull(), issue(
-            "INVALID_VITAL_VALUE", field, "ERROR",
-            F.lit(f"Non-numeric vital sign value for {label}"), raw.cast("string"))),
-        (outside, issue(
+        *cases,
+        (f"({number} < {float(low)}D OR {number} > {float(high)}D){sure}", issue(
             "VITAL_OUT_OF_RANGE", field, "ERROR",
-            _say(f"{label}=", shown, f" outside physiological range [{low}, {high}]"), shown)),
-        (critical, issue("VITAL_CRITICAL", field, "WARNING",
-                         _say(f"{label}=", shown, " is in critical range"), shown)))
+            say(text(f"{label}="), shown, text(f" outside physiological range [{low}, {high}]")),
+            shown)),
+        (f"({number} <= {float(critical_low)}D OR {number} >= {float(critical_high)}D){sure}",
+         issue("VITAL_CRITICAL", field, "WARNING",
+               say(text(f"{label}="), shown, "' is in critical range'"), shown)))
 
 
 def interaction_issues(df: DataFrame, rules: Sequence[tuple] = fv.DRUG_INTERACTIONS) -> Column | None:
-    if not _has(df, "medications"):
+    if _type(df, "medications") is None:
         return None
-    names = F.transform(_items(df, "medications"), lambda m: m["name"])
-    return F.transform(interactions_of(names, rules), lambda h: issue(
-        "DRUG_INTERACTION", "medications",
-        F.when(h["severity"] == "HIGH", "ERROR").otherwise("WARNING"),
-        _say("Drug interaction (", h["severity"], "): ", F.array_join(h["drugs"], " + "),
-             " — ", h["description"]),
-        drugs=h["drugs"], interaction_severity=h["severity"]))
+    names = "transform(medications, m -> m.name)"
+    checks = []
+    for a, b, severity, description in rules:
+        pair = sorted((a, b))
+        checks.append(found_sql((
+            f"array_contains({names}, {text(a)}) AND array_contains({names}, {text(b)})",
+            issue("DRUG_INTERACTION", "medications", "ERROR" if severity == "HIGH" else "WARNING",
+                  text(f"Drug interaction ({severity}): {' + '.join(pair)} — {description}"),
+                  drugs=f"array({', '.join(map(text, pair))})",
+                  interaction_severity=text(severity)))))
+    return F.expr(f"concat({', '.join(checks)})") if checks else None
 
 
 def missing_note(df: DataFrame) -> Column:
-    gap = required_missing(F.col("clinical_note"), T.StringType()) \
-        if _has(df, "clinical_note") else F.lit(True)
-    return found((gap, issue("MISSING_CLINICAL_NOTE", "clinical_note", "WARNING",
-                             F.lit("No clinical note attached to record"))))
+    return found((_gap(df, "clinical_note"), issue(
+        "MISSING_CLINICAL_NOTE", "clinical_note", "WARNING",
+        text("No clinical note attached to record"))))
 
 
 def bad_doses(df: DataFrame) -> Column | None:
-    if not _has(df, "medications"):
+    if _type(df, "medications") is None:
         return None
-    doses = F.transform(_items(df, "medications"), lambda m: m["dose"])
-    bad = F.filter(doses, lambda d: (d != "") & ~matches(d, fv.DOSE_PATTERN, True))
-    return F.transform(bad, lambda d: issue(
-        "INVALID_DOSAGE_FORMAT", "medications.dose", "WARNING",
-        _say("Dosage '", d, "' may not be in standard format"), d))
+    bad = (f"filter(transform(medications, m -> m.dose), d -> d <> '' AND NOT "
+           f"d RLIKE {_raw(java_pattern(fv.DOSE_PATTERN, True))})")
+    each = issue("INVALID_DOSAGE_FORMAT", "medications.dose", "WARNING", say(
+        text("Dosage '"), "d", text("' may not be in standard format")), "d")
+    return F.expr(_each(bad, "d", each))
 
 
 def record_issues(df: DataFrame, level: str, as_of,
                   extra: Sequence[Callable[[DataFrame], Column]] = ()) -> Column:
     """All issues of a record, in the order of the checks. ``extra`` are user rules:
-    functions from the frame to an issue Column that is null where the rule holds."""
+    functions from the frame to a Column with an array of issues (see ``issues.found``)."""
     parts = missing_required(df) + invalid_age(df) + invalid_gender(df) + date_checks(df, as_of)
     if level in LEVELS_WITH_CODES:
         parts += [invalid_codes(df), *vital_checks(df), interaction_issues(df)]
     if level == "strict":
         parts += [missing_note(df), bad_doses(df)]
-    for rule in extra:
-        own = rule(df)
-        parts.append(found((own.isNotNull(), own)))
-    return F.concat(*[p.cast(ISSUES) for p in parts if p is not None])
+    parts += [rule(df) for rule in extra]
+    return F.concat(*[p for p in parts if p is not None])
 
 
 def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None = None,
@@ -207,12 +219,11 @@ def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None =
     ``full`` and ``strict`` also run the text gates over ``note``. Everything is one
     narrow projection: no shuffle, no Python.
     """
-    as_of = F.current_timestamp() if as_of is None else as_of
     issues = record_issues(df, level, as_of, extra)
     out, relevance = df, F.lit(None).cast("double")
     if level in LEVELS_WITH_CODES and note is not None:
         out = with_signals(out, note, patterns)
-        issues = F.concat(issues, gate_issues(F.col(record_id)))
+        issues = F.concat(issues, gate_issues(record_id))
         relevance = relevance_score()
     errors, warnings = F.col("_errors"), F.col("_warnings")
     out = (out.withColumn("_issues", issues)

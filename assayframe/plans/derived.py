@@ -7,7 +7,7 @@ has rows that pass and rows that fail at any scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import fixed_values as fv
 from .registry import spread_table
@@ -35,89 +35,85 @@ ENDINGS = {
 GARBLED = "BP ok 120/80 ## 44 $$ 9"
 
 
-def _pick(values, index):
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+DIAGNOSES = "array<struct<icd10:string,description:string>>"
+MEDICATIONS = "array<struct<name:string,dose:string,frequency:string>>"
+
+
+def quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def spark_quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pick(values, index: str) -> str:
+    return f"element_at(array({', '.join(map(spark_quoted, values))}), cast({index} + 1 as int))"
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(spread_table(spark, sf_dir, "orders"))
 
 
-def records_of(o: DataFrame) -> DataFrame:
+def records_of(orders: DataFrame) -> DataFrame:
     """Records of orders, batch or stream."""
-    k, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
-    day = F.col("o_orderdate").cast("date")
-    shift = k % 15 - 1
     codes = [code for code, _ in fv.ICD10_DESCRIPTIONS]
     names = [name for _, name in fv.ICD10_DESCRIPTIONS]
-    first = F.struct(_pick(codes, k % 10).alias("icd10"), _pick(names, k % 10).alias("description"))
-    second = F.struct(_pick(fv.INVALID_CODES, k % 5).alias("icd10"),
-                      F.lit("UNKNOWN").alias("description"))
-    dx = "array<struct<icd10:string,description:string>>"
-    rx = "array<struct<name:string,dose:string,frequency:string>>"
-    meds = F.concat(*[
-        F.when((k + 5 * i) % 11 < 2, F.array(F.struct(
-            F.lit(name).alias("name"),
-            F.when(k % 37 == 0, "one pill").otherwise(dose).alias("dose"),
-            F.lit(freq).alias("frequency"))).cast(rx)).otherwise(F.array().cast(rx))
-        for i, (name, dose, freq) in enumerate(DOSED)])
-    no_bp = k % 13 == 0
-    vitals = F.struct(
-        F.when(~no_bp, 40 + k % 260).alias("systolic_bp"),
-        F.when(~no_bp, 20 + k % 150).alias("diastolic_bp"),
-        (k % 240 - 10).alias("heart_rate"),
-        F.round(F.lit(88.0) + (c % 230) / 10, 1).alias("temperature_f"),
-        (4 + c % 62).alias("respiratory_rate"), (45 + k % 60).alias("oxygen_saturation"))
-    return o.select(
-        k.alias("record_id"),
-        F.concat(F.lit("MRN-"), F.lpad(F.when(k % 97 == 1, k - 1).otherwise(k).cast("string"),
-                                       6, "0")).alias("mrn"),
-        F.when(k % 50 == 0, "").when(k % 50 == 1, None).when(k % 50 == 2, "René Müller-Straße")
-        .otherwise(F.concat(F.lit("Patient "), c.cast("string"))).alias("patient_name"),
-        F.when(k % 61 != 0, c % 130 - 5).alias("age"),
-        F.when(s == "F", "F").when(s == "O", "M").when(k % 3 == 0, "U").when(k % 3 == 1, "X")
-        .alias("gender"),
-        F.when(k % 71 == 0, "not a date").when(k % 71 == 1, F.date_format(day, "yyyy-M-d"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd")).alias("admission_date"),
-        F.when(k % 83 == 0, None).when(k % 83 == 1, "")
-        .otherwise(F.date_format(F.date_add(day, shift.cast("int")), "yyyy-MM-dd"))
-        .alias("discharge_date"),
-        F.when(k % 89 != 0, shift + F.when(k % 11 == 0, 2).when(k % 11 == 1, 1).otherwise(0))
-        .alias("length_of_stay_days"),
-        F.when(k % 101 == 0, F.lit(None).cast(dx)).when(k % 6 == 0, F.array().cast(dx))
-        .when(k % 4 == 0, F.array(first, second)).otherwise(F.array(first)).alias("diagnoses"),
-        F.when(k % 103 == 0, F.lit(None).cast(rx)).when(k % 17 == 0, F.array().cast(rx))
-        .otherwise(meds).alias("medications"),
-        F.when(k % 107 != 0, vitals).alias("vitals_at_discharge"),
-        F.concat(F.lit("Dr. "), _pick(DOCTORS, k % 6)).alias("attending_physician"),
-        F.when(k % 19 != 0, _pick(DEPARTMENTS, k % 6)).alias("department"),
-        F.when(k % 5 == 0, F.concat(F.lit("Inline note for "), k.cast("string")))
-        .when(k % 5 == 1, "").alias("clinical_note"))
+    first = (f"named_struct('icd10', {_pick(codes, 'k % 10')}, "
+             f"'description', {_pick(names, 'k % 10')})")
+    second = (f"named_struct('icd10', {_pick(fv.INVALID_CODES, 'k % 5')}, "
+              "'description', 'UNKNOWN')")
+    meds = ", ".join(
+        f"if((k + {5 * i}) % 11 < 2, array(named_struct('name', '{name}', 'dose', "
+        f"if(k % 37 = 0, 'one pill', '{dose}'), 'frequency', '{freq}')), "
+        f"cast(array() as {MEDICATIONS}))" for i, (name, dose, freq) in enumerate(DOSED))
+    return orders.selectExpr(
+        "o_orderkey AS k", "o_custkey AS c", "o_orderstatus AS s",
+        "cast(o_orderdate AS date) AS day", "o_orderkey % 15 - 1 AS shift").selectExpr(
+        "k AS record_id",
+        "concat('MRN-', lpad(cast(if(k % 97 = 1, k - 1, k) AS string), 6, '0')) AS mrn",
+        "CASE k % 50 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'René Müller-Straße' "
+        "ELSE concat('Patient ', c) END AS patient_name",
+        "CASE WHEN k % 61 <> 0 THEN c % 130 - 5 END AS age",
+        "CASE WHEN s = 'F' THEN 'F' WHEN s = 'O' THEN 'M' WHEN k % 3 = 0 THEN 'U' "
+        "WHEN k % 3 = 1 THEN 'X' END AS gender",
+        "CASE WHEN k % 71 = 0 THEN 'not a date' WHEN k % 71 = 1 THEN date_format(day, 'yyyy-M-d') "
+        "ELSE date_format(day, 'yyyy-MM-dd') END AS admission_date",
+        "CASE WHEN k % 83 = 0 THEN NULL WHEN k % 83 = 1 THEN '' ELSE "
+        "date_format(date_add(day, cast(shift AS int)), 'yyyy-MM-dd') END AS discharge_date",
+        "CASE WHEN k % 89 <> 0 THEN shift + CASE k % 11 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END "
+        "END AS length_of_stay_days",
+        f"CASE WHEN k % 101 = 0 THEN NULL WHEN k % 6 = 0 THEN cast(array() AS {DIAGNOSES}) "
+        f"WHEN k % 4 = 0 THEN array({first}, {second}) ELSE array({first}) END AS diagnoses",
+        f"CASE WHEN k % 103 = 0 THEN NULL WHEN k % 17 = 0 THEN cast(array() AS {MEDICATIONS}) "
+        f"ELSE concat({meds}) END AS medications",
+        "CASE WHEN k % 107 <> 0 THEN named_struct("
+        "'systolic_bp', CASE WHEN k % 13 <> 0 THEN 40 + k % 260 END, "
+        "'diastolic_bp', CASE WHEN k % 13 <> 0 THEN 20 + k % 150 END, 'heart_rate', k % 240 - 10, "
+        "'temperature_f', round(88D + (c % 230) / 10D, 1), 'respiratory_rate', 4 + c % 62, "
+        "'oxygen_saturation', 45 + k % 60) END AS vitals_at_discharge",
+        f"concat('Dr. ', {_pick(DOCTORS, 'k % 6')}) AS attending_physician",
+        f"CASE WHEN k % 19 <> 0 THEN {_pick(DEPARTMENTS, 'k % 6')} END AS department",
+        "CASE WHEN k % 5 = 0 THEN concat('Inline note for ', k) WHEN k % 5 = 1 THEN '' "
+        "END AS clinical_note")
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread_table(spark, sf_dir, "documents")
-    i, text = F.col("doc_id"), F.col("text")
-    body = F.when(i % 9 == 5, F.when(i % 2 == 0, "").otherwise("   ")).when(i % 9 == 6, GARBLED)
-    for rest, ending in ENDINGS.items():
-        body = body.when(i % 9 == rest, F.concat(text, F.lit(ending)))
-    return d.select(
-        F.when(i % 7 == 1, i - 1).otherwise(i).alias("record_id"), i.alias("seq"),
-        F.when(i % 41 == 0, "MRN-X")
-        .otherwise(F.concat(F.lit("MRN-"), F.lpad(i.cast("string"), 6, "0"))).alias("mrn"),
-        F.when(i % 53 == 0, "Letter").otherwise(_pick(fv.NOTE_TYPES, i % 3)).alias("note_type"),
-        body.otherwise(text).alias("note_text"),
-        F.concat(F.lit("Dr. "), _pick(DOCTORS, i % 6)).alias("author"),
-        F.when(i % 31 == 0, "2024/01/01").otherwise(F.concat(
-            F.lit("2024-01-"), F.lpad((i % 28 + 1).cast("string"), 2, "0"))).alias("date"))
+    endings = " ".join(f"WHEN {rest} THEN concat(text, {spark_quoted(ending)})"
+                       for rest, ending in ENDINGS.items())
+    return spread_table(spark, sf_dir, "documents").selectExpr("doc_id AS i", "text").selectExpr(
+        "if(i % 7 = 1, i - 1, i) AS record_id", "i AS seq",
+        "if(i % 41 = 0, 'MRN-X', concat('MRN-', lpad(cast(i AS string), 6, '0'))) AS mrn",
+        f"if(i % 53 = 0, 'Letter', {_pick(fv.NOTE_TYPES, 'i % 3')}) AS note_type",
+        f"CASE i % 9 WHEN 5 THEN if(i % 2 = 0, '', '   ') WHEN 6 THEN {spark_quoted(GARBLED)} "
+        f"{endings} ELSE text END AS note_text",
+        f"concat('Dr. ', {_pick(DOCTORS, 'i % 6')}) AS author",
+        "if(i % 31 = 0, '2024/01/01', concat('2024-01-', lpad(cast(i % 28 + 1 AS string), 2, '0')))"
+        " AS date")
 
 
 # --- the same in SQL ---------------------------------------------------------------------
 
-def quoted(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
 def listed(values) -> str:
     return "[" + ", ".join(quoted(v) for v in values) + "]"
 

@@ -125,7 +125,7 @@ def event_metrics(spark, sf_dir):
     both = F.array(reading(name, count, dims),
                    reading(F.lit("Validation_ErrorsByType"), F.lit(1.0), of_type))
     one = F.array(reading(name, count, dims))
-    return e.select(F.inline(F.when(kind == "error", both).otherwise(one)))
+    return e.select(F.inline_outer(F.when(kind == "error", both).otherwise(one)))
 
 
 _CASE = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{n}'" for e, n in _NAMES.items()) + " END"

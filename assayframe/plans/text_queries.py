@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..operators import entities as en, gates, payloads, summaries, validation as v
+from ..operators.issues import unfold
 from ..operators.joins import join_notes, join_notes_typed
 from . import derived
 from .derived import AS_OF, quoted, with_ctes
@@ -102,7 +103,7 @@ def gated(spark, sf_dir):
 
 def _gate(name, kind, test=None):
     def run(spark, sf_dir):
-        out = gated(spark, sf_dir).select("record_id", F.inline("gate_issues")).where(
+        out = gated(spark, sf_dir).select("record_id", unfold(F.col("gate_issues"))).where(
             F.col("type") == kind)
         if test is not None:
             out = out.where(test)
@@ -288,7 +289,7 @@ FROM (SELECT record_id, unnest(entities) AS e, generate_subscripts(entities, 1)
                                      src=NOTE_SRC, ent=ENTITIES_SQL))
 def _(spark, sf_dir):
     return en.with_entities(noted(spark, sf_dir), "note").select(
-        "record_id", F.inline("entities")).drop("traits")
+        "record_id", unfold(F.col("entities"))).where("type is not null").drop("traits")
 
 
 def _with_standard(df, note="note"):
@@ -345,7 +346,8 @@ SELECT record_id, unnest(regexp_extract_all({ASCII},
 def _(spark, sf_dir):
     out = en.with_custom_entities(noted(spark, sf_dir), "note", email_extractor)
     plain = F.regexp_replace("text", r"[^\x00-\x7F]", "q")
-    return out.select("record_id", F.inline("entities")).select("record_id", plain.alias("found"))
+    return out.select("record_id", unfold(F.col("entities"))).where("type is not null").select(
+        "record_id", plain.alias("found"))
 
 
 # --- prompts and payloads --------------------------------------------------------------------------

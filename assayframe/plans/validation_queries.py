@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import missing, required_missing
-from ..operators import joins, records as rec_ops, routing, rules as r, summaries
-from ..operators import validation as v
+from ..operators import joins, records as rec_ops, routing, rules as r, summaries, validation as v
+from ..operators.issues import found, issue, unfold
 from . import derived
 from .derived import AS_OF, listed, quoted, with_ctes
 from .registry import query, table
@@ -107,7 +107,7 @@ def _check(name, sql, checks, kinds=None, frame=derived.records):
         df = frame(spark, sf_dir)
         found = checks(df)
         found = F.concat(*found) if isinstance(found, list) else found
-        out = df.select("record_id", F.inline(found.cast(v.ISSUES)))
+        out = df.select("record_id", unfold(found)).where("type is not null")
         if kinds:
             out = out.where(F.col("type").isin(kinds))
         return out.select(*ISSUE_COLUMNS)
@@ -145,8 +145,7 @@ _check("v_vital_not_numeric", issue_sql(
 
 
 def generic_bands(df):
-    return [v.range_check("p_size", "p_size", F.col("p_size"), F.col("p_size").cast("double"),
-                          3, 45, 6, 40)]
+    return v.range_check(df, "p_size", "p_size", "p_size", 3, 45, 6, 40)
 
 
 @query("v_range_critical", " UNION ALL ".join(
@@ -155,7 +154,7 @@ def generic_bands(df):
                "FROM part)")).replace("'vitals.p_size'", "'p_size'"))
 def _(spark, sf_dir):
     df = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "record_id")
-    return df.select("record_id", F.inline(generic_bands(df)[0])).select(
+    return df.select("record_id", unfold(generic_bands(df))).where("type is not null").select(
         *ISSUE_COLUMNS)
 
 
@@ -334,9 +333,9 @@ _PAIRS = " UNION ALL ".join(
 def _(spark, sf_dir):
     names = F.transform("medications", lambda m: m["name"])
     hits = joins.interactions_of(names)
-    return derived.records(spark, sf_dir).select("record_id", F.explode(hits).alias("h")).select(
-        "record_id", F.col("h.drugs")[0].alias("drug_1"), F.col("h.drugs")[1].alias("drug_2"),
-        "h.severity")
+    return derived.records(spark, sf_dir).select("record_id", unfold(hits)).where("severity is not null").select(
+        "record_id", F.col("drugs")[0].alias("drug_1"), F.col("drugs")[1].alias("drug_2"),
+        "severity")
 
 
 @query("drug_interactions_table", with_ctes("rec", _PAIRS))
@@ -421,12 +420,10 @@ def _(spark, sf_dir):
 SELECT record_id, 'DEPARTMENT_MISSING' AS type, 'WARNING' AS severity FROM rec
 WHERE department IS NULL"""))
 def _(spark, sf_dir):
-    from ..operators.issues import issue
-
     def department(df):
-        return F.when(F.col("department").isNull(), issue(
-            "DEPARTMENT_MISSING", "department", "WARNING", F.lit("No department")))
+        return found(("department IS NULL", issue(
+            "DEPARTMENT_MISSING", "department", "WARNING", "'No department'")))
 
     df = v.validate(derived.records(spark, sf_dir), "basic", AS_OF, extra=[department])
-    return df.select("record_id", F.inline(f"{_V}.issues")).where(
+    return df.select("record_id", unfold(F.col(f"{_V}.issues"))).where(
         "type = 'DEPARTMENT_MISSING'").select("record_id", "type", "severity")
