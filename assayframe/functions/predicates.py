@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-#: Python's idea of white space, written out so the fast ASCII classes can be used.
-SPACE = (r"\s\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}"
-         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
-WORD = f"[^{SPACE}]+"
+#: Members of a class of white space as Python sees it; needs the flag ``(?U)``.
+SPACE = r"\s\x1C-\x1F"
+WORD = f"(?U)[^{SPACE}]+"
 
 
 def field_type(schema: T.StructType, path: str) -> T.DataType:
@@ -36,30 +35,6 @@ def required_missing(col: Column, dtype: T.DataType) -> Column:
     return col.isNull()
 
 
-def as_day(col: Column, dtype: T.DataType) -> Column:
-    """Date of a ``yyyy-M-d`` text (null when it does not parse), or of a date column."""
-    if isinstance(dtype, T.StringType):
-        return F.try_to_date(col, "yyyy-M-d")
-    return col.cast("date")
-
-
-def outside(col: Column, dtype: T.DataType, low=None, high=None) -> Column:
-    """True where the value lies outside the bounds; null and NaN are not outside."""
-    bad = F.lit(False)
-    if low is not None:
-        bad = bad | (col < F.lit(low))
-    if high is not None:
-        bad = bad | (col > F.lit(high))
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        bad = bad & ~F.isnan(col)
-    return F.coalesce(bad, F.lit(False))
-
-
-def matches(col: Column, pattern: str, ignore_case: bool = False) -> Column:
-    """Regex search with Unicode classes and ``$`` that only yields to ``\\n``."""
-    return col.rlike(java_pattern(pattern, ignore_case))
-
-
 def java_pattern(pattern: str, ignore_case: bool = False) -> str:
     return f"(?{'i' if ignore_case else ''}Ud){pattern}"
 
@@ -70,4 +45,4 @@ def word_count(col: Column) -> Column:
 
 def blank(col: Column) -> Column:
     """Null, empty or white space only."""
-    return col.isNull() | ~col.rlike(f"[^{SPACE}]")
+    return col.isNull() | ~col.rlike(f"(?U)[^{SPACE}]")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import java_pattern
-from .issues import name, text
+from ..functions.sql import name, text
 
 ENTITY = ("struct<id:int,text:string,category:string,type:string,score:double,begin:int,end:int,"
           "traits:array<struct<name:string,score:double>>,normalized:string>")

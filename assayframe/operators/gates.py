@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as fv
 from ..functions.patterns import by_first_letter
 from ..functions.predicates import SPACE, java_pattern, word_count
-from .issues import NULL, found_sql, issue, name, say, text
+from ..functions.sql import NULL, name, say, text
+from .issues import found_sql, issue
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ class GatePatterns:
 
 #: A sentence of three or more words: a run without sentence ends holding two gaps.
 #: Possessive, and only tried at word starts, so long unbroken text stays linear.
-_FULL_SENTENCE = (rf"(?<![^.!?{SPACE}])[^.!?{SPACE}]++[{SPACE}]++[^.!?{SPACE}]++[{SPACE}]++"
+_FULL_SENTENCE = (rf"(?U)(?<![^.!?{SPACE}])[^.!?{SPACE}]++[{SPACE}]++[^.!?{SPACE}]++[{SPACE}]++"
                   r"[^.!?" + SPACE + r"]++[^.!?]*+")
 
 
@@ -70,7 +71,7 @@ def text_signals(note: Column, patterns: GatePatterns = GatePatterns()) -> dict[
     return {
         "words": word_count(body),
         "chars": F.length(body),
-        "letters": F.length(F.regexp_replace(body, rf"[^\p{{L}}{SPACE}]+", "")),
+        "letters": F.length(F.regexp_replace(body, rf"(?U)[^\p{{L}}{SPACE}]+", "")),
         "profanity": find_words(body, patterns.profanity),
         "phi": F.concat(*[F.when(_has_phi(body, p), F.array(F.lit(p.name))).otherwise(
             F.array().cast("array<string>")) for p in patterns.phi]),

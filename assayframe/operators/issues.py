@@ -1,29 +1,14 @@
-"""The issue struct all validation and gate checks share.
-
-Checks are written as SQL expressions: a record has dozens of them, and one parsed
-expression each builds faster than a tree of Column calls.
-"""
+"""The issue struct all validation and gate checks share, written as SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from ..functions.sql import NULL, text
+
 ISSUE_TYPE = ("struct<type:string,field:string,severity:string,value:string,message:string,"
               "drugs:array<string>,interaction_severity:string>")
 ISSUES = f"array<{ISSUE_TYPE}>"
-NULL = "CAST(NULL AS STRING)"
-
-
-def text(value: str | None) -> str:
-    """A string literal."""
-    if value is None:
-        return NULL
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
-
-
-def name(column: str) -> str:
-    """A column or dotted field, quoted."""
-    return ".".join(f"`{part}`" for part in column.split("."))
 
 
 def issue(kind: str, field: str | None, severity: str, message: str, value: str = NULL,
@@ -36,11 +21,6 @@ def issue(kind: str, field: str | None, severity: str, message: str, value: str
             f"'interaction_severity', {interaction_severity})")
 
 
-def say(*parts: str) -> str:
-    """Concatenation of SQL expressions."""
-    return f"concat({', '.join(parts)})"
-
-
 def found_sql(*cases: tuple[str, str]) -> str:
     """An array with the issue of the first case (test, issue) that holds, or an empty one."""
     whens = " ".join(f"WHEN {test} THEN array({what})" for test, what in cases)

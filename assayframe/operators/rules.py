@@ -1,6 +1,6 @@
 """Declarative data-quality rules.
 
-A rule is a set of aggregate Columns over a table. All rules of a table that need
+A rule is a set of aggregate expressions over a table. All rules of a table that need
 nothing but its rows are evaluated in one aggregation, so the table is scanned once
 however many rules there are; Catalyst merges equal aggregates between rules. Only
 uniqueness (which has to shuffle its key) and free SQL run beside that scan.
@@ -9,14 +9,14 @@ uniqueness (which has to shuffle its key) and free SQL run beside that scan.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions import fixed_values as fv
-from ..functions.predicates import as_day, field_type, matches, missing, outside
-from .issues import name, text
+from ..functions.predicates import field_type, java_pattern
+from ..functions.sql import NULL, day, literal, missing, name, number, outside, share, text
 
 RESULT_COLUMNS = [
     "table_name", "run_id", "rule_id", "rule", "type", "column",
@@ -26,14 +26,17 @@ RESULT_COLUMNS = [
 
 @dataclass(frozen=True)
 class Measures:
-    """What one rule computes over a table. The first four are aggregates."""
+    """What one rule computes over a table, as SQL expressions.
 
-    checked: Column
-    violations: Column
-    metric: Column
-    passed: Column
-    offends: Column | None = None
-    value: Column | None = None
+    The first four are aggregates; ``offends`` and ``value`` belong to a row.
+    """
+
+    checked: str
+    violations: str
+    metric: str
+    passed: str
+    offends: str | None = None
+    value: str = NULL
 
 
 @dataclass(frozen=True)
@@ -44,35 +47,44 @@ class Rule:
     measure: Callable[[T.StructType], Measures] | None = None
     unique_key: tuple[str, ...] = ()
     sql: str | None = None
-    accept: Callable[[Column], Column] | None = None
-    params: dict = field(default_factory=dict, compare=False)
-
-
-def _count_true(cond: Column) -> Column:
-    return F.count_if(cond)
+    accept: str | None = None
 
 
-def _ratio(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+NO_COUNT = "CAST(NULL AS BIGINT)"
 
 
-def _numeric(dtype: T.DataType, column: str) -> None:
+def _numeric(schema: T.StructType, column: str) -> T.DataType:
+    dtype = field_type(schema, column)
     if not isinstance(dtype, T.NumericType):
         raise TypeError(f"{column} is not numeric")
+    return dtype
+
+
+def _text_of(schema: T.StructType, column: str) -> str:
+    dtype = field_type(schema, column)
+    return name(column) if isinstance(dtype, T.StringType) else f"CAST({name(column)} AS STRING)"
+
+
+def _share_measures(checked: str, bad: str, threshold: float | None, value: str) -> Measures:
+    """A rule on the share of checked rows that are not bad: all, or ``threshold``."""
+    count = f"count_if({bad})"
+    good = share(f"{checked} - {count}", checked)
+    passed = f"{count} = 0" if threshold is None else f"{good} >= {number(float(threshold))}"
+    return Measures(checked, count, f"round({good}, 4)", passed, bad, value)
 
 
-def _text(col: Column, dtype: T.DataType) -> Column:
-    return col if isinstance(dtype, T.StringType) else col.cast("string")
+def _count_measures(checked: str, bad: str, most: int, value: str) -> Measures:
+    """A rule on the number of bad rows."""
+    count = f"count_if({bad})"
+    return Measures(checked, count, count, f"{count} <= {most}", bad, value)
 
 
 def completeness(column: str, threshold: float) -> Rule:
     """Share of rows whose value is not missing, at least ``threshold``."""
 
     def measure(schema):
-        gap = missing(F.col(column), field_type(schema, column))
-        share = _ratio(_count_true(~gap), F.count("*"))
-        return Measures(F.count("*"), _count_true(gap), F.round(share, 4),
-                        share >= threshold, gap, F.col(column).cast("string"))
+        gap = missing(column, field_type(schema, column))
+        return _share_measures("count(*)", gap, threshold, _text_of(schema, column))
 
     return Rule(f'Completeness "{column}" >= {threshold}', "Completeness", column, measure)
 
@@ -82,25 +94,17 @@ def is_complete(column: str) -> Rule:
     return Rule(f'IsComplete "{column}"', "Completeness", column, inner.measure)
 
 
-def _bounds_rule(text, rule_type, column, low, high, null_policy, threshold):
+def _bounds_rule(rule_text, rule_type, column, low, high, null_policy, threshold):
     if null_policy not in ("skip", "fail"):
         raise ValueError(f"null_policy: {null_policy}")
 
     def measure(schema):
-        dtype = field_type(schema, column)
-        _numeric(dtype, column)
-        col = F.col(column)
-        bad = outside(col, dtype, low, high)
+        bad, checked = outside(column, _numeric(schema, column), low, high), f"count({name(column)})"
         if null_policy == "fail":
-            bad, checked = bad | col.isNull(), F.count("*")
-        else:
-            checked = F.count(col)
-        count = _count_true(bad)
-        share = _ratio(checked - count, checked)
-        passed = count == 0 if threshold is None else share >= threshold
-        return Measures(checked, count, F.round(share, 4), passed, bad, col.cast("string"))
+            bad, checked = f"({bad} OR {name(column)} IS NULL)", "count(*)"
+        return _share_measures(checked, bad, threshold, _text_of(schema, column))
 
-    return Rule(text, rule_type, column, measure)
+    return Rule(rule_text, rule_type, column, measure)
 
 
 def value_range(column, low, high, null_policy="skip", threshold=None) -> Rule:
@@ -108,10 +112,10 @@ def value_range(column, low, high, null_policy="skip", threshold=None) -> Rule:
 
     ``null_policy="skip"`` leaves nulls out; ``"fail"`` counts a null as a violation.
     """
-    text = f'ColumnValues "{column}" between {low} and {high}'
+    rule_text = f'ColumnValues "{column}" between {low} and {high}'
     if threshold is not None:
-        text += f" with threshold >= {threshold}"
-    return _bounds_rule(text, "Range", column, low, high, null_policy, threshold)
+        rule_text += f" with threshold >= {threshold}"
+    return _bounds_rule(rule_text, "Range", column, low, high, null_policy, threshold)
 
 
 def minimum(column, low, null_policy="skip") -> Rule:
@@ -131,69 +135,55 @@ def unique(*columns: str) -> Rule:
     return Rule(f'Uniqueness "{listed}" = 1.0', "Uniqueness", listed, unique_key=tuple(columns))
 
 
-def date_order(start: str, end: str, text: str | None = None) -> Rule:
+def date_order(start: str, end: str, rule_text: str | None = None) -> Rule:
     """No ``end`` before ``start``; rows with a date that does not parse are skipped."""
 
     def measure(schema):
-        first = as_day(F.col(start), field_type(schema, start))
-        last = as_day(F.col(end), field_type(schema, end))
-        bad = F.coalesce(last < first, F.lit(False))
-        checked = _count_true(first.isNotNull() & last.isNotNull())
-        count = _count_true(bad)
-        return Measures(checked, count, F.round(_ratio(checked - count, checked), 4),
-                        count == 0, bad,
-                        F.concat_ws(" < ", F.col(end).cast("string"), F.col(start).cast("string")))
+        first, last = (day(c, field_type(schema, c)) for c in (start, end))
+        checked = f"count_if({first} IS NOT NULL AND {last} IS NOT NULL)"
+        value = f"concat_ws(' < ', {_text_of(schema, end)}, {_text_of(schema, start)})"
+        return _share_measures(checked, f"coalesce({last} < {first}, false)", None, value)
 
-    return Rule(text or f"CustomSql: {end} >= {start}", "Consistency", end, measure)
+    return Rule(rule_text or f"CustomSql: {end} >= {start}", "Consistency", end, measure)
 
 
-def pattern(column, regex, threshold=1.0, text=None, rule_type="RegexMatch") -> Rule:
+def pattern(column, regex, threshold=1.0, rule_text=None, rule_type="RegexMatch") -> Rule:
     """Share of non-empty values that match from their start; none at all fails."""
 
     def measure(schema):
-        dtype = field_type(schema, column)
-        col = _text(F.col(column), dtype)
-        eligible = F.coalesce(col != "", F.lit(False))
-        bad = eligible & ~matches(col, f"^(?:{regex})")
-        checked, count = _count_true(eligible), _count_true(bad)
-        share = _ratio(checked - count, checked)
-        return Measures(checked, count, F.round(share, 4), share >= threshold, bad,
-                        F.substring(col, 1, 80))
+        col = _text_of(schema, column)
+        eligible = f"coalesce({col} <> '', false)"
+        bad = f"({eligible} AND NOT {col} RLIKE {text(java_pattern(f'^(?:{regex})'))})"
+        return _share_measures(f"count_if({eligible})", bad, threshold, f"substring({col}, 1, 80)")
 
-    text = text or f'ColumnValues "{column}" matches "{regex}" (threshold >= {threshold})'
-    return Rule(text, rule_type, column, measure)
+    rule_text = rule_text or f'ColumnValues "{column}" matches "{regex}" (threshold >= {threshold})'
+    return Rule(rule_text, rule_type, column, measure)
 
 
 def icd10(column: str, threshold: float = 0.90) -> Rule:
     return pattern(column, fv.ICD10_RULE_PATTERN, threshold, rule_type="Format",
-                   text=f'ColumnValues "{column}" matches ICD-10 pattern '
-                        f"(threshold >= {threshold:.2f})")
+                   rule_text=f'ColumnValues "{column}" matches ICD-10 pattern '
+                             f"(threshold >= {threshold:.2f})")
 
 
 def values_in(column: str, allowed: Sequence) -> Rule:
     """Every non-null value is allowed; the empty text is a value."""
 
     def measure(schema):
-        field_type(schema, column)
-        col = F.col(column)
-        bad = F.coalesce(~col.isin(list(allowed)), F.lit(False))
-        checked, count = F.count(col), _count_true(bad)
-        return Measures(checked, count, F.round(_ratio(checked - count, checked), 4),
-                        count == 0, bad, col.cast("string"))
+        value = _text_of(schema, column)
+        bad = f"coalesce({name(column)} NOT IN ({', '.join(map(literal, allowed))}), false)"
+        return _share_measures(f"count({name(column)})", bad, None, value)
 
     return Rule(f'ColumnValues "{column}" in {list(allowed)}', "ValueSet", column, measure)
 
 
 def length_min(column: str, least: int) -> Rule:
     def measure(schema):
-        col = _text(F.col(column), field_type(schema, column))
-        eligible = F.coalesce(col != "", F.lit(False))
-        bad = eligible & (F.length(col) < least)
-        checked, count = _count_true(eligible), _count_true(bad)
-        return Measures(checked, count, F.round(_ratio(checked - count, checked), 4),
-                        count == 0, bad,
-                        F.concat_ws(" ", F.substring(col, 1, 50),
-                                    F.format_string("(length %d)", F.length(col))))
+        col = _text_of(schema, column)
+        eligible = f"coalesce({col} <> '', false)"
+        return _share_measures(
+            f"count_if({eligible})", f"({eligible} AND length({col}) < {least})", None,
+            f"concat(substring({col}, 1, 50), ' (length ', length({col}), ')')")
 
     return Rule(f'ColumnLength "{column}" >= {least}', "ColumnLength", column, measure)
 
@@ -202,13 +192,11 @@ def length_between(column: str, low: int, high: int, threshold: float = 1.0) ->
     """Share of non-empty texts whose length lies in ``[low, high]``."""
 
     def measure(schema):
-        col = _text(F.col(column), field_type(schema, column))
-        eligible = F.coalesce(col != "", F.lit(False))
-        bad = eligible & ~F.length(col).between(low, high)
-        checked, count = _count_true(eligible), _count_true(bad)
-        share = _ratio(checked - count, checked)
-        return Measures(checked, count, F.round(share, 4), share >= threshold, bad,
-                        F.length(col).cast("string"))
+        col = _text_of(schema, column)
+        eligible = f"coalesce({col} <> '', false)"
+        bad = f"({eligible} AND length({col}) NOT BETWEEN {low} AND {high})"
+        return _share_measures(f"count_if({eligible})", bad, threshold,
+                               f"CAST(length({col}) AS STRING)")
 
     return Rule(f'ColumnLength "{column}" between {low} and {high} with threshold >= {threshold}',
                 "ColumnLength", column, measure)
@@ -220,10 +208,9 @@ def array_not_empty(column: str, max_empty: int = 0) -> Rule:
     def measure(schema):
         if not isinstance(field_type(schema, column), (T.ArrayType, T.MapType)):
             raise TypeError(f"{column} is not an array")
-        bad = F.coalesce(F.size(column) == 0, F.lit(False)) & F.col(column).isNotNull()
-        count = _count_true(bad)
-        return Measures(F.count(F.col(column)), count, count.cast("double"),
-                        count <= max_empty, bad, F.lit("[]"))
+        col = name(column)
+        bad = f"({col} IS NOT NULL AND size({col}) = 0)"
+        return _count_measures(f"count({col})", bad, max_empty, "'[]'")
 
     return Rule(f"CustomSql: size({column}) = 0 count <= {max_empty}", "ArrayNotEmpty", column,
                 measure)
@@ -232,74 +219,63 @@ def array_not_empty(column: str, max_empty: int = 0) -> Rule:
 def null_count(column: str, max_null: int) -> Rule:
     def measure(schema):
         field_type(schema, column)
-        bad = F.col(column).isNull()
-        count = _count_true(bad)
-        return Measures(F.count("*"), count, count.cast("double"), count <= max_null, bad,
-                        F.lit(None).cast("string"))
+        return _count_measures("count(*)", f"{name(column)} IS NULL", max_null, NULL)
 
     return Rule(f"CustomSql: {column} IS NULL count <= {max_null}", "NullCheck", column, measure)
 
 
-def _statistic_rule(text, column, aggregate, test, digits=2):
+def _statistic_rule(rule_text, column, aggregate, test):
     def measure(schema):
-        _numeric(field_type(schema, column), column)
-        value = aggregate(F.col(column))
-        return Measures(F.count(F.col(column)), F.lit(None).cast("long"),
-                        F.round(value, digits), F.coalesce(test(value), F.lit(False)))
+        _numeric(schema, column)
+        value = f"{aggregate}({name(column)})"
+        return Measures(f"count({name(column)})", NO_COUNT, f"round({value}, 2)",
+                        f"coalesce({value} {test}, false)")
 
-    return Rule(text, "Statistical", column, measure)
+    return Rule(rule_text, "Statistical", column, measure)
 
 
 def mean_between(column, low, high) -> Rule:
-    return _statistic_rule(f'Mean "{column}" between {low} and {high}', column, F.avg,
-                           lambda v: (v >= low) & (v <= high))
+    return _statistic_rule(f'Mean "{column}" between {low} and {high}', column, "avg",
+                           f"BETWEEN {number(low)} AND {number(high)}")
 
 
 def stddev_max(column, most) -> Rule:
     """Sample standard deviation; fewer than two values fail."""
-    return _statistic_rule(f'StandardDeviation "{column}" <= {most}', column, F.stddev_samp,
-                           lambda v: v <= most)
+    return _statistic_rule(f'StandardDeviation "{column}" <= {most}', column, "stddev_samp",
+                           f"<= {number(most)}")
 
 
 def stddev_between(column, low, high) -> Rule:
     return _statistic_rule(f'StandardDeviation "{column}" between {low} and {high}', column,
-                           F.stddev_samp, lambda v: (v >= low) & (v <= high))
+                           "stddev_samp", f"BETWEEN {number(low)} AND {number(high)}")
 
 
 def row_count(least=None, most=None, equal=None) -> Rule:
     if equal is not None:
-        text, test = f"RowCount = {equal}", lambda n: n == equal
+        rule_text, test = f"RowCount = {equal}", f"= {equal}"
     elif most is None:
-        text, test = f"RowCount >= {least}", lambda n: n >= least
+        rule_text, test = f"RowCount >= {least}", f">= {least}"
     else:
-        text, test = f"RowCount between {least} and {most}", lambda n: n.between(least, most)
-
-    def measure(schema):
-        rows = F.count("*")
-        return Measures(rows, F.lit(None).cast("long"), rows.cast("double"), test(rows))
-
-    return Rule(text, "RowCount", None, measure)
+        rule_text, test = f"RowCount between {least} and {most}", f"BETWEEN {least} AND {most}"
+    measures = Measures("count(*)", NO_COUNT, "count(*)", f"count(*) {test}")
+    return Rule(rule_text, "RowCount", None, lambda schema: measures)
 
 
 def where_count(condition: str, most: int = 0) -> Rule:
     """``SELECT COUNT(*) FROM primary WHERE condition`` at most ``most``, in the fused scan."""
-
-    def measure(schema):
-        bad = F.coalesce(F.expr(condition), F.lit(False))
-        count = _count_true(bad)
-        return Measures(F.count("*"), count, count.cast("double"), count <= most, bad,
-                        F.lit(condition))
-
+    measures = _count_measures("count(*)", f"coalesce(({condition}), false)", most,
+                               text(condition))
     compare = "=" if most == 0 else "<="
     return Rule(f'CustomSql "SELECT COUNT(*) FROM primary WHERE {condition}" {compare} {most}',
-                "CustomSql", None, measure)
+                "CustomSql", None, lambda schema: measures)
 
 
 def custom_sql(sql: str, compare: str, value: float) -> Rule:
-    """Any SQL over the view ``primary`` that gives one number."""
-    tests = {"=": lambda v: v == value, "<=": lambda v: v <= value, ">=": lambda v: v >= value}
+    """Any SQL over the view ``primary`` that gives one number, compared by =, <= or >=."""
+    if compare not in ("=", "<=", ">="):
+        raise ValueError(f"compare: {compare}")
     return Rule(f'CustomSql "{sql}" {compare} {value}', "CustomSql", None, sql=sql,
-                accept=tests[compare])
+                accept=f"{compare} {number(value)}")
 
 
 # --- evaluation ------------------------------------------------------------------------
@@ -335,14 +311,14 @@ def _free_sql(df, rule, ids):
     if len(answer.columns) != 1:
         raise TypeError("custom SQL must give one number")
     value = F.max(F.col(f"`{answer.columns[0]}`")).cast("double")
-    return (answer.agg(value.alias("m"), rule.accept(value).alias("p"))
-            .selectExpr(_result(*ids, metric="m", outcome=_PASSED.format(p="p")) + " AS r")
-            .select("r.*"))
+    return (answer.agg(value.alias("m"))
+            .selectExpr(_result(*ids, metric="m", outcome=_PASSED.format(p=f"m {rule.accept}"))
+                        + " AS r").select("r.*"))
 
 
-def _aggregates(measures: Measures, i: int) -> list[Column]:
-    return [measures.checked.alias(f"c{i}"), measures.violations.alias(f"v{i}"),
-            measures.metric.alias(f"m{i}"), measures.passed.alias(f"p{i}")]
+def _aggregates(m: Measures, i: int) -> list[str]:
+    return [f"{m.checked} AS c{i}", f"{m.violations} AS v{i}", f"{m.metric} AS m{i}",
+            f"{m.passed} AS p{i}"]
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule], table_name: str, run_id: str = "") -> DataFrame:
@@ -370,7 +346,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], table_name: str, run_id: str
         usable = _analyzable(df, fused)
         rows = ", ".join(row if i in usable or i not in fused else
                          _result(rules[i - 1], table_name, run_id, i) for i, row in results)
-        scan = df.agg(F.count("*").alias("total"), *[c for i in usable for c in fused[i]])
+        scan = df.selectExpr("count(*) AS total", *[c for i in usable for c in fused[i]])
         frames.insert(0, scan.selectExpr(f"inline_outer(array({rows}))"))
     out = frames[0]
     for frame in frames[1:]:
@@ -378,11 +354,11 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], table_name: str, run_id: str
     return out
 
 
-def _analyzable(df: DataFrame, fused: dict[int, list[Column]]) -> list[int]:
+def _analyzable(df: DataFrame, fused: dict[int, list[str]]) -> list[int]:
     """The rules whose aggregates the table's types allow."""
     def fits(ids):
         try:
-            df.agg(F.count("*"), *[c for i in ids for c in fused[i]])
+            df.selectExpr("count(*)", *[c for i in ids for c in fused[i]])
             return True
         except AnalysisException:
             return False
@@ -410,19 +386,17 @@ def violations(df: DataFrame, rules: Sequence[Rule], table_name: str, record_id:
 def tagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds ``violated``: the id and offending value of each row-level rule a row breaks."""
     tag = "array<struct<rule_id:int,rule:string,value:string>>"
-    tags = [F.array().cast(tag)]
+    none = f"CAST(array() AS {tag})"
+    tags = [none]
     for rule_id, rule in enumerate(rules, start=1):
-        if rule.measure is None:
-            continue
         try:
-            m = rule.measure(df.schema)
+            m = rule.measure(df.schema) if rule.measure else None
         except (KeyError, TypeError):
             continue
-        if m.offends is not None:
-            broken = F.array(F.struct(F.lit(rule_id).alias("rule_id"),
-                                      F.lit(rule.text).alias("rule"), m.value.alias("value")))
-            tags.append(F.when(m.offends, broken.cast(tag)).otherwise(F.array().cast(tag)))
-    return df.withColumn("violated", F.concat(*tags))
+        if m and m.offends:
+            tags.append(f"CASE WHEN {m.offends} THEN array(named_struct('rule_id', {rule_id}, "
+                        f"'rule', {text(rule.text)}, 'value', {m.value})) ELSE {none} END")
+    return df.withColumn("violated", F.expr(f"concat({', '.join(tags)})"))
 
 
 # --- scores ----------------------------------------------------------------------------

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import field_type, java_pattern
+from ..functions.sql import day, name as quote, say, text
 from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
-from .issues import (ISSUES, count_severity, found, found_sql, issue, name as quote, say,
-                     status_of, text)
+from .issues import ISSUES, count_severity, found, found_sql, issue, status_of
 
 LEVELS_WITH_CODES = ("full", "strict")
 
@@ -78,18 +78,9 @@ def invalid_gender(df: DataFrame) -> list[Column]:
         say(text("Gender '"), shown, text("' not in standard set (M/F/O/U)")), "gender")))]
 
 
-def _day(df: DataFrame, column: str) -> str:
-    dtype = _type(df, column)
-    if dtype is None:
-        return "CAST(NULL AS DATE)"
-    if isinstance(dtype, T.StringType):
-        return f"try_to_date({column}, 'yyyy-M-d')"
-    return f"CAST({column} AS DATE)"
-
-
 def date_checks(df: DataFrame, as_of) -> list[Column]:
     """Order, future, stated length of stay; or one issue when a date does not parse."""
-    start, end = _day(df, "admission_date"), _day(df, "discharge_date")
+    start, end = (day(c, _type(df, c)) for c in ("admission_date", "discharge_date"))
     shown = {c: f"CAST({c} AS STRING)" if _type(df, c) is not None else "''"
              for c in ("admission_date", "discharge_date")}
     now = "current_timestamp()" if as_of is None else f"CAST({text(str(as_of))} AS TIMESTAMP)"
