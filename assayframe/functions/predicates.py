@@ -41,8 +41,3 @@ def java_pattern(pattern: str, ignore_case: bool = False) -> str:
 
 def word_count(col: Column) -> Column:
     return F.regexp_count(col, F.lit(WORD))
-
-
-def blank(col: Column) -> Column:
-    """Null, empty or white space only."""
-    return col.isNull() | ~col.rlike(f"(?U)[^{SPACE}]")

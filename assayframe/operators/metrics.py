@@ -183,7 +183,8 @@ def alarm_states(metrics: DataFrame, alarms: Sequence[Alarm], start=None, end=No
               .when(F.col("compare") == "<", value < F.col("threshold"))
               .otherwise(value > F.col("threshold")))
     by_period = Window.partitionBy("alarm").orderBy("period")
-    calm = F.max(F.when(~F.col("breaching"), F.col("n"))).over(by_period)
+    calm = F.max(F.when(~F.col("breaching"), F.col("n"))).over(
+        by_period.rowsBetween(Window.unboundedPreceding, 0))
     return (spine.join(measured, (F.col("alarm") == F.col("_a")) & (F.col("period") == F.col("_p")),
                        "left")
             .withColumn("breaching", breach).withColumn("n", F.row_number().over(by_period))

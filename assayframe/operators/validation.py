@@ -31,6 +31,8 @@ def _gap(df: DataFrame, column: str) -> str:
     dtype, name = _type(df, column), quote(column)
     if dtype is None:
         return "true"
+    if column == "age" and _type(df, "age_raw") is not None:
+        return "(age IS NULL AND coalesce(age_raw, '') = '')"
     if isinstance(dtype, T.StringType):
         return f"({name} IS NULL OR {name} = '')"
     if isinstance(dtype, T.ArrayType):

@@ -24,7 +24,8 @@ def _paths(spark, name):
 @query("stream_validate", with_ctes("rec", status_sql(FULL)))
 def _(spark, sf_dir):
     target, progress = _paths(spark, "stream-validated")
-    records = derived.records_of(_stream(spark, sf_dir, "orders"))
+    tasks = spark.sparkContext.defaultParallelism
+    records = derived.records_of(_stream(spark, sf_dir, "orders").repartition(tasks))
     st.once(st.validate_stream(records, target, progress, "full", AS_OF))
     v = "_validation"
     return spark.read.parquet(target).select(

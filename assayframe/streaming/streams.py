@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import metrics as m, routing, rules, validation
+from ..operators import rules, validation
 from ..operators.gates import GatePatterns
 
 
@@ -34,8 +34,13 @@ def once(query: StreamingQuery) -> StreamingQuery:
 
 def validate_stream(records: DataFrame, target: str, checkpoint: str, level: str = "full",
                     as_of=None, note: str | None = None,
-                    patterns: GatePatterns = GatePatterns(), **trigger) -> StreamingQuery:
-    """Validated records as they arrive. Stateless: the same Columns as the batch form."""
+                    patterns: GatePatterns = GatePatterns(), tasks: int | None = None,
+                    **trigger) -> StreamingQuery:
+    """Validated records as they arrive. Stateless: the same Columns as the batch form.
+
+    ``tasks`` deals the rows of a batch to that many tasks, for arrivals in few files.
+    """
+    records = records.repartition(tasks) if tasks else records
     out = validation.validate(records, level, as_of, note, patterns=patterns)
     return (out.writeStream.format("parquet").option("path", target)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or _NOW)).start())
