@@ -169,6 +169,30 @@ AUTHOR_PATTERN = r"^Dr\. [A-Z][a-z]+$"
 
 METRIC_BATCH = 20
 PERIOD_SECONDS = 300
+SCORE_METRIC = "GlueDQ_OverallScore"
+RULES_PASSED_METRIC = "GlueDQ_RulesPassed"
+RULES_FAILED_METRIC = "GlueDQ_RulesFailed"
+RECORDS_METRIC = "GlueDQ_TotalRecords"
+PASS_RATE_METRIC = "Validation_PassRate"
+ERRORS_METRIC = "Validation_ErrorCount"
+WARNINGS_METRIC = "Validation_WarningCount"
+QUALITY_METRIC = "Validation_QualityScore"
+BY_TYPE_METRIC = "Validation_ErrorsByType"
+PROFANITY_METRIC = "Validation_ProfanityDetected"
+PHI_METRIC = "Validation_PHIExposureRisk"
+RELEVANCE_METRIC = "Validation_ClinicalRelevanceScore"
+VALIDATOR_DIMENSION = {"Validator": "clinical-validator"}
+RUN_DIMENSION = {"Pipeline": "healthcare-ingest"}
+# alarm, metric, dimensions, statistic, comparison, threshold, periods, missing data
+ALARMS = [
+    ("Healthcare-DQ-OverallScore-Low", "GlueDQ_OverallScore", {"Dataset": "patient_records"},
+     "Average", "<", 80.0, 2, "breaching"),
+    ("Healthcare-Validation-HighErrorRate", "Validation_ErrorCount",
+     {"Validator": "clinical-validator"}, "Sum", ">", 20.0, 1, "notBreaching"),
+    ("Healthcare-DrugInteraction-Alert", "Validation_ErrorsByType",
+     {"ErrorType": "DRUG_INTERACTION", "Validator": "clinical-validator"},
+     "Sum", ">", 5.0, 1, "notBreaching"),
+]
 SERIES_ISSUE_TYPES = [
     "INVALID_ICD10", "VITAL_OUT_OF_RANGE", "DRUG_INTERACTION", "MISSING_REQUIRED_FIELD",
 ]

@@ -14,7 +14,7 @@ from .ranking import number_rows
 METRIC = ("struct<namespace:string,name:string,value:double,unit:string,ts:timestamp,"
           "dimensions:map<string,string>>")
 NAMESPACE = "DataQuality"
-VALIDATOR = {"Validator": "clinical-validator"}
+VALIDATOR = fv.VALIDATOR_DIMENSION
 
 
 def _dimensions(values: dict) -> Column:
@@ -31,15 +31,15 @@ def metric(name: str, value: Column, unit: str, ts: Column, dimensions: dict,
 
 
 def dq_metrics(scores: DataFrame, ts: Column, namespace: str = NAMESPACE,
-               run: str = "healthcare-ingest") -> DataFrame:
+               run: dict = fv.RUN_DIMENSION) -> DataFrame:
     """Score, passed, failed and records of each table's score row."""
     table = {"Dataset": F.col("table_name")}
     return scores.select(F.inline_outer(F.array(
-        metric("GlueDQ_OverallScore", F.col("overall_score"), "Percent", ts,
-               {**table, "Pipeline": run}, namespace),
-        metric("GlueDQ_RulesPassed", F.col("rules_passed"), "Count", ts, table, namespace),
-        metric("GlueDQ_RulesFailed", F.col("rules_failed"), "Count", ts, table, namespace),
-        metric("GlueDQ_TotalRecords", F.col("total_records"), "Count", ts, table, namespace))))
+        metric(fv.SCORE_METRIC, F.col("overall_score"), "Percent", ts,
+               {**table, **run}, namespace),
+        metric(fv.RULES_PASSED_METRIC, F.col("rules_passed"), "Count", ts, table, namespace),
+        metric(fv.RULES_FAILED_METRIC, F.col("rules_failed"), "Count", ts, table, namespace),
+        metric(fv.RECORDS_METRIC, F.col("total_records"), "Count", ts, table, namespace))))
 
 
 def tally(validated: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -82,19 +82,19 @@ def validation_metrics(tallied: DataFrame, ts: Column, namespace: str = NAMESPAC
     scored = count("relevance")
     relevance = F.coalesce(F.round(F.try_divide(amount("relevance"), scored), 1), F.lit(0.0))
     base = [
-        metric("Validation_PassRate", rate, "Percent", ts, own, namespace),
-        metric("Validation_ErrorCount", count("status", "FAIL"), "Count", ts, own, namespace),
-        metric("Validation_WarningCount", count("status", "WARNING"), "Count", ts, own, namespace),
-        metric("Validation_QualityScore", rate, "Percent", ts, own, namespace)]
+        metric(fv.PASS_RATE_METRIC, rate, "Percent", ts, own, namespace),
+        metric(fv.ERRORS_METRIC, count("status", "FAIL"), "Count", ts, own, namespace),
+        metric(fv.WARNINGS_METRIC, count("status", "WARNING"), "Count", ts, own, namespace),
+        metric(fv.QUALITY_METRIC, rate, "Percent", ts, own, namespace)]
     gates = [
-        metric("Validation_ProfanityDetected", count("issue", "RA_PROFANITY"), "Count", ts, own,
+        metric(fv.PROFANITY_METRIC, count("issue", "RA_PROFANITY"), "Count", ts, own,
                namespace),
-        metric("Validation_PHIExposureRisk", count("issue", "RA_PHI_EXPOSURE"), "Count", ts, own,
+        metric(fv.PHI_METRIC, count("issue", "RA_PHI_EXPOSURE"), "Count", ts, own,
                namespace),
-        metric("Validation_ClinicalRelevanceScore", relevance, "Percent", ts, own, namespace)]
+        metric(fv.RELEVANCE_METRIC, relevance, "Percent", ts, own, namespace)]
     by_type = F.transform(
         F.filter(t, lambda e: e["kind"] == "issue"),
-        lambda e: metric("Validation_ErrorsByType", e["n"], "Count", ts,
+        lambda e: metric(fv.BY_TYPE_METRIC, e["n"], "Count", ts,
                          {"ErrorType": e["key"], **own}, namespace))
     parts = [F.array(*base).cast(f"array<{METRIC}>"), by_type.cast(f"array<{METRIC}>"),
              F.when(scored > 0, F.array(*gates).cast(f"array<{METRIC}>"))
@@ -129,14 +129,7 @@ class Alarm:
     strict: bool = False
 
 
-DEFAULT_ALARMS = [
-    Alarm("Healthcare-DQ-OverallScore-Low", "GlueDQ_OverallScore",
-          {"Dataset": "patient_records"}, "Average", "<", 80.0, 2, missing="breaching"),
-    Alarm("Healthcare-Validation-HighErrorRate", "Validation_ErrorCount", VALIDATOR,
-          "Sum", ">", 20.0),
-    Alarm("Healthcare-DrugInteraction-Alert", "Validation_ErrorsByType",
-          {"ErrorType": "DRUG_INTERACTION", **VALIDATOR}, "Sum", ">", 5.0),
-]
+DEFAULT_ALARMS = [Alarm(*row[:7], missing=row[7]) for row in fv.ALARMS]
 
 _ALARM_SCHEMA = ("alarm string, metric string, want map<string,string>, statistic string, "
                  "compare string, threshold double, periods int, period_s int, missing string, "
@@ -213,30 +206,30 @@ def series(metrics: DataFrame, names: Sequence[str], statistic: str = "Average",
 
 
 def score_series(metrics: DataFrame, **kw) -> DataFrame:
-    return series(metrics, ["GlueDQ_OverallScore"], "Average", **kw)
+    return series(metrics, [fv.SCORE_METRIC], "Average", **kw)
 
 
 def pass_rate_series(metrics: DataFrame, **kw) -> DataFrame:
-    return series(metrics, ["Validation_PassRate"], "Average", **kw)
+    return series(metrics, [fv.PASS_RATE_METRIC], "Average", **kw)
 
 
 def rules_series(metrics: DataFrame, **kw) -> DataFrame:
-    return series(metrics, ["GlueDQ_RulesPassed", "GlueDQ_RulesFailed"], "Sum", **kw)
+    return series(metrics, [fv.RULES_PASSED_METRIC, fv.RULES_FAILED_METRIC], "Sum", **kw)
 
 
 def errors_series(metrics: DataFrame, **kw) -> DataFrame:
-    return series(metrics, ["Validation_ErrorCount", "Validation_WarningCount"], "Sum", **kw)
+    return series(metrics, [fv.ERRORS_METRIC, fv.WARNINGS_METRIC], "Sum", **kw)
 
 
 def records_series(metrics: DataFrame, **kw) -> DataFrame:
-    return series(metrics, ["GlueDQ_TotalRecords"], "Sum", **kw)
+    return series(metrics, [fv.RECORDS_METRIC], "Sum", **kw)
 
 
 def type_series(metrics: DataFrame, types: Sequence[str] = tuple(fv.SERIES_ISSUE_TYPES),
                 period_s: int = fv.PERIOD_SECONDS) -> DataFrame:
     """Issues per period, one column per issue type (0 where a period had none of it)."""
     kind = F.element_at("dimensions", "ErrorType")
-    return (metrics.where((F.col("name") == "Validation_ErrorsByType") & kind.isin(list(types)))
+    return (metrics.where((F.col("name") == fv.BY_TYPE_METRIC) & kind.isin(list(types)))
             .groupBy(_period(period_s).alias("w"))
             .agg(*[F.coalesce(F.sum(F.when(kind == t, F.col("value"))), F.lit(0.0)).alias(t)
                    for t in types])

@@ -80,7 +80,8 @@ def _(spark, sf_dir):
 
 @query("stream_late_policy")
 def _(spark, sf_dir):
-    """Events arrive newest half first; of the second half the watermark keeps nothing."""
+    """Events arrive newest half first. Once the watermark has passed them, events of the
+    older half are dropped, and the progress reports say how many groups of them."""
     source, target = _paths(spark, "stream-late")
     progress = fresh_path(spark, "stream-late-progress")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

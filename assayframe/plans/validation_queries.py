@@ -11,7 +11,7 @@ from ..operators.issues import found, issue, unfold
 from . import derived
 from .derived import AS_OF, listed, quoted, with_ctes
 from .registry import query, table
-from .rule_queries import (RESULTS_SQL, SCORES_SQL, day_sql, filled, over_results, _results)
+from .rule_queries import SCORES_SQL, day_sql, filled, over_results, _results
 
 ISSUE_COLUMNS = ["record_id", "type", "field", "severity", "value", "message"]
 
@@ -333,9 +333,10 @@ _PAIRS = " UNION ALL ".join(
 def _(spark, sf_dir):
     names = F.transform("medications", lambda m: m["name"])
     hits = joins.interactions_of(names)
-    return derived.records(spark, sf_dir).select("record_id", unfold(hits)).where("severity is not null").select(
-        "record_id", F.col("drugs")[0].alias("drug_1"), F.col("drugs")[1].alias("drug_2"),
-        "severity")
+    found_hits = derived.records(spark, sf_dir).select("record_id", unfold(hits)).where(
+        "severity is not null")
+    return found_hits.select("record_id", F.col("drugs")[0].alias("drug_1"),
+                             F.col("drugs")[1].alias("drug_2"), "severity")
 
 
 @query("drug_interactions_table", with_ctes("rec", _PAIRS))

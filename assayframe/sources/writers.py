@@ -27,7 +27,7 @@ def write_report(results: DataFrame, path: str) -> None:
 
 
 def write_results(results: DataFrame, path: str, run_ts) -> None:
-    """One JSON line per rule, partitioned by table and run day."""
+    """One JSON line per rule, partitioned by table and run day; one file per table and run."""
     day = F.lit(run_ts).cast("timestamp")
     (results.select(
         "table_name", F.date_format(day, "yyyy").alias("year"),
@@ -37,6 +37,7 @@ def write_results(results: DataFrame, path: str, run_ts) -> None:
             F.lit("metric "), F.coalesce(F.col("metric").cast("string"), F.lit("not available")),
             F.lit(" does not meet the rule"))).alias("failure_reason"),
         F.create_map(F.lit("metric"), F.col("metric")).alias("evaluated_metrics"))
+     .repartition("table_name")
      .write.mode("append").partitionBy("table_name", "year", "month", "day")
      .option("ignoreNullFields", False).json(path))
 
