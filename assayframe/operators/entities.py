@@ -30,26 +30,31 @@ def _keyword(source, keyword, category, kind, score, trait=None, normalized=None
     return f"CASE WHEN {at} > 0 THEN array({found}) ELSE CAST(array() AS array<{ENTITY}>) END"
 
 
+def running_totals(lengths: Column) -> Column:
+    """Sums of an int array up to each element, in as many passes as its size has digits
+    in base two: each pass adds the totals one, two, four, ... places before."""
+    def add_shifted(totals, shift):
+        earlier = F.concat(F.array_repeat(F.lit(0), shift), totals)
+        added = F.zip_with(totals, earlier, lambda x, y: x + y)
+        return F.when(F.size(totals) <= shift, totals).otherwise(
+            F.slice(added, F.lit(1), F.size(totals)))
+
+    shifts = F.expr("transform(sequence(0, 30), k -> shiftleft(1, k))")
+    return F.aggregate(shifts, lengths, add_shifted)
+
+
 def all_matches(body: Column, pattern: str) -> Column:
     """Every match with its offsets: array of (text, begin, end), 0-based, end-exclusive.
 
-    The text around the matches gives the offsets: a match begins after the gaps and
-    matches before it.
+    A match ends where the gaps and matches up to it end.
     """
     regex = java_pattern(pattern)
-    gaps = F.transform(F.split(body, regex, -1), lambda p: F.length(p))
     found = F.regexp_extract_all(body, F.lit(regex), F.lit(0))
-    sizes = F.transform(found, lambda m: F.length(m))
-
-    def total(lengths, first):
-        return F.aggregate(F.slice(lengths, F.lit(1), first), F.lit(0), lambda a, n: a + n)
-
-    def place(match, i):
-        begin = total(gaps, i + 1) + total(sizes, i)
-        return F.struct(match.alias("text"), begin.alias("begin"),
-                        (begin + F.length(match)).alias("end"))
-
-    return F.transform(found, place)
+    gaps = F.split(body, regex, -1)
+    steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)),
+                       lambda m, g: F.length(g) + F.length(m))
+    return F.zip_with(found, running_totals(steps), lambda m, end: F.struct(
+        m.alias("text"), (end - F.length(m)).alias("begin"), end.alias("end")))
 
 
 def with_entities(df: DataFrame, column: str, into: str = "entities",

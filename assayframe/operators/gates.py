@@ -21,13 +21,15 @@ from .issues import found_sql, issue
 
 @dataclass(frozen=True)
 class PhiPattern:
-    """``clue`` is a cheaper pattern, found in every text the full one is found in;
-    ``needs`` is a literal every match contains."""
+    """``clue`` is a cheaper pattern, found in just the texts the full one is found in;
+    ``linear`` finds the same matches, but is tried only where one can begin; ``needs`` is
+    a literal every match contains."""
 
     name: str
     pattern: str
     ignore_case: bool = False
     clue: str | None = None
+    linear: str | None = None
     needs: str | None = None
 
 
@@ -39,7 +41,8 @@ class GatePatterns:
     sections: str = fv.SECTION_PATTERN
     phi: tuple[PhiPattern, ...] = field(default_factory=lambda: (
         PhiPattern("SSN", fv.SSN_PATTERN, needs="-"),
-        PhiPattern("email", fv.EMAIL_PATTERN, clue=r"[\w.+-]@[\w-]+\.[\w.-]", needs="@"),
+        PhiPattern("email", fv.EMAIL_PATTERN, needs="@", clue=r"[\w.+-]@[\w-]+\.[\w.-]",
+                   linear=r"(?:\G|(?<![\w.+-]))[\w.+-]++@[\w-]+\.[\w.-]+"),
         PhiPattern("phone_number", fv.PHONE_PATTERN),
         PhiPattern("street_address", fv.ADDRESS_PATTERN, ignore_case=True),
     ))
@@ -184,7 +187,7 @@ def with_gates(df: DataFrame, note: str, record_id: str,
 def redact_phi(note: Column, patterns: GatePatterns = GatePatterns()) -> Column:
     """Replaces personal data by its kind in brackets, and ISO dates by ``[DATE]``."""
     for phi in (*patterns.phi, PhiPattern("date", fv.DATE_ENTITY_PATTERN, needs="-")):
-        marked = F.regexp_replace(note, java_pattern(phi.pattern, phi.ignore_case),
+        marked = F.regexp_replace(note, java_pattern(phi.linear or phi.pattern, phi.ignore_case),
                                   f"[{phi.name.upper()}]")
         note = F.when(F.contains(note, F.lit(phi.needs)), marked).otherwise(note) \
             if phi.needs else marked

@@ -117,6 +117,32 @@ def test_redaction_and_route(spark):
                    None]
 
 
+def test_redaction_equals_python(spark):
+    texts = [t for t in notes() if t] + ["x@y.z+a@b.c+d@e.f", "a@b", "..@-.-@a.b", "@a.b", "é@é.é",
+                                         "a@b.c@d.e f@g@h.i"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, note string")
+    for row in df.select("k", gates.redact_phi(F.col("note")).alias("r")).collect():
+        want = texts[row["k"]]
+        for name, pattern, flags in [
+                ("SSN", fv.SSN_PATTERN, 0), ("EMAIL", fv.EMAIL_PATTERN, 0),
+                ("PHONE_NUMBER", fv.PHONE_PATTERN, 0), ("STREET_ADDRESS", fv.ADDRESS_PATTERN, re.I),
+                ("DATE", fv.DATE_ENTITY_PATTERN, 0)]:
+            want = re.sub(pattern, f"[{name}]", want, flags=flags)
+        assert row["r"] == want, repr(texts[row["k"]])
+
+
+def test_long_texts_stay_linear(spark):
+    blob = "aB3+" * 100_000
+    rows = [(1, blob + " a@b.cd " + blob), (2, "2024-01-02 " * 20_000), (3, blob)]
+    df = spark.createDataFrame(rows, "k int, note string")
+    out = {r["k"]: r for r in en.with_entities(gates.with_gates(df, "note", "k"), "note").select(
+        "k", F.size("entities").alias("n"), F.try_element_at("entities", F.lit(-1))["end"].alias("end"),
+        F.length(gates.redact_phi(F.col("note"))).alias("redacted")).collect()}
+    assert out[1]["redacted"] == 2 * len(blob) + 2 + len("[EMAIL]")
+    assert (out[2]["n"], out[2]["end"]) == (20_000, 20_000 * 11 - 1)
+    assert out[3]["n"] == 0
+
+
 def python_entities(text):
     out, low = [], (text or "").lower()
     for k in [*fv.MEDICATION_KEYWORDS, *(k for k, _ in fv.CONDITION_KEYWORDS)]:
