@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as fv
 from ..functions.predicates import java_pattern
 from ..functions.sql import name, text
+from .issues import pinned
 
 ENTITY = ("struct<id:int,text:string,category:string,type:string,score:double,begin:int,end:int,"
           "traits:array<struct<name:string,score:double>>,normalized:string>")
@@ -75,10 +76,10 @@ def with_entities(df: DataFrame, column: str, into: str = "entities",
     none = F.array().cast("array<struct<text:string,begin:int,end:int>>")
     with_dates = F.when(body.rlike(java_pattern(date_pattern)),
                         all_matches(body, date_pattern)).otherwise(none)
-    return (df.withColumns({"_lowered": F.lower(body), "_dates": with_dates})
-            .withColumn("_found", F.expr(f"concat({', '.join([*keywords, dates])})"))
-            .withColumn(into, F.transform("_found", lambda e, i: e.withField("id", i)))
-            .drop("_lowered", "_dates", "_found"))
+    found = df.withColumns({"_lowered": F.lower(body), "_dates": with_dates}).withColumn(
+        "_found", F.expr(f"concat({', '.join([*keywords, dates])})"))
+    return pinned(found, {into: F.transform("_found", lambda e, i: e.withField("id", i))}).drop(
+        "_lowered", "_dates", "_found")
 
 
 def with_custom_entities(df: DataFrame, column: str,

@@ -16,7 +16,7 @@ from ..functions import fixed_values as fv
 from ..functions.patterns import by_first_letter
 from ..functions.predicates import SPACE, java_pattern, word_count
 from ..functions.sql import NULL, name, say, text
-from .issues import found_sql, issue
+from .issues import found_sql, issue, pinned
 
 
 @dataclass(frozen=True)
@@ -179,9 +179,8 @@ def relevance_score() -> Column:
 def with_gates(df: DataFrame, note: str, record_id: str,
                patterns: GatePatterns = GatePatterns()) -> DataFrame:
     """Adds ``gate_issues`` and ``relevance_score``."""
-    return drop_signals(with_signals(df, note, patterns)
-                        .withColumn("gate_issues", gate_issues(record_id))
-                        .withColumn("relevance_score", relevance_score()))
+    return drop_signals(pinned(with_signals(df, note, patterns), {
+        "gate_issues": gate_issues(record_id), "relevance_score": relevance_score()}))
 
 
 def redact_phi(note: Column, patterns: GatePatterns = GatePatterns()) -> Column:

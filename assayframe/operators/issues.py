@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sql import NULL, text
 
@@ -43,6 +43,16 @@ def unfold(array: Column) -> Column:
     return F.inline_outer(array)
 
 
+def pinned(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds costly columns that are computed once per row.
+
+    A plain projection is copied into every filter on its results, and so computed before
+    and after the filter; the output of a generator is not.
+    """
+    row = F.struct(*[value.alias(n) for n, value in columns.items()])
+    return df.select("*", F.inline_outer(F.array(row)))
+
+
 def count_severity(issues: Column, severity: str) -> Column:
     return F.size(F.filter(issues, lambda i: i["severity"] == severity))
 

@@ -10,7 +10,7 @@ from ..functions import fixed_values as fv
 from ..functions.predicates import field_type, java_pattern
 from ..functions.sql import day, name as quote, say, text
 from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
-from .issues import ISSUES, count_severity, found, found_sql, issue, status_of
+from .issues import ISSUES, count_severity, found, found_sql, issue, pinned, status_of
 
 LEVELS_WITH_CODES = ("full", "strict")
 
@@ -219,11 +219,11 @@ def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None =
         issues = F.concat(issues, gate_issues(record_id))
         relevance = relevance_score()
     errors, warnings = F.col("_errors"), F.col("_warnings")
-    out = (out.withColumn("_issues", issues)
+    out = (pinned(out, {"_issues": issues, "_relevance": relevance})
            .withColumns({"_errors": count_severity(F.col("_issues"), "ERROR"),
                          "_warnings": count_severity(F.col("_issues"), "WARNING")})
            .withColumn("_validation", F.struct(
                status_of(errors, warnings).alias("status"), F.col("_issues").alias("issues"),
                errors.alias("error_count"), warnings.alias("warning_count"),
-               relevance.alias("relevance_score"))))
-    return drop_signals(out.drop("_issues", "_errors", "_warnings"))
+               F.col("_relevance").alias("relevance_score"))))
+    return drop_signals(out.drop("_issues", "_relevance", "_errors", "_warnings"))
