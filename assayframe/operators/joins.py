@@ -96,7 +96,8 @@ def reference_table(spark, name: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def cross_table_dates(left: DataFrame, right: DataFrame, on: Column, start: str, end: str) -> DataFrame:
+def cross_table_dates(left: DataFrame, right: DataFrame, on: Column, start: str,
+                      end: str) -> DataFrame:
     """Date order over two joined tables: checked pairs and violations, one row."""
     both = left.join(right, on)
     bad = F.col(end) < F.col(start)

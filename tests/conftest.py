@@ -11,7 +11,8 @@ from assayframe.session import session  # noqa: E402
 def make_session():
     spark = session("assayframe-tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.driver.memory": "8g", "spark.driver.host": "127.0.0.1", "spark.ui.showConsoleProgress": "false"})
+        "spark.driver.memory": "8g", "spark.driver.host": "127.0.0.1",
+        "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")
     return spark
 
