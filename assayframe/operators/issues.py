@@ -47,10 +47,12 @@ def pinned(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Adds costly columns that are computed once per row.
 
     A plain projection is copied into every filter on its results, and so computed before
-    and after the filter; the output of a generator is not.
+    and after the filter; the output of a generator is not. The columns themselves are
+    computed in a projection below, which is compiled; the generator only passes them on.
     """
-    row = F.struct(*[value.alias(n) for n, value in columns.items()])
-    return df.select("*", F.inline_outer(F.array(row)))
+    below = {f"_below_{n}": value for n, value in columns.items()}
+    row = F.struct(*[F.col(f"_below_{n}").alias(n) for n in columns])
+    return df.withColumns(below).select("*", F.inline_outer(F.array(row))).drop(*below)
 
 
 def count_severity(issues: Column, severity: str) -> Column:
