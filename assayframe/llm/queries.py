@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, simhash, suffixdedup, vafile
+from . import bpe, gridjoin, simhash, suffixdedup, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_grid_order", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), r(v, c) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.v
+), c AS (SELECT v, min(c) AS c FROM r GROUP BY v),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT c.v AS vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, c.v = c.c AS kept
+FROM c LEFT JOIN n ON n.a = c.v""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridjoin.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
