@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, gridjoin, simhash, suffixdedup, vafile
+from . import bpe, gridjoin, quality, simhash, suffixdedup, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_nb_svm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
