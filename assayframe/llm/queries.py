@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, gridjoin, quality, simhash, suffixdedup, vafile
+from . import bpe, gridjoin, quality, simhash, suffixdedup, toxicity, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vafile.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op10_toxicity_cnn")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted")

@@ -117,14 +117,19 @@ class Words:
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
-        """A 64-bit value per word that depends on its bytes alone."""
+    def hashes(self, lower: bool = False, most: int | None = None) -> np.ndarray:
+        """A 64-bit value per word that depends on its bytes alone (its first ``most``)."""
+        return self.several_hashes(lower, (most,))[0]
+
+    def several_hashes(self, lower: bool, sizes: tuple[int | None, ...]) -> list[np.ndarray]:
+        """``hashes`` for several numbers of first bytes."""
         up, down = _powers(len(self.data) + 1)
         value = (_LOWER[self.data] if lower else self.data).astype(np.uint64) + np.uint64(1)
         value *= up[:len(value)]
         total = np.zeros(len(value) + 1, np.uint64)
         np.cumsum(value, out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start])
+        ends = [self.end if m is None else np.minimum(self.end, self.start + m) for m in sizes]
+        return [mix((total[e] - total[self.start]) * down[self.start]) for e in ends]
 
 
 def gram_hashes(values: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
