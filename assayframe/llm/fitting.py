@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Columns that a classifier adds.
+NAMES = ("held_out", "score", "predicted")
+
+
 def remainder(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; 0 for a null key."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus, F.lit(0))

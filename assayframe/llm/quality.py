@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .fitting import labelled_sample, remainder
+from .fitting import NAMES, labelled_sample, remainder
 from .text import Words, gram_hashes, map_arrow, mix, slices
 
 #: Buckets of hashed indicators; labelled rows of each class that the model is fitted on.
@@ -177,8 +177,8 @@ def margins(weight, r, rows, index, n: int) -> np.ndarray:
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id",
              text: str = "text", modulus: int = 3, held: int = 1, per_class: int = PER_CLASS,
-             threshold: float = 0.5) -> DataFrame:
-    """Every row of ``docs`` with all its columns, held_out, score and predicted.
+             threshold: float = 0.5, names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """Every row of ``docs`` with all its columns, held_out, score and predicted (``names``).
 
     Fitted on up to ``per_class`` labelled rows of each class whose crc32(key) modulo
     ``modulus`` isn't ``held``; scores read nothing but the text. Null and empty texts are
@@ -189,7 +189,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", key: st
     weight, slope, shift = train(sample)
     if weight.ndim == 1:
         weight = np.stack([weight, weight])
-    columns = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    columns = [c for c in docs.columns if c not in names]
     base = docs.select(*[docs[c] for c in columns])
     place = columns.index(text)
 
@@ -203,9 +203,9 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", key: st
             scores.append(1 / (1 + np.exp(-np.clip(slope * total / norm + shift, -30, 30))))
         score = np.concatenate(scores) if scores else np.zeros(0)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)],
-                                         names=[*columns, "score"])
+                                         names=[*columns, names[1]])
 
-    schema = base.withColumn("score", F.lit(0.0)).schema
+    schema = base.withColumn(names[1], F.lit(0.0)).schema
     scored = base.mapInArrow(lambda batches: (o for b in batches for o in run(b)), schema)
-    return scored.select(*columns, (remainder(key, modulus) == held).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(*columns, (remainder(key, modulus) == held).alias(names[0]), names[1],
+                         (F.col(names[1]) >= threshold).cast("int").alias(names[2]))

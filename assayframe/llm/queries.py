@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, gridjoin, quality, simhash, suffixdedup, toxicity, vafile
+from . import (
+    bpe, debruijn, gridjoin, kneser, packing, quality, simhash, suffixdedup, toxicity, vafile,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,11 +51,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query("op3_kneser_ney")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.score(table(spark, sf_dir, "documents"))
+
+
 @query("op4_simhash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op5_de_bruijn")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_earlier(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op6_nb_svm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
@@ -86,6 +98,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+@query("op9_best_fit")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query("op10_toxicity_cnn")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \

@@ -50,14 +50,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id",
                  shingle: int = 3) -> DataFrame:
-    """(key, fp): fingerprints as signed 64-bit numbers; one narrow pass over whole texts."""
+    """(key, print, fp): fingerprints as signed 64-bit numbers, beside a hash of the text; one
+    narrow pass over whole texts."""
 
     def run(batch: pa.RecordBatch):
-        got = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64)
-        yield [batch.column(0), got.view(np.int64)]
+        got = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(2)], np.uint64)
+        yield [batch.column(0), batch.column(1), got.view(np.int64)]
 
-    return map_arrow(docs.select(docs[key].cast("long").alias(key), docs[text].alias("text")),
-                     run, f"{key} long, fp long")
+    return map_arrow(docs.select(docs[key].cast("long").alias(key),
+                                 F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("print"),
+                                 docs[text].alias("text")),
+                     run, f"{key} long, print long, fp long")
 
 
 def _ball(part: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +164,8 @@ def near_links(nodes: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> Data
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3,
                     bits: int = BITS) -> DataFrame:
-    """One row per row of ``docs``: key, fingerprint (16 hex digits), component_id.
+    """One row per row of ``docs``: key, print (a hash of the text), fingerprint (16 hex
+    digits), component_id, root (the least fingerprint of the component, as a signed number).
 
     ``component_id`` is the least key reachable by links of at most ``bits`` differing bits.
     A null text is empty; texts without words have fingerprint zero and link like any other.
@@ -174,7 +178,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         "fp", "least", F.coalesce("root", "fp").alias("root")), "placed")
     # Written first: adaptive execution splits a hot key only between two plain exchanges.
     ids = settle(placed.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    of = settle(placed.join(ids, "root").select(F.col("fp").alias("print"), "component_id"),
-                "of")
-    return prints.join(of, prints["fp"] == of["print"]).select(
-        key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    of = settle(placed.join(ids, "root").select(F.col("fp").alias("node"), "root",
+                                                "component_id"), "of")
+    return prints.join(of, prints["fp"] == of["node"]).select(
+        key, "print", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3,
+             bits: int = BITS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: the one with the least key, and
+    of several with that key the one with the least hash of its text. A row without a key
+    stands behind all keys. Texts are shuffled once, by the row they belong to."""
+    own = F.coalesce(docs[key].cast("long"), F.lit((1 << 63) - 1))
+    named = docs.select(own.alias("own"), docs[text].alias("text"))
+    first = near_duplicates(named, "text", "own", shingle, bits).groupBy("root") \
+        .agg(F.min(F.struct("own", "print")).alias("at")).select("at.own", "at.print") \
+        .withColumnsRenamed({"own": "near_own", "print": "near_print"})
+    tagged = docs.withColumn("near_key", own) \
+        .withColumn("near_text", F.xxhash64(F.coalesce(docs[text], F.lit(""))))
+    return tagged.join(first, F.expr("near_key = near_own AND near_text = near_print"), "left_semi") \
+        .dropDuplicates(["near_key", "near_text"]).select(*docs.columns)

@@ -23,29 +23,13 @@ from pyspark.sql import DataFrame, functions as F
 from assayframe.session import settle
 
 from . import bwt
-from .anchors import Chunks
+from .chunks import keyed, mixed_kinds, repeated_chunks, unkeyed
 from .text import gram_hashes, map_arrow, ranges, slices, texts_of
 
 #: Bytes of the gram that an anchor is; windows shorter than twice this use half of them.
 GRAM = 32
 #: Text of a shard, about, and different chunks of one anchor that a shard takes.
 SHARD_BYTES, GROUP = 1 << 20, 1000
-_NO_KEY = -(1 << 63)
-
-
-def _chunks(docs: DataFrame, length: int) -> DataFrame:
-    gram = min(GRAM, max(1, length // 2))
-
-    def run(batch: pa.RecordBatch):
-        doc, print_ = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        for row, data, at in slices(batch.column(2)):
-            c = Chunks(data.astype(np.uint64), at, length, gram)
-            if len(c.start):
-                yield [c.anchor.view(np.int64), c.content.view(np.int64), doc[row + c.doc],
-                       print_[row + c.doc], c.local, c.count]
-
-    return map_arrow(docs, run, "anchor long, content long, doc long, print long, start long, "
-                                "count long")
 
 
 def _cut(asked: DataFrame, docs: DataFrame) -> DataFrame:
@@ -118,19 +102,11 @@ def _by_count(pieces: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = 200, shard_bytes: int = SHARD_BYTES,
                    group: int = GROUP) -> DataFrame:
     """(doc, print, start, size): bytes that repeated windows cover; spans may overlap."""
-    often = settle(_chunks(docs, length).groupBy("anchor").agg(F.count("*").alias("n"))
-                   .where("n > 1").select("anchor"), "anchors")
-    met = settle(_chunks(docs, length).join(often, "anchor", "left_semi"), "chunks")
-    kinds = settle(met.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "print", "start", "count")).alias("at")),
-        "kinds")
+    met, kinds = repeated_chunks(docs, length, min(GRAM, max(1, length // 2)), words=False)
     whole = met.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"],
                      "left_semi").select("doc", "print", "start",
                                          (F.col("count") + length - 1).alias("size"))
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    asked = kinds.join(mixed, "anchor").select(
-        "anchor", "content", "n", "kinds", "at.doc", "at.print", "at.start",
-        (F.col("at.count") + length - 1).alias("size"))
+    asked = mixed_kinds(kinds).withColumn("size", F.col("count") + length - 1)
     pieces = settle(_cut(asked, docs).join(asked.select(
         F.col("anchor").alias("a"), F.col("content").alias("c"), "kinds"),
         F.expr("anchor = a AND content = c")).select("anchor", "content", "piece", "kinds"),
@@ -147,7 +123,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_bytes: int = SHARD_
     return whole.union(parts)
 
 
-def _apply(docs: DataFrame, spans: DataFrame) -> DataFrame:
+def _apply(docs: DataFrame, spans: DataFrame, as_text: bool) -> DataFrame:
     """Per text: n_bytes, n_removed, n_spans and the bytes that are kept."""
     listed = spans.groupBy("doc", "print").agg(
         F.collect_set(F.struct("start", "size")).alias("spans")) \
@@ -178,32 +154,29 @@ def _apply(docs: DataFrame, spans: DataFrame) -> DataFrame:
             runs.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
             kept.append(text[~gone].tobytes())
         yield [batch.column(2 + k) for k in range(len(passed))] + [
-            np.diff(at), removed, runs, [hashlib.sha256(k).hexdigest() for k in kept], kept]
+            np.diff(at), removed, runs, [hashlib.sha256(k).hexdigest() for k in kept],
+            [k.decode("utf-8", "ignore") for k in kept] if as_text else kept]
 
     return map_arrow(joined.select("text", "spans", *passed), run,
                      kinds + ", n_bytes long, n_removed long, n_spans long, "
-                             "kept_sha256 string, kept binary")
+                             "kept_sha256 string, kept "
+                             + ("string" if as_text else "binary"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", key: str = "doc_id",
                    keep: tuple[str, ...] = (), shard_bytes: int = SHARD_BYTES,
-                   group: int = GROUP) -> DataFrame:
+                   group: int = GROUP, as_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: key, ``keep`` columns, n_bytes, n_removed, n_spans,
-    kept_sha256, kept (binary).
+    kept_sha256, kept.
 
     Removes each UTF-8 byte covered by a string of ``length`` bytes that also starts anywhere
     else, in the same text or another; matches never cross texts. A null text is empty. Rows
     with equal keys and texts are copies of each other and share their spans. A cut may fall
-    inside a character, so ``kept`` is binary.
+    inside a character, so ``kept`` is binary; ``as_text`` makes it a string without the bytes
+    of broken characters.
     """
-    # A null key becomes a number, so that keys can be joined; the row keeps its own.
-    plain = docs.select(F.coalesce(docs[key].cast("long"), F.lit(_NO_KEY)).alias("doc"),
-                        F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("print"),
-                        F.coalesce(docs[text], F.lit("")).alias("text"),
-                        docs[key].cast("long").alias("own_key"),
-                        *[docs[c].alias(f"keep_{c}") for c in keep])
+    plain = keyed(docs, key, text, keep)
     base = plain.select("doc", "print", "text")
     spans = settle(repeated_spans(base, length, shard_bytes, group), "spans")
-    out = _apply(plain, spans)
-    return out.select(F.col("own_key").alias(key), *[F.col(f"keep_{c}").alias(c) for c in keep],
-                      "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    out = _apply(plain, spans, as_text)
+    return out.select(*unkeyed(key, keep), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
