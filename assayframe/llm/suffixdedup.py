@@ -95,8 +95,22 @@ def _by_count(pieces: DataFrame, length: int) -> DataFrame:
                         "one long, two long, anchor long, content long, first long")
     often = settle(windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1")
                    .drop("n"), "windows")
-    return windows.join(often, ["one", "two"], "left_semi").select(
-        "anchor", "content", "first", F.lit(1).cast("long").alias("windows"))
+    # A chunk's windows are gathered again (it has as many as an anchor reaches) and merged.
+    firsts = windows.join(often, ["one", "two"], "left_semi").groupBy("anchor", "content") \
+        .agg(F.sort_array(F.collect_set("first")).alias("firsts"))
+
+    def merge(batch: pa.RecordBatch):
+        lists = batch.column(2)
+        at, first = lists.offsets.to_numpy(), lists.values.to_numpy()
+        head = np.ones(len(first), bool)
+        head[1:] = first[1:] != first[:-1] + 1
+        head[at[:-1]] = True
+        head = np.flatnonzero(head)
+        row = np.repeat(np.arange(len(lists)), np.diff(at))[head]
+        yield [*(batch.column(i).to_numpy()[row] for i in (0, 1)), first[head],
+               np.diff(np.append(head, len(first)))]
+
+    return map_arrow(firsts, merge, "anchor long, content long, first long, windows long")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, shard_bytes: int = SHARD_BYTES,
