@@ -42,7 +42,7 @@ def test_grid_join_repeats(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = [tuple(r) for r in gridjoin.link_vectors(df).collect()]
     assert sorted(map(str, got)) == sorted(map(str, [
-        (1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, True), (4, 0, 4, True), (5, 0, 5, True)]))
+        (1, 1, 1, True), (1, 1, 1, True), (None, 0, None, True), (4, 0, 4, True), (5, 0, 5, True)]))
 
 
 def test_forest_spans_links():
@@ -116,7 +116,7 @@ def check(spark, frame, module, rows, name, modulus, held):
     tested = [(truth[(r["doc_id"], r["text"])], r["y"]) for r in got
               if r["h"] and (r["doc_id"], r["text"]) in truth]
     assert np.mean([a == b for a, b in tested]) > 0.9
-    again = {(r["doc_id"], r["text"]): r["s"] for r in module.classify(
+    again = {(r["doc_id"], r["text"]): r["score"] for r in module.classify(
         df.select("doc_id", "text").repartition(3), labels).collect()}
     assert all(abs(again[(r["doc_id"], r["text"])] - r["s"]) < 1e-6 for r in got)
     assert module.classify(df.limit(0), labels).count() == 0
