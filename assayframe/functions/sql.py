@@ -63,5 +63,15 @@ def outside(column: str, dtype: T.DataType, low=None, high=None) -> str:
     return f"coalesce(({' OR '.join(tests)}){real}, false)"
 
 
+def number_of(value: str, whole: bool = False) -> str:
+    """The number a text holds from end to end, else null. A cast alone also reads ``98.6F``
+    and ``37d``, and cuts fractions off whole numbers."""
+    digits = "[0-9]+" if whole else "([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?"
+    named = "" if whole else "|nan|inf|infinity"
+    kind = "BIGINT" if whole else "DOUBLE"
+    return (f"CASE WHEN {value} RLIKE '(?i)^ *[+-]?({digits}{named}) *$' "
+            f"THEN TRY_CAST(trim({value}) AS {kind}) END")
+
+
 def share(part: str, whole: str) -> str:
     return f"coalesce(try_divide({part}, {whole}), 0D)"

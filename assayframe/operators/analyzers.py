@@ -189,8 +189,10 @@ def observations(history: DataFrame, width: float = 3.0, least_runs: int = 5) ->
     """
     earlier = (Window.partitionBy("table_name", "metric").orderBy("run_ts", "run_id")
                .rowsBetween(Window.unboundedPreceding, -1))
-    expected = F.avg("value").over(earlier)
-    spread = width * F.stddev_samp("value").over(earlier)
+    # The mean of equal values is rounded, so they are told by their bounds.
+    low, high = F.min("value").over(earlier), F.max("value").over(earlier)
+    expected = F.when(low == high, low).otherwise(F.avg("value").over(earlier))
+    spread = F.when(low == high, 0.0).otherwise(width * F.stddev_samp("value").over(earlier))
     return (history
             .select("table_name", "run_id", "run_ts", "metric", F.col("value").alias("actual"),
                     expected.alias("expected"), (expected - spread).alias("lower"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -86,16 +86,15 @@ def with_custom_entities(df: DataFrame, column: str,
                          extractor: Callable[[pd.Series], pd.Series],
                          into: str = "entities") -> DataFrame:
     """Entities from the caller's own extractor: a function from a batch of texts to a
-    batch of entity lists, run over Arrow batches."""
+    batch of entity lists. Only the text passes through pandas; other columns never do."""
     if into in df.columns:
         raise ValueError(f"{into} is already a column")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(**{into: extractor(batch[column])})
+    @F.pandas_udf(f"array<{ENTITY}>")
+    def run(texts: pd.Series) -> pd.Series:
+        return extractor(texts)
 
-    return df.mapInPandas(run, f"{fields}, `{into}` array<{ENTITY}>")
+    return df.withColumn(into, run(F.col(column)))
 
 
 def standardize(entities: Column) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv
+from ..session import settle
 from .issues import unfold
 from .ranking import number_rows
 
@@ -115,7 +116,8 @@ def batches(metrics: DataFrame, size: int = fv.METRIC_BATCH) -> DataFrame:
 @dataclass(frozen=True)
 class Alarm:
     """``strict`` asks for exactly the alarm's dimensions, else they may be a part of the
-    metric's. ``missing`` is breaching or notBreaching; ``compare`` is < or >."""
+    metric's. ``missing`` is breaching or notBreaching. ``statistic`` is Average, Sum,
+    Minimum, Maximum or SampleCount; ``compare`` is <, <=, > or >=."""
 
     name: str
     metric: str
@@ -128,6 +130,17 @@ class Alarm:
     missing: str = "notBreaching"
     strict: bool = False
 
+    def __post_init__(self):
+        if self.statistic not in _STATISTICS or self.compare not in ("<", "<=", ">", ">="):
+            raise ValueError(f"{self.name}: {self.statistic} {self.compare}")
+        if self.missing not in ("breaching", "notBreaching"):
+            raise ValueError(f"{self.name}: missing {self.missing}")
+        if self.periods < 1 or self.period_s < 1:
+            raise ValueError(f"{self.name}: periods and their length are at least 1")
+
+
+_STATISTICS = {"Average": "a", "Sum": "s", "Minimum": "lo", "Maximum": "hi", "SampleCount": "n"}
+
 
 DEFAULT_ALARMS = [Alarm(*row[:7], missing=row[7]) for row in fv.ALARMS]
 
@@ -158,23 +171,31 @@ def alarm_states(metrics: DataFrame, alarms: Sequence[Alarm], start=None, end=No
     measured = (metrics.join(table, (F.col("name") == F.col("metric")) & subset & exact)
                 .groupBy("alarm", "statistic", period.alias("period"))
                 .agg(F.sum("value").alias("s"), F.avg("value").alias("a"),
-                     F.min("value").alias("lo"), F.max("value").alias("hi"))
+                     F.min("value").alias("lo"), F.max("value").alias("hi"),
+                     F.count("value").cast("double").alias("n"))
                 .select(F.col("alarm").alias("_a"), F.col("period").alias("_p"),
-                        F.expr("CASE statistic WHEN 'Sum' THEN s WHEN 'Minimum' THEN lo "
-                               "WHEN 'Maximum' THEN hi ELSE a END").alias("statistic_value")))
+                        F.expr("CASE statistic " + " ".join(
+                            f"WHEN '{k}' THEN {c}" for k, c in _STATISTICS.items()) + " END")
+                        .alias("statistic_value")))
+    # Written once: its span bounds the periods, and the states read it again.
+    measured = settle(measured, "measured")
     if start is None or end is None:
         span = measured.agg(F.min("_p"), F.max("_p")).first()
         start, end = (span[0] if start is None else start), (span[1] if end is None else end)
-    if start is None or end is None:
-        spine = table.withColumn("period", F.lit(None).cast("long")).where("period is not null")
-    else:
-        first = F.floor(F.lit(start) / F.col("period_s")) * F.col("period_s")
-        spine = table.withColumn("period", F.explode(F.sequence(
-            first, F.lit(end).cast("long"), F.col("period_s").cast("long"))))
-    value = F.col("statistic_value")
+    spine = None
+    for a in alarms:  # a range per alarm is made by many tasks, whatever the span
+        first = 0 if start is None else start // a.period_s * a.period_s
+        last = 0 if start is None or end is None else end + 1
+        periods = spark.range(first, max(first, last), a.period_s).select(
+            F.lit(a.name).alias("_alarm"), F.col("id").alias("period"))
+        spine = periods if spine is None else spine.unionByName(periods)
+    spine = spine.join(table, F.col("_alarm") == F.col("alarm")).drop("_alarm")
+    value, limit = F.col("statistic_value"), F.col("threshold")
     breach = (F.when(value.isNull(), F.col("missing") == "breaching")
-              .when(F.col("compare") == "<", value < F.col("threshold"))
-              .otherwise(value > F.col("threshold")))
+              .when(F.col("compare") == "<", value < limit)
+              .when(F.col("compare") == "<=", value <= limit)
+              .when(F.col("compare") == ">", value > limit).otherwise(value >= limit))
+    # One task orders an alarm's periods: a row per period, some 100,000 a year at 300 s.
     by_period = Window.partitionBy("alarm").orderBy("period")
     calm = F.max(F.when(~F.col("breaching"), F.col("n"))).over(
         by_period.rowsBetween(Window.unboundedPreceding, 0))

@@ -95,24 +95,20 @@ def body_fields(body: Column) -> Column:
 
 
 def chat_payload(df: DataFrame, conversation: str = "conv_id", turn: str = "turn",
-                 role: str = "role", text: str = "text", max_messages: int = 1000,
+                 role: str = "role", text: str = "text", max_messages: int | None = None,
                  **settings) -> DataFrame:
-    """One payload per conversation, with its turns in order.
+    """One payload per conversation, with its turns in order; a payload is one value, so a
+    task holds the conversation it is made of.
 
-    A payload holds at most ``max_messages`` turns. A longer conversation goes on in the
-    payloads of the next ``part``, and is numbered across tasks, so that no conversation
-    is ever gathered whole; a first look at the counts finds whether there is one.
+    With ``max_messages`` a payload holds that many turns at most: conversations are numbered
+    across tasks, none is gathered whole, and a longer one goes on in the next ``part``.
     """
-    crowded = (df.groupBy(conversation).agg(F.count("*").alias("n"))
-               .where(F.col("n") > max_messages).select(conversation))
     order = [turn, role, text]
-    if crowded.take(1):
-        large = number_rows(df.join(crowded, conversation, "left_semi"), [conversation], order)
-        large = large.withColumn("part", F.floor((F.col("position") - 1) / max_messages))
-        small = df.join(crowded, conversation, "left_anti").withColumn("part", F.lit(0))
-        df = small.unionByName(large.drop("position"))
-    else:
+    if max_messages is None:
         df = df.withColumn("part", F.lit(0))
+    else:
+        df = number_rows(df, [conversation], order).withColumn(
+            "part", F.floor((F.col("position") - 1) / max_messages)).drop("position")
     turns = F.array_sort(F.collect_list(F.struct(*order)))
     return (df.groupBy(conversation, F.col("part").cast("long").alias("part"))
             .agg(turns.alias("_turns"))

@@ -8,10 +8,11 @@ uniqueness (which has to shuffle its key) and free SQL run beside that scan.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions import fixed_values as fv
@@ -28,7 +29,8 @@ RESULT_COLUMNS = [
 class Measures:
     """What one rule computes over a table, as SQL expressions.
 
-    The first four are aggregates; ``offends`` and ``value`` belong to a row.
+    The first four are aggregates; ``offends`` and ``value`` belong to a row. ``sample`` is
+    a value for reports, whose text ``{chars}`` cuts.
     """
 
     checked: str
@@ -37,6 +39,7 @@ class Measures:
     passed: str
     offends: str | None = None
     value: str = NULL
+    sample: str | None = None
 
 
 @dataclass(frozen=True)
@@ -51,6 +54,8 @@ class Rule:
 
 
 NO_COUNT = "CAST(NULL AS BIGINT)"
+#: Characters of an offending text that a report's samples show, by kind of rule.
+SAMPLE_CHARS = {"pattern": 80, "length": 50}
 
 
 def _numeric(schema: T.StructType, column: str) -> T.DataType:
@@ -65,12 +70,13 @@ def _text_of(schema: T.StructType, column: str) -> str:
     return name(column) if isinstance(dtype, T.StringType) else f"CAST({name(column)} AS STRING)"
 
 
-def _share_measures(checked: str, bad: str, threshold: float | None, value: str) -> Measures:
+def _share_measures(checked: str, bad: str, threshold: float | None, value: str,
+                    sample: str | None = None) -> Measures:
     """A rule on the share of checked rows that are not bad: all, or ``threshold``."""
     count = f"count_if({bad})"
     good = share(f"{checked} - {count}", checked)
     passed = f"{count} = 0" if threshold is None else f"{good} >= {number(float(threshold))}"
-    return Measures(checked, count, f"round({good}, 4)", passed, bad, value)
+    return Measures(checked, count, f"round({good}, 4)", passed, bad, value, sample)
 
 
 def _count_measures(checked: str, bad: str, most: int, value: str) -> Measures:
@@ -154,7 +160,8 @@ def pattern(column, regex, threshold=1.0, rule_text=None, rule_type="RegexMatch"
         col = _text_of(schema, column)
         eligible = f"coalesce({col} <> '', false)"
         bad = f"({eligible} AND NOT {col} RLIKE {text(java_pattern(f'^(?:{regex})'))})"
-        return _share_measures(f"count_if({eligible})", bad, threshold, f"substring({col}, 1, 80)")
+        return _share_measures(f"count_if({eligible})", bad, threshold, col,
+                               f"substring({col}, 1, {{pattern}})")
 
     rule_text = rule_text or f'ColumnValues "{column}" matches "{regex}" (threshold >= {threshold})'
     return Rule(rule_text, rule_type, column, measure)
@@ -183,7 +190,8 @@ def length_min(column: str, least: int) -> Rule:
         eligible = f"coalesce({col} <> '', false)"
         return _share_measures(
             f"count_if({eligible})", f"({eligible} AND length({col}) < {least})", None,
-            f"concat(substring({col}, 1, 50), ' (length ', length({col}), ')')")
+            f"concat({col}, ' (length ', length({col}), ')')",
+            f"concat(substring({col}, 1, {{length}}), ' (length ', length({col}), ')')")
 
     return Rule(f'ColumnLength "{column}" >= {least}', "ColumnLength", column, measure)
 
@@ -306,14 +314,26 @@ def _uniqueness(df, rule, ids):
 
 
 def _free_sql(df, rule, ids):
-    df.createOrReplaceTempView("primary")
-    answer = df.sparkSession.sql(rule.sql)
-    if len(answer.columns) != 1:
-        raise TypeError("custom SQL must give one number")
-    value = F.max(F.col(f"`{answer.columns[0]}`")).cast("double")
-    return (answer.agg(value.alias("m"))
-            .selectExpr(_result(*ids, metric="m", outcome=_PASSED.format(p=f"m {rule.accept}"))
-                        + " AS r").select("r.*"))
+    """Runs the statement now, apart from the fused scan: an error of its own is the rule's
+    result and ends no other rule. It has to give one row with one number."""
+    spark, view = df.sparkSession, f"primary_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        answer = spark.sql(f"WITH primary AS (SELECT * FROM {view}) SELECT * FROM ({rule.sql})")
+        if len(answer.columns) != 1:
+            raise TypeError("custom SQL must give one number")
+        rows = answer.limit(2).collect()
+        if len(rows) != 1:
+            raise TypeError("custom SQL must give one row")
+        value = rows[0][0]
+        metric = "NULL" if value is None else f"CAST({text(str(float(value)))} AS DOUBLE)"
+    except (PySparkException, ValueError) as error:
+        raise TypeError(str(error)) from error
+    finally:
+        spark.catalog.dropTempView(view)
+    outcome = _PASSED.format(p=f"{metric} {rule.accept}")
+    return spark.range(1).selectExpr(
+        _result(*ids, metric=metric, outcome=outcome) + " AS r").select("r.*")
 
 
 def _aggregates(m: Measures, i: int) -> list[str]:
@@ -367,14 +387,17 @@ def _analyzable(df: DataFrame, fused: dict[int, list[str]]) -> list[int]:
 
 
 def violations(df: DataFrame, rules: Sequence[Rule], table_name: str, record_id: str,
-               keep: int = 10) -> DataFrame:
+               keep: int = 10, chars: dict[str, int] = SAMPLE_CHARS) -> DataFrame:
     """The first ``keep`` offending rows of each rule, by record id.
 
+    These are samples for a report: ``chars`` says how much of a text they show that breaks a
+    pattern or length rule. ``tagged`` and ``route_rows`` keep whole values.
+
     Each row yields only the rules it breaks; the window limit runs before the shuffle,
     so a task sends at most ``keep`` rows per rule.
     """
     window = Window.partitionBy("rule_id").orderBy("_key", "value")
-    return (tagged(df, rules)
+    return (tagged(df, rules, chars)
             .select(F.col(record_id).alias("_key"), F.inline_outer("violated"))
             .where("rule_id is not null")
             .withColumn("rank", F.row_number().over(window))
@@ -383,8 +406,12 @@ def violations(df: DataFrame, rules: Sequence[Rule], table_name: str, record_id:
                     F.col("_key").cast("string").alias("record_id"), "value", "rank"))
 
 
-def tagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Adds ``violated``: the id and offending value of each row-level rule a row breaks."""
+def tagged(df: DataFrame, rules: Sequence[Rule],
+           chars: dict[str, int] | None = None) -> DataFrame:
+    """Adds ``violated``: the id and offending value of each row-level rule a row breaks.
+
+    Values are whole unless ``chars`` asks for samples.
+    """
     tag = "array<struct<rule_id:int,rule:string,value:string>>"
     none = f"CAST(array() AS {tag})"
     tags = [none]
@@ -394,8 +421,9 @@ def tagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         except (KeyError, TypeError):
             continue
         if m and m.offends:
+            value = m.sample.format(**chars) if chars and m.sample else m.value
             tags.append(f"CASE WHEN {m.offends} THEN array(named_struct('rule_id', {rule_id}, "
-                        f"'rule', {text(rule.text)}, 'value', {m.value})) ELSE {none} END")
+                        f"'rule', {text(rule.text)}, 'value', {value})) ELSE {none} END")
     return df.withColumn("violated", F.expr(f"concat({', '.join(tags)})"))
 
 

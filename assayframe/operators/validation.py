@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import field_type, java_pattern
-from ..functions.sql import day, name as quote, say, text
+from ..functions.sql import day, name as quote, number_of, say, text
 from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
 from .issues import ISSUES, count_severity, found, found_sql, issue, pinned, status_of
 
@@ -105,6 +105,8 @@ def date_checks(df: DataFrame, as_of) -> list[Column]:
                 text(") doesn't match computed ("), f"CAST({actual} AS STRING)", "')'")))))
     elif stated is not None:
         bad_format += " OR length_of_stay_days IS NOT NULL"
+    if _type(df, "length_of_stay_days_raw") is not None:
+        bad_format += " OR length_of_stay_days_raw IS NOT NULL"
     checks.append(found((bad_format, issue(
         "INVALID_DATE_FORMAT", None, "ERROR",
         text("Could not parse admission or discharge date (expected YYYY-MM-DD)")))))
@@ -142,7 +144,7 @@ def range_check(df: DataFrame, path: str, field: str, label: str, low, high, cri
     """At most one issue for a value with a plausible range and a critical band."""
     dtype, raw = field_type(df.schema, path), quote(path)
     numeric = isinstance(dtype, T.NumericType)
-    number = f"CAST({raw} AS DOUBLE)" if numeric else f"TRY_CAST({raw} AS DOUBLE)"
+    number = f"CAST({raw} AS DOUBLE)" if numeric else number_of(raw)
     sure = "" if isinstance(dtype, T.IntegralType) else f" AND NOT isnan({number})"
     shown = f"CAST({number} AS STRING)"
     cases = [] if numeric else [(f"{raw} IS NOT NULL AND {number} IS NULL", issue(

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.readers import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,11 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to check."""
-    return spread(table(spark, sf_dir, name))
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Whole numbers as bigint, so that both engines report one type."""
     small = (T.ByteType, T.ShortType, T.IntegerType)

@@ -512,13 +512,16 @@ def _monthly(spark, sf_dir):
     runs = (table(spark, sf_dir, "orders")
             .groupBy(F.concat(F.lit("orders_"), "o_orderstatus").alias("table_name"),
                      month.alias("run_ts"))
-            .agg(F.count("*").cast("double").alias("n"), F.avg("o_totalprice").alias("mean")))
+            .agg(F.count("*").cast("double").alias("n"), F.avg("o_totalprice").alias("mean"),
+                 F.when(F.max("o_orderkey") % 19 == 0, 98.7).otherwise(98.6).alias("fixed")))
     return runs.select("table_name", F.date_format("run_ts", "yyyy-MM").alias("run_id"), "run_ts",
                        F.inline(F.array(
                            F.struct(F.lit("Dataset.*.RowCount").alias("metric"),
                                     F.col("n").alias("value")),
                            F.struct(F.lit("Column.o_totalprice.Mean").alias("metric"),
-                                    F.col("mean").alias("value")))))
+                                    F.col("mean").alias("value")),
+                           F.struct(F.lit("Dataset.*.Fixed").alias("metric"),
+                                    F.col("fixed").alias("value")))))
 
 
 _MONTHLY = """
@@ -526,12 +529,18 @@ SELECT 'orders_' || o_orderstatus AS table_name, strftime(date_trunc('month', o_
   AS run_id, 'Dataset.*.RowCount' AS metric, count(*)::DOUBLE AS value FROM orders GROUP BY ALL
 UNION ALL SELECT 'orders_' || o_orderstatus, strftime(date_trunc('month', o_orderdate), '%Y-%m'),
   'Column.o_totalprice.Mean', avg(o_totalprice) FROM orders GROUP BY ALL
+UNION ALL SELECT 'orders_' || o_orderstatus, strftime(date_trunc('month', o_orderdate), '%Y-%m'),
+  'Dataset.*.Fixed', CASE WHEN max(o_orderkey) % 19 = 0 THEN 98.7 ELSE 98.6 END::DOUBLE
+  FROM orders GROUP BY ALL
 """
 
 
 @query("anomaly_observations", f"""
-WITH h AS ({_MONTHLY}), w AS (SELECT *, avg(value) OVER p AS expected,
-  1.5 * stddev_samp(value) OVER p AS spread, count(value) OVER p AS runs FROM h
+WITH h AS ({_MONTHLY}), w AS (SELECT *,
+  CASE WHEN min(value) OVER p = max(value) OVER p THEN min(value) OVER p
+    ELSE avg(value) OVER p END AS expected,
+  CASE WHEN min(value) OVER p = max(value) OVER p THEN 0
+    ELSE 1.5 * stddev_samp(value) OVER p END AS spread, count(value) OVER p AS runs FROM h
   WINDOW p AS (PARTITION BY table_name, metric ORDER BY run_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT table_name, run_id, metric, round(value, 2) AS actual, round(expected, 2) AS expected,

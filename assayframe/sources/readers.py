@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import fixed_values as fv
+from ..functions.sql import name, number_of
 
 #: Typed columns of the flat record table; every other column stays text.
 FLAT_TYPES = {
@@ -28,28 +29,28 @@ NOTE_SCHEMA = ("record_id bigint, mrn string, note_type string, note_text string
                "author string, date string")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with at least one task per core, for work that costs far more than reading.
-
-    A file with one row group gives one task however many cores are idle. Only then are
-    its rows dealt out; a table of many files already has more splits than cores and is
-    returned as it is, so large scans are not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str] = FLAT_TYPES,
-                   columns: str | None = None) -> DataFrame:
+                   columns: str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header; a blank or bad value of a typed column is null.
 
-    ``columns`` (a DDL list of text columns) spares the pass that reads the header.
+    Quotes are doubled inside quoted values, which may hold separators and line breaks. A
+    file is then read by one task: ``multi_line=False`` lets Spark split files whose values
+    hold no line break. ``columns`` (a DDL list of text columns) spares the pass that reads
+    the header.
     """
-    reader = spark.read.option("header", True).option("nullValue", "").option("multiLine", False)
+    reader = (spark.read.option("header", True).option("nullValue", "")
+              .option("escape", '"').option("multiLine", multi_line))
     text = (reader.schema(columns) if columns else reader).csv(path)
-    return text.select(*[
-        F.col(c).try_cast(types[c]).alias(c) if c in types
-        else F.coalesce(F.col(c), F.lit("")).alias(c) for c in text.columns])
+
+    def typed(c: str) -> Column:
+        if c not in types:
+            return F.coalesce(F.col(c), F.lit("")).alias(c)
+        if types[c] in ("bigint", "int", "double", "float"):
+            whole = types[c] in ("bigint", "int")
+            return F.expr(number_of(name(c), whole)).try_cast(types[c]).alias(c)
+        return F.col(c).try_cast(types[c]).alias(c)
+
+    return text.select(*[typed(c) for c in text.columns])
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA) -> DataFrame:
@@ -78,7 +79,8 @@ def read_json_strict(spark: SparkSession, path: str, multi_line: bool = True) ->
 
     ``age`` is null when it is not a number, and ``age_raw`` then holds it as text;
     ``gender_is_null`` is true for an explicit null and false for an absent field;
-    vital signs are text, so that bad ones can be reported.
+    vital signs are text, so that bad ones can be reported. A length of stay that is not a
+    number is null, and ``length_of_stay_days_raw`` holds it as text.
     """
     def at(path):
         return F.try_variant_get("v", f"$.{path}", "variant")
@@ -87,17 +89,25 @@ def read_json_strict(spark: SparkSession, path: str, multi_line: bool = True) ->
     numeric = _kind(age).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)")
     text_age = F.try_variant_get("v", "$.age", "string")
     given = age.isNotNull() & ~F.is_variant_null(age)
+    stay = at("length_of_stay_days")
+    counted = _kind(stay).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)")
+    stated = stay.isNotNull() & ~F.is_variant_null(stay)
     vitals = F.struct(*[F.try_variant_get("v", f"$.vitals_at_discharge.{name}", "string")
                         .alias(name) for name, *_ in fv.VITAL_RANGES])
     typed = {f.name: f.dataType.simpleString()
              for f in T.StructType.fromDDL(RECORD_SCHEMA).fields}
-    special = {"age", "vitals_at_discharge"}
+    special = {"age", "vitals_at_discharge", "length_of_stay_days"}
     plain = [F.try_variant_get("v", f"$.{n}", t).alias(n) for n, t in typed.items()
              if n not in special]
     return _variant_items(spark, path, multi_line).select(
         *plain,
         F.when(given & numeric, F.try_variant_get("v", "$.age", "double")).alias("age"),
         F.when(given & ~numeric, F.coalesce(text_age, F.to_json(age))).alias("age_raw"),
+        F.when(stated & counted, F.try_variant_get("v", "$.length_of_stay_days", "bigint"))
+        .alias("length_of_stay_days"),
+        F.when(stated & ~counted, F.coalesce(
+            F.try_variant_get("v", "$.length_of_stay_days", "string"), F.to_json(stay)))
+        .alias("length_of_stay_days_raw"),
         F.coalesce(F.is_variant_null(at("gender")), F.lit(False)).alias("gender_is_null"),
         vitals.alias("vitals_at_discharge"))
 
@@ -107,25 +117,35 @@ def table_name_of(file_name: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", file_name.lower()).strip("_")
 
 
-def register_tables(spark: SparkSession, prefix: str) -> DataFrame:
+#: The file or folder right below a prefix that ends with a given name.
+_ENTRY = "/{}/([^/]+)"
+
+
+def register_tables(spark: SparkSession, prefix: str, sampling: float = 1.0) -> DataFrame:
     """Registers every CSV, JSON, Parquet and ORC file or folder under a prefix as a view
-    with an inferred schema; returns (table_name, column, type). Schemas, not data, reach
-    the driver: listing and inference are Spark's own."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(prefix)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    with an inferred schema; returns (table_name, column, type). Schemas, names and the
+    first line of JSON files reach the driver, not data. Types of CSV and JSON are inferred
+    from the share ``sampling`` of the rows. A JSON file that begins with a bracket is read
+    as an array."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix)
+              .select(F.regexp_extract("path", _ENTRY.format(re.escape(
+                  prefix.rstrip("/").rsplit("/", 1)[-1])), 1).alias("entry"))
+              .where("entry != ''").distinct())
     found = []
-    for status in fs.listStatus(folder):
-        name, path = status.getPath().getName(), status.getPath().toString()
-        kind = name.rsplit(".", 1)[-1].lower()
+    for file in sorted(r[0] for r in listed.collect()):
+        path, kind = f"{prefix.rstrip('/')}/{file}", file.rsplit(".", 1)[-1].lower()
         if kind == "csv":
-            df = spark.read.csv(path, header=True, inferSchema=True)
+            df = spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling,
+                                escape='"', multiLine=True)
         elif kind in ("json", "jsonl"):
-            df = spark.read.json(path)
+            first = spark.read.text(path).where("trim(value) != ''").take(1)
+            array = bool(first) and first[0][0].lstrip().startswith("[")
+            df = spark.read.json(path, multiLine=array, samplingRatio=sampling)
         elif kind in ("parquet", "orc"):
             df = spark.read.format(kind).load(path)
         else:
             continue
-        table = table_name_of(name)
+        table = table_name_of(file)
         df.createOrReplaceTempView(table)
         found += [(table, f.name, f.dataType.simpleString()) for f in df.schema.fields]
     return spark.createDataFrame(found, "table_name string, column string, type string")
