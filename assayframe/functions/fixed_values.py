@@ -91,7 +91,6 @@ SECTION_PATTERN = (
 MIN_WORDS = 20
 STRUCTURE_WORDS = 40
 MIN_ALPHA_RATIO = 0.60
-SENTENCE_WORDS = 3
 
 # gate counter, issue type
 GATE_COUNTERS = [

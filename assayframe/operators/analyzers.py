@@ -75,7 +75,7 @@ def analyze(df: DataFrame, analyzers: Sequence[Analyzer], table_name: str, run_i
 
 # --- recommendation --------------------------------------------------------------------
 
-#: A text column with at most this many values gets a value set.
+#: A text column with at most so many values gets a value set, unless the caller says else.
 VALUE_SET_SIZE = 20
 
 
@@ -86,16 +86,18 @@ def _profile_columns(df: DataFrame) -> list[Column]:
         numeric = isinstance(f.dataType, T.NumericType)
         text = isinstance(f.dataType, T.StringType)
         none = F.lit(None).cast("double")
+        # Bounds keep their type and digits; what is not a number is no bound.
+        real = F.when(~F.isnan(col), col) if isinstance(
+            f.dataType, (T.DoubleType, T.FloatType)) else col
         size = F.length(col)
         profiled.append(F.struct(
             F.lit(f.name).alias("column"),
             F.lit("number" if numeric else "text" if text else "other").alias("kind"),
-            F.lit(isinstance(f.dataType, T.IntegralType)).alias("whole"),
             F.count("*").alias("rows"),
             F.count_if(missing(col, f.dataType)).alias("gaps"),
-            (F.min(col).cast("double") if numeric else none).alias("low"),
-            (F.max(col).cast("double") if numeric else none).alias("high"),
-            (F.stddev_samp(col).cast("double") if numeric else none).alias("spread"),
+            (F.min(real) if numeric else F.lit(None)).cast("string").alias("low"),
+            (F.max(real) if numeric else F.lit(None)).cast("string").alias("high"),
+            (F.stddev_samp(real).cast("double") if numeric else none).alias("spread"),
             (F.min(size) if text else F.lit(None)).cast("long").alias("shortest"),
             (F.max(size) if text else F.lit(None)).cast("long").alias("longest"),
             (F.approx_count_distinct(col) if text else F.lit(None)).cast("long")
@@ -109,20 +111,24 @@ def profile(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*_profile_columns(df)).alias("p")).select(F.inline_outer("p"))
 
 
-def _number_text(value: Column, whole: Column) -> Column:
-    return F.when(whole, value.cast("long").cast("string")).otherwise(
-        F.format_string("%.2f", value))
+def _spread_text(value: Column) -> Column:
+    """Two digits where they tell enough, else seven significant ones."""
+    return F.when(value.between(0.1, 1e9), F.format_string("%.2f", value)).otherwise(
+        F.format_string("%.6e", value))
 
 
-def recommend(df: DataFrame) -> DataFrame:
+def recommend(df: DataFrame, value_set_size: int = VALUE_SET_SIZE) -> DataFrame:
     """Candidate rules for a table, as (column, type, rule).
 
     IsComplete where nothing is missing; observed bounds at 0.95 and a spread band of
     0.75 to 1.25 for numbers; observed lengths at 0.99 for text; a value set for text
-    with few values; a row-count band of half to one and a half.
+    with up to ``value_set_size`` values; a row-count band of half to one and a half.
+
+    One row per column reaches the driver. The estimate of distinct values only says which
+    columns are worth counting: it never exceeds the true number by more than a hair where
+    that is small, so twice the size leaves no column out, and an exact count decides. All
+    such columns are counted in one scan.
     """
-    # One row per column reaches the driver, and decides which columns may have a value
-    # set; only their distinct values, already known to be few, are then read.
     spark = df.sparkSession
     rows = profile(df).collect()
     columns = spark.createDataFrame(rows, profile(df).schema) if rows else profile(df)
@@ -136,12 +142,11 @@ def recommend(df: DataFrame) -> DataFrame:
         F.when(F.col("gaps") == 0, rule("Completeness", F.concat(F.lit("IsComplete "), quoted))),
         F.when(number & F.col("low").isNotNull(), rule("Range", F.concat(
             F.lit("ColumnValues "), quoted, F.lit(" between "),
-            _number_text(F.col("low"), F.col("whole")), F.lit(" and "),
-            _number_text(F.col("high"), F.col("whole")), F.lit(" with threshold >= 0.95")))),
+            F.col("low"), F.lit(" and "), F.col("high"), F.lit(" with threshold >= 0.95")))),
         F.when(number & F.col("spread").isNotNull(), rule("Statistical", F.concat(
             F.lit("StandardDeviation "), quoted, F.lit(" between "),
-            F.format_string("%.2f", F.col("spread") * 0.75), F.lit(" and "),
-            F.format_string("%.2f", F.col("spread") * 1.25)))),
+            _spread_text(F.col("spread") * 0.75), F.lit(" and "),
+            _spread_text(F.col("spread") * 1.25)))),
         F.when(text & F.col("shortest").isNotNull(), rule("ColumnLength", F.concat(
             F.lit("ColumnLength "), quoted, F.lit(" between "), F.col("shortest").cast("string"),
             F.lit(" and "), F.col("longest").cast("string"),
@@ -154,22 +159,23 @@ def recommend(df: DataFrame) -> DataFrame:
         F.concat(F.lit("RowCount between "), F.floor(F.col("rows") * 0.5).cast("string"),
                  F.lit(" and "), F.ceil(F.col("rows") * 1.5).cast("string")).alias("rule")))
     few = [r["column"] for r in rows
-           if r["kind"] == "text" and 0 < r["distinct"] <= 2 * VALUE_SET_SIZE]
-    for name in few:
-        out = out.unionByName(_value_set(df, name))
-    return out
+           if r["kind"] == "text" and 0 < r["distinct"] <= 2 * value_set_size + 1]
+    return out.unionByName(_value_sets(df, few, value_set_size)) if few else out
 
 
-def _value_set(df: DataFrame, name: str) -> DataFrame:
-    values = (df.where(F.col(name).isNotNull()).select(F.col(name).alias("v")).distinct()
-              .limit(VALUE_SET_SIZE + 1))
+def _value_sets(df: DataFrame, names: Sequence[str], most: int) -> DataFrame:
+    """Value sets of columns with few values: (column, value) pairs merged within tasks."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("v"))
+                      for n in names])
+    values = (df.select(F.inline_outer(pairs)).where(F.col("v").isNotNull())
+              .groupBy("column", "v").agg(F.lit(1).alias("one")))
     listed = F.array_join(F.sort_array(F.collect_list(
         F.concat(F.lit('"'), F.col("v"), F.lit('"')))), ", ")
-    return (values.agg(F.count("*").alias("n"), listed.alias("listed"))
-            .where(F.col("n").between(1, VALUE_SET_SIZE))
-            .select(F.lit(name).alias("column"), F.lit("ValueSet").alias("type"),
-                    F.concat(F.lit(f'ColumnValues "{name}" in ['), "listed", F.lit("]"))
-                    .alias("rule")))
+    return (values.groupBy("column").agg(F.count("*").alias("n"), listed.alias("listed"))
+            .where(F.col("n") <= most)
+            .select("column", F.lit("ValueSet").alias("type"),
+                    F.concat(F.lit('ColumnValues "'), "column", F.lit('" in ['), "listed",
+                             F.lit("]")).alias("rule")))
 
 
 def rules_diff(recommended: DataFrame, written: DataFrame) -> DataFrame:

@@ -99,18 +99,22 @@ def _signal(which: str) -> Column:
     return F.col(SIGNAL + which)
 
 
-def _first3(found: str, between: str = "', '") -> str:
-    return f"array_join(slice({found}, 1, 3), {between})"
+#: Matches that an issue shows.
+SHOWN = 3
 
 
-def gate_issues(record_id: str) -> Column:
-    """The issues of a note with signals, in the order of the checks."""
+def gate_issues(record_id: str, shown: int = SHOWN) -> Column:
+    """The issues of a note with signals, in the order of the checks; ``shown`` matches are
+    listed, all are counted. The advice on personal data names no service."""
+    def _first3(found: str, between: str = "', '") -> str:
+        return f"array_join(slice({found}, 1, {shown}), {between})"
+
     s = {n: SIGNAL + n for n in ("words", "profanity", "phi", "bias", "distinct_terms", "sections",
                                  "full_sentences")}
     rid = f"coalesce(CAST({name(record_id)} AS STRING), 'unknown')"
     words = f"CAST({s['words']} AS STRING)"
     ratio = f"try_divide({SIGNAL}letters, {SIGNAL}chars)"
-    # The first three matches as a Python list prints them.
+    # The matches shown, as a Python list prints them.
     listed = (f"concat('[\\'', replace(replace({_first3(s['bias'], text(chr(39) + ', ' + chr(39)))},"
               r" '\n', '\\n'), '\t', '\\t'), '\']')")
 
@@ -177,10 +181,16 @@ def relevance_score() -> Column:
 
 
 def with_gates(df: DataFrame, note: str, record_id: str,
-               patterns: GatePatterns = GatePatterns()) -> DataFrame:
-    """Adds ``gate_issues`` and ``relevance_score``."""
+               patterns: GatePatterns = GatePatterns(), shown: int = SHOWN) -> DataFrame:
+    """Adds ``gate_issues`` and ``relevance_score``. Issues show ``shown`` matches."""
     return drop_signals(pinned(with_signals(df, note, patterns), {
-        "gate_issues": gate_issues(record_id), "relevance_score": relevance_score()}))
+        "gate_issues": gate_issues(record_id, shown), "relevance_score": relevance_score()}))
+
+
+def with_relevance(df: DataFrame, note: str, patterns: GatePatterns = GatePatterns()) -> DataFrame:
+    """Adds ``relevance_score`` alone: the text is searched for nothing else."""
+    return drop_signals(pinned(with_signals(df, note, patterns),
+                               {"relevance_score": relevance_score()}))
 
 
 def redact_phi(note: Column, patterns: GatePatterns = GatePatterns()) -> Column:

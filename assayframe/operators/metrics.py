@@ -32,9 +32,14 @@ def metric(name: str, value: Column, unit: str, ts: Column, dimensions: dict,
 
 
 def dq_metrics(scores: DataFrame, ts: Column, namespace: str = NAMESPACE,
-               run: dict = fv.RUN_DIMENSION) -> DataFrame:
-    """Score, passed, failed and records of each table's score row."""
-    table = {"Dataset": F.col("table_name")}
+               run: dict = fv.RUN_DIMENSION, names: dict | None = None) -> DataFrame:
+    """Score, passed, failed and records of each table's score row.
+
+    ``names`` maps table names to the names that alarms and dashboards know them by."""
+    shown = F.col("table_name")
+    for own, known in (names or {}).items():
+        shown = F.when(F.col("table_name") == own, known).otherwise(shown)
+    table = {"Dataset": shown}
     return scores.select(F.inline_outer(F.array(
         metric(fv.SCORE_METRIC, F.col("overall_score"), "Percent", ts,
                {**table, **run}, namespace),

@@ -14,15 +14,14 @@ from .registry import table
 
 AS_OF = "2001-01-01 00:00:00"
 
-DOCTORS = ["Smith", "Johnson", "Garcia", "Miller", "Lopez", "o'Neil"]
-DEPARTMENTS = ["Internal Medicine", "Cardiology", "Pulmonology", "Endocrinology", "Nephrology",
-               "General Surgery"]
-DOSED = [("Metformin", "500mg", "BID"), ("Metformin", "1000mg", "BID"),
-         ("Lisinopril", "10mg", "QD"), ("Lisinopril", "20mg", "QD"),
-         ("Atorvastatin", "40mg", "QHS"), ("Omeprazole", "20mg", "QD"),
-         ("Amlodipine", "5mg", "QD"), ("Albuterol", "90mcg", "PRN"),
-         ("Sertraline", "50mg", "QD"), ("Aspirin", "81mg", "QD"),
-         ("Furosemide", "40mg", "BID"), ("Warfarin", "5mg", "QD")]
+DOCTORS = ["Abel", "Brandt", "Chen", "Duval", "Eriksen", "o'Neil"]
+DEPARTMENTS = ["North Wing", "South Wing", "Day Unit", "Night Unit", "Outpatients", "Annex 2"]
+#: Every drug of an interaction, and others of our own, at made-up doses.
+_DRUGS = [*dict.fromkeys(d for a, b, *_ in fv.DRUG_INTERACTIONS for d in (a, b)),
+          "Placebol", "Testamine", "Nullidone"]
+DOSED = [(drug, f"{dose}{unit}", how) for i, drug in enumerate(_DRUGS) for dose, unit, how in
+         [((i + 1) * 15, "mg", ("morning", "noon", "night")[i % 3])]][:12]
+DOSED += [(DOSED[0][0], "7mcg", "night")]
 ENDINGS = {
     0: " Assessment: hypertension stable on Lisinopril. Plan: follow-up on 2024-01-15.",
     1: " Contact 555-123-4567 or john.doe@example.com.",
@@ -32,7 +31,7 @@ ENDINGS = {
        "Warfarin 5 mg. Seen 2024-02-03 and 2024-03-04.",
     7: " drug-seeking behavior, Frequent  flyer, difficult patient, obese and lazy",
 }
-GARBLED = "BP ok 120/80 ## 44 $$ 9"
+GARBLED = " ## 44 $$ 9"
 
 
 DIAGNOSES = "array<struct<icd10:string,description:string>>"
@@ -72,7 +71,7 @@ def records_of(orders: DataFrame) -> DataFrame:
         "cast(o_orderdate AS date) AS day", "o_orderkey % 15 - 1 AS shift").selectExpr(
         "k AS record_id",
         "concat('MRN-', lpad(cast(if(k % 97 = 1, k - 1, k) AS string), 6, '0')) AS mrn",
-        "CASE k % 50 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'René Müller-Straße' "
+        "CASE k % 50 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'Zoë Łęcka-Ørsted' "
         "ELSE concat('Patient ', c) END AS patient_name",
         "CASE WHEN k % 61 <> 0 THEN c % 130 - 5 END AS age",
         "CASE WHEN s = 'F' THEN 'F' WHEN s = 'O' THEN 'M' WHEN k % 3 = 0 THEN 'U' "
@@ -105,8 +104,9 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(i % 7 = 1, i - 1, i) AS record_id", "i AS seq",
         "if(i % 41 = 0, 'MRN-X', concat('MRN-', lpad(cast(i AS string), 6, '0'))) AS mrn",
         f"if(i % 53 = 0, 'Letter', {_pick(fv.NOTE_TYPES, 'i % 3')}) AS note_type",
-        f"CASE i % 9 WHEN 5 THEN if(i % 2 = 0, '', '   ') WHEN 6 THEN {spark_quoted(GARBLED)} "
-        f"{endings} ELSE text END AS note_text",
+        f"CASE WHEN i % 36 = 5 THEN if(i % 2 = 0, '', '   ') "
+        f"ELSE CASE i % 9 WHEN 6 THEN concat(text, repeat({spark_quoted(GARBLED)}, "
+        f"cast(length(text) / 4 AS int))) {endings} ELSE text END END AS note_text",
         f"concat('Dr. ', {_pick(DOCTORS, 'i % 6')}) AS author",
         "if(i % 31 = 0, '2024/01/01', concat('2024-01-', lpad(cast(i % 28 + 1 AS string), 2, '0')))"
         " AS date")
@@ -136,7 +136,7 @@ _MEDS = ", ".join(
 RECORDS_SQL = f"""
 SELECT k AS record_id,
   'MRN-' || lpad(CAST(CASE WHEN k % 97 = 1 THEN k - 1 ELSE k END AS VARCHAR), 6, '0') AS mrn,
-  CASE k % 50 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'René Müller-Straße'
+  CASE k % 50 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'Zoë Łęcka-Ørsted'
     ELSE 'Patient ' || CAST(c AS VARCHAR) END AS patient_name,
   CASE WHEN k % 61 <> 0 THEN c % 130 - 5 END AS age,
   CASE WHEN s = 'F' THEN 'F' WHEN s = 'O' THEN 'M' WHEN k % 3 = 0 THEN 'U'
@@ -170,8 +170,8 @@ NOTES_SQL = f"""
 SELECT CASE WHEN i % 7 = 1 THEN i - 1 ELSE i END AS record_id, i AS seq,
   CASE WHEN i % 41 = 0 THEN 'MRN-X' ELSE 'MRN-' || lpad(CAST(i AS VARCHAR), 6, '0') END AS mrn,
   CASE WHEN i % 53 = 0 THEN 'Letter' ELSE {_sql_pick(fv.NOTE_TYPES, 'i % 3')} END AS note_type,
-  CASE WHEN i % 9 = 5 THEN CASE WHEN i % 2 = 0 THEN '' ELSE '   ' END
-    WHEN i % 9 = 6 THEN {quoted(GARBLED)}
+  CASE WHEN i % 36 = 5 THEN CASE WHEN i % 2 = 0 THEN '' ELSE '   ' END
+    WHEN i % 9 = 6 THEN text || repeat({quoted(GARBLED)}, CAST(length(text) // 4 AS BIGINT))
     {' '.join(f"WHEN i % 9 = {r} THEN text || {quoted(e)}" for r, e in ENDINGS.items())}
     ELSE text END AS note_text,
   'Dr. ' || {_sql_pick(DOCTORS, 'i % 6')} AS author,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..operators import metrics as m, rules as r
+from ..session import settle
 from .registry import query, table
 from .rule_queries import SCORES_SQL, _results, over_results
 from .text_queries import SCORE_SQL, full_frame, full_sql
@@ -77,8 +78,8 @@ def _(spark, sf_dir):
     return shown(m.dq_metrics(r.score(_results(spark, sf_dir)), _now()))
 
 
-def _both(spark, sf_dir):
-    dq = m.dq_metrics(r.score(_results(spark, sf_dir)), _now())
+def _both(spark, sf_dir, names=None):
+    dq = m.dq_metrics(r.score(_results(spark, sf_dir)), _now(), names=names)
     return dq.unionByName(m.validation_metrics(m.tally(full_frame(spark, sf_dir)), _now()))
 
 
@@ -202,19 +203,27 @@ ALARMS = [
             missing="breaching"),
     m.Alarm("interactions", "Validation_ErrorsByType", {"ErrorType": "DRUG_INTERACTION"}, "Sum",
             ">", 1.0, 1, 300),
+    m.Alarm("readings", "Validation_PassRate", {}, "SampleCount", "<=", 1.0, 2, 3600),
+    m.Alarm("highest", "GlueDQ_TotalRecords", {"Dataset": "set2"}, "Maximum", ">=", 99.0, 1, DAY),
     m.Alarm("strict", "GlueDQ_OverallScore", {}, "Average", "<", 50.0, 1, DAY, "breaching", True),
 ]
 
 
-def _alarm_sql(a: m.Alarm):
+def _chosen(a: m.Alarm):
+    if a.strict:
+        return "false"
     chosen = f"name = '{a.metric}'"
     if "Dataset" in a.dimensions:
         chosen += f" AND dataset = '{a.dimensions['Dataset']}'"
     if "ErrorType" in a.dimensions:
         chosen += f" AND error_type = '{a.dimensions['ErrorType']}'"
-    if a.strict:
-        chosen = "false"
-    agg = {"Sum": "sum", "Average": "avg"}[a.statistic]
+    return chosen
+
+
+def _alarm_sql(a: m.Alarm):
+    chosen = _chosen(a)
+    agg = {"Sum": "sum", "Average": "avg", "SampleCount": "count", "Minimum": "min",
+           "Maximum": "max"}[a.statistic]
     missing = "true" if a.missing == "breaching" else "false"
     return f"""SELECT '{a.name}' AS alarm, p AS period_start, round(v, 4) AS statistic_value, b AS
   breaching, CASE WHEN count(*) OVER w = {a.periods} AND bool_and(b) OVER w THEN 'ALARM' ELSE 'OK'
@@ -225,14 +234,52 @@ def _alarm_sql(a: m.Alarm):
   WINDOW w AS (ORDER BY p ROWS BETWEEN {a.periods - 1} PRECEDING AND CURRENT ROW)"""
 
 
-START = 1704067200  # 2024-01-01 00:00:00 UTC
-END = START + 30 * DAY - 1
+def _bounds_sql(alarms):
+    """The span of all periods that hold readings of any alarm."""
+    periods = " UNION ALL ".join(
+        f"SELECT (epoch_us(ts) // 1000000 // {a.period_s}) * {a.period_s} AS p FROM em "
+        f"WHERE {_chosen(a)}" for a in alarms)
+    return f"bounds AS (SELECT min(p) AS lo, max(p) AS hi FROM ({periods}))"
 
 
-@query("alarm_eval", f"WITH {EVENT_METRICS}, bounds AS (SELECT {START}::BIGINT AS lo, "
-       f"{END}::BIGINT AS hi) SELECT alarm, strftime(make_timestamp(period_start * 1000000), "
+@query("alarm_eval", f"WITH {EVENT_METRICS}, {_bounds_sql(ALARMS)} SELECT alarm, strftime(make_timestamp(period_start * 1000000), "
        "'%Y-%m-%d %H:%M:%S') AS period_start, statistic_value, breaching, state FROM ("
        + " UNION ALL ".join(_alarm_sql(a) for a in ALARMS) + ")")
 def _(spark, sf_dir):
-    states = m.alarm_states(event_metrics(spark, sf_dir), ALARMS, START, END)
+    states = m.alarm_states(event_metrics(spark, sf_dir), ALARMS)
+    return _text(states).withColumn("statistic_value", F.round("statistic_value", 4))
+
+
+#: The pipeline's metrics are published now and ten minutes later, under the names that the
+#: default alarms ask for; the five minutes between have none.
+_RENAMED = {"patient_records_csv": "patient_records"}
+_METRICS_SQL = (over_results(DQ_METRICS, sc=SCORES_SQL) + " UNION ALL SELECT * FROM ("
+                + full_sql(VALIDATION_METRICS) + ")")
+_ALARM_VALUES = {
+    "Healthcare-DQ-OverallScore-Low":
+        "name = 'GlueDQ_OverallScore' AND dimensions LIKE 'Dataset=patient_records_csv,%'",
+    "Healthcare-Validation-HighErrorRate": "name = 'Validation_ErrorCount'",
+    "Healthcare-DrugInteraction-Alert":
+        "name = 'Validation_ErrorsByType' AND dimensions LIKE 'ErrorType=DRUG_INTERACTION,%'",
+}
+
+
+def _default_sql(a: m.Alarm):
+    missing = "true" if a.missing == "breaching" else "false"
+    return f"""SELECT '{a.name}' AS alarm, p, v, b, CASE WHEN count(*) OVER w = {a.periods}
+      AND bool_and(b) OVER w THEN 'ALARM' ELSE 'OK' END AS state FROM (
+      SELECT p, v, CASE WHEN v IS NULL THEN {missing} ELSE v {a.compare} {a.threshold} END AS b
+      FROM (SELECT p, CASE WHEN p <> 5 THEN (SELECT sum(value) FROM mt
+        WHERE {_ALARM_VALUES[a.name]}) END AS v FROM (VALUES (0), (5), (10)) t(p)))
+    WINDOW w AS (ORDER BY p ROWS BETWEEN {a.periods - 1} PRECEDING AND CURRENT ROW)"""
+
+
+@query("default_alarms", f"WITH mt AS MATERIALIZED ({_METRICS_SQL}) SELECT alarm, "
+       "'2024-01-01 00:' || lpad(p::VARCHAR, 2, '0') || ':00' AS period_start, "
+       "round(v, 4) AS statistic_value, b AS breaching, state FROM ("
+       + " UNION ALL ".join(_default_sql(a) for a in m.DEFAULT_ALARMS) + ")")
+def _(spark, sf_dir):
+    metrics = settle(_both(spark, sf_dir, _RENAMED), "published")
+    later = metrics.withColumn("ts", F.col("ts") + F.expr("INTERVAL 10 MINUTES"))
+    states = m.alarm_states(metrics.unionByName(later), m.DEFAULT_ALARMS)
     return _text(states).withColumn("statistic_value", F.round("statistic_value", 4))

@@ -454,8 +454,7 @@ def _recommended_sql(source, columns):
         parts.append(f"{head}'Completeness' AS type, 'IsComplete \"{name}\"' AS rule FROM "
                      f"{source} HAVING count(*) FILTER (NOT {filled(name)}) = 0")
         if kind in ("whole", "real"):
-            show = "{}" if kind == "whole" else "printf('%.2f', {})"
-            low, high = (f"CAST({show.format(f'{f}({name})')} AS VARCHAR)" for f in ("min", "max"))
+            low, high = (f"CAST({f}({name}) AS VARCHAR)" for f in ("min", "max"))
             parts.append(f"{head}'Range' AS type, 'ColumnValues \"{name}\" between ' || {low} || "
                          f"' and ' || {high} || ' with threshold >= 0.95' AS rule FROM {source}")
             sd = f"stddev_samp({name})"
@@ -506,7 +505,7 @@ def _(spark, sf_dir):
 
 # --- run history -----------------------------------------------------------------------------
 
-def _monthly(spark, sf_dir):
+def monthly_runs(spark, sf_dir):
     """Two metrics of orders for each month and status, taken as the runs of a table."""
     month = F.date_trunc("month", F.col("o_orderdate").cast("timestamp"))
     runs = (table(spark, sf_dir, "orders")
@@ -535,19 +534,22 @@ UNION ALL SELECT 'orders_' || o_orderstatus, strftime(date_trunc('month', o_orde
 """
 
 
-@query("anomaly_observations", f"""
-WITH h AS ({_MONTHLY}), w AS (SELECT *,
+OBSERVED_SQL = f"""h AS ({_MONTHLY}), w AS (SELECT *,
   CASE WHEN min(value) OVER p = max(value) OVER p THEN min(value) OVER p
     ELSE avg(value) OVER p END AS expected,
   CASE WHEN min(value) OVER p = max(value) OVER p THEN 0
     ELSE 1.5 * stddev_samp(value) OVER p END AS spread, count(value) OVER p AS runs FROM h
   WINDOW p AS (PARTITION BY table_name, metric ORDER BY run_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT table_name, run_id, metric, round(value, 2) AS actual, round(expected, 2) AS expected,
-  round(expected - spread, 2) AS lower, round(expected + spread, 2) AS upper
-FROM w WHERE runs >= 5 AND NOT (value BETWEEN expected - spread AND expected + spread)""")
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+seen AS (SELECT * FROM w
+  WHERE runs >= 5 AND NOT (value BETWEEN expected - spread AND expected + spread))"""
+
+
+@query("anomaly_observations", f"""
+WITH {OBSERVED_SQL} SELECT table_name, run_id, metric, round(value, 2) AS actual, round(expected, 2) AS expected,
+  round(expected - spread, 2) AS lower, round(expected + spread, 2) AS upper FROM seen""")
 def _(spark, sf_dir):
-    seen = an.observations(_monthly(spark, sf_dir), width=1.5)
+    seen = an.observations(monthly_runs(spark, sf_dir), width=1.5)
     return seen.select("table_name", "run_id", "metric",
                        *[F.round(c, 2).alias(c) for c in ("actual", "expected", "lower", "upper")])
 

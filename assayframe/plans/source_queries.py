@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import rules as r
-from ..operators.ranking import number_rows
 from ..session import fresh_path
 from ..sources import faults, readers, writers
 from . import derived
@@ -18,18 +17,22 @@ from .text_queries import full_frame, full_sql
 
 @query("src_csv_typed", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL ELSE o_custkey
-  END AS age, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS temperature_f,
-  CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS department FROM orders""")
+  END AS age, CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END
+  AS temperature_f, CASE WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderkey % 3 = 0 THEN
+  'Ann "Bee", ' || chr(10) || o_orderpriority ELSE o_orderpriority END AS department
+FROM orders""")
 def _(spark, sf_dir):
     k = F.col("o_orderkey")
     path = fresh_path(spark, "csv")
     table(spark, sf_dir, "orders").select(
         "o_orderkey", F.when(k % 7 == 0, "").when(k % 11 == 0, "3.0x").otherwise(
             F.col("o_custkey").cast("string")).alias("age"),
-        F.when(k % 13 == 0, "").otherwise(F.col("o_totalprice").cast("string"))
-        .alias("temperature_f"),
-        F.when(k % 5 == 0, "").otherwise(F.col("o_orderpriority")).alias("department"),
-    ).write.option("header", True).csv(path)
+        F.when(k % 13 == 0, "").when(k % 17 == 0, "98.6F").otherwise(
+            F.col("o_totalprice").cast("string")).alias("temperature_f"),
+        F.when(k % 5 == 0, "").when(k % 3 == 0, F.concat(
+            F.lit('Ann "Bee", \n'), "o_orderpriority")).otherwise(F.col("o_orderpriority"))
+        .alias("department"),
+    ).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     return readers.read_csv_typed(spark, path, {**readers.FLAT_TYPES, "o_orderkey": "bigint"})
 
 
@@ -38,25 +41,21 @@ _CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_ac
              "FROM customer"
 _CUSTOMER_SCHEMA = ("c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, "
                     "c_mktsegment string")
-ARRAY_ROWS = 500
 
 
 def _customer_arrays(spark, sf_dir):
-    """Files with a JSON array each, of at most ARRAY_ROWS customers."""
+    """Files with a JSON array each, one per task."""
     path = fresh_path(spark, "arrays")
     segment = F.when(F.col("c_custkey") % 9 != 0, F.concat("c_mktsegment", F.lit(" é")))
     rows = table(spark, sf_dir, "customer").withColumn("c_mktsegment", segment)
-    (number_rows(rows, [], ["c_custkey"])
-     .groupBy(F.floor((F.col("position") - 1) / ARRAY_ROWS).alias("part"))
-     .agg(F.to_json(F.collect_list(F.struct(*rows.columns)), {"pretty": "true"}).alias("value"))
-     .write.partitionBy("part").text(path))
+    writers.write_json_arrays(rows, path)
     return path
 
 
 @query("src_json_array", _CUSTOMERS)
 def _(spark, sf_dir):
     return readers.read_json_array(spark, _customer_arrays(spark, sf_dir),
-                                   _CUSTOMER_SCHEMA).drop("part")
+                                   _CUSTOMER_SCHEMA)
 
 
 @query("json_array_to_lines", _CUSTOMERS)
@@ -70,6 +69,8 @@ def _(spark, sf_dir):
 SELECT record_id, CASE WHEN record_id % 7 <> 0 THEN CAST(age AS DOUBLE) END AS age,
   CASE WHEN record_id % 7 = 0 AND age IS NOT NULL THEN 'age ' || age END AS age_raw,
   gender, gender IS NULL AND record_id % 2 = 0 AS gender_is_null,
+  CASE WHEN record_id % 10 > 1 THEN length_of_stay_days END AS length_of_stay_days,
+  CASE record_id % 10 WHEN 0 THEN 'two' WHEN 1 THEN '2' END AS stay_raw,
   CAST(vitals_at_discharge.heart_rate AS VARCHAR) AS heart_rate FROM rec"""))
 def _(spark, sf_dir):
     path = fresh_path(spark, "strict")
@@ -81,10 +82,15 @@ def _(spark, sf_dir):
     rest = F.to_json(F.struct("record_id", "gender", "vitals_at_discharge"))
     gender = F.when(F.col("gender").isNull() & (F.col("record_id") % 2 == 0),
                     ',"gender":null').otherwise("")
-    rec.select(F.concat(F.lit('{"age":'), age, gender, F.lit(","),
+    stay = F.when(F.col("record_id") % 10 == 0, '"two"').when(
+        F.col("record_id") % 10 == 1, '"2"').otherwise(
+        F.coalesce(F.col("length_of_stay_days").cast("string"), F.lit("null")))
+    rec.select(F.concat(F.lit('{"length_of_stay_days":'), stay, F.lit(',"age":'), age, gender,
+                        F.lit(","),
                         F.substring(rest, 2, 1 << 30)).alias("value")).write.text(path)
     return readers.read_json_strict(spark, path, multi_line=False).select(
-        "record_id", "age", "age_raw", "gender", "gender_is_null",
+        "record_id", "age", "age_raw", "gender", "gender_is_null", "length_of_stay_days",
+        F.col("length_of_stay_days_raw").alias("stay_raw"),
         F.col("vitals_at_discharge.heart_rate").alias("heart_rate"))
 
 
@@ -121,22 +127,38 @@ def _(spark, sf_dir):
     return rows.groupBy("table_name", "outcome").agg(F.count("*").alias("rules")).unionByName(total)
 
 
+def _told(key):
+    return key.endswith(".RowCount") | key.endswith(".Completeness")
+
+
 @query("sink_results_partitioned", over_results("""
 SELECT table_name, '2024' AS year, '03' AS month, '14' AS day, rule, outcome,
-  outcome = 'PASS' AS explained FROM res"""))
+  outcome = 'PASS' AS explained, CASE WHEN type = 'RowCount' THEN 'Dataset.*.RowCount'
+    WHEN type = 'Completeness' THEN 'Column.' || "column" || '.Completeness' END AS named,
+  CASE WHEN type IN ('RowCount', 'Completeness') THEN round(metric, 4) END AS measured,
+  checked::DOUBLE AS checked FROM res"""))
 def _(spark, sf_dir):
     path = fresh_path(spark, "results")
     writers.write_results(_results(spark, sf_dir), path, "2024-03-14 10:00:00")
     back = writers.read_results(spark, path)
+    names = F.map_keys("evaluated_metrics")
+
+    def value(test):
+        return F.element_at("evaluated_metrics", F.filter(names, test)[0])
+
     return back.select("table_name", "year", "month", "day", "rule", "outcome",
-                       F.col("failure_reason").isNull().alias("explained"))
+                       F.col("failure_reason").isNull().alias("explained"),
+                       F.filter(names, _told)[0].alias("named"),
+                       F.round(value(lambda k: _told(k)), 4).alias("measured"),
+                       value(lambda k: k.endswith(".Checked")).alias("checked"))
 
 
 @query("sink_validation", full_sql("""
 SELECT 'summary' AS output, count(*) AS records FROM st
 UNION ALL SELECT 'flagged', count(*) FILTER (status <> 'PASS') FROM st
 UNION ALL SELECT 'clean', count(*) FILTER (status <> 'FAIL') FROM st
-UNION ALL SELECT 'gates', (SELECT count(*) FROM iss WHERE type LIKE 'RA_%')"""))
+UNION ALL SELECT 'gates', (SELECT count(*) FROM iss WHERE type LIKE 'RA_%')
+UNION ALL SELECT type, count(*) FROM iss GROUP BY type"""))
 def _(spark, sf_dir):
     path = fresh_path(spark, "validation")
     writers.write_validation(full_frame(spark, sf_dir), path)
@@ -149,7 +171,9 @@ def _(spark, sf_dir):
 
     summary = spark.read.json(f"{path}/validation_summary").withColumnRenamed("total", "records")
     gates = spark.read.json(f"{path}/gate_summary").withColumnRenamed("total_ra_issues", "records")
-    return (output("summary", summary).unionByName(output("flagged", counted("flagged")))
+    by_type = spark.read.json(f"{path}/errors_by_type").select(
+        F.col("type").alias("output"), F.col("issues").alias("records"))
+    return (output("summary", summary).unionByName(by_type).unionByName(output("flagged", counted("flagged")))
             .unionByName(output("clean", counted("clean"))).unionByName(output("gates", gates)))
 
 
@@ -182,7 +206,7 @@ def _vital(name, fault, value):
 
 @query("inject_faults", with_ctes("rec", f"""
 SELECT record_id, fault, CASE fault WHEN 'missing_name' THEN '' WHEN 'encoding'
-  THEN 'René Müller-Straße' ELSE patient_name END AS patient_name,
+  THEN 'Zoë Łęcka-Ørsted' ELSE patient_name END AS patient_name,
   CASE WHEN fault = 'future_date' THEN '2001-01-31' ELSE discharge_date END AS discharge_date,
   CASE WHEN fault = 'negative_age' THEN -5 ELSE age END AS age,
   CASE WHEN fault = 'empty_meds' THEN 0 ELSE len(medications) END AS meds,

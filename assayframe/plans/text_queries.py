@@ -125,7 +125,8 @@ _gate("g_unstructured", "RA_UNSTRUCTURED_NOTE")
 
 @query("relevance_score", over_notes(f"SELECT record_id, {SCORE_SQL} AS score FROM sig"))
 def _(spark, sf_dir):
-    return gated(spark, sf_dir).select("record_id", F.col("relevance_score").alias("score"))
+    return gates.with_relevance(noted(spark, sf_dir), "note").select(
+        "record_id", F.col("relevance_score").alias("score"))
 
 
 #: A vocabulary of the documents themselves, for the gates that take a word list.
@@ -341,13 +342,16 @@ def email_extractor(texts: pd.Series) -> pd.Series:
 
 
 @query("udf_extractor", with_ctes("nts", f"""
-SELECT record_id, unnest(regexp_extract_all({ASCII},
+SELECT CASE WHEN record_id % 5 <> 0 THEN record_id + 9007199254740993 END AS key, unnest(regexp_extract_all({ASCII},
   {quoted(fv.EMAIL_PATTERN)})) AS found FROM src""", src=NOTE_SRC))
 def _(spark, sf_dir):
-    out = en.with_custom_entities(noted(spark, sf_dir), "note", email_extractor)
+    # Keys that a double can't hold, and null ones, pass beside the texts.
+    keyed = noted(spark, sf_dir).withColumn("key", F.expr(
+        "if(record_id % 5 <> 0, record_id + 9007199254740993, null)"))
+    out = en.with_custom_entities(keyed, "note", email_extractor)
     plain = F.regexp_replace("text", r"[^\x00-\x7F]", "q")
-    return out.select("record_id", unfold(F.col("entities"))).where("type is not null").select(
-        "record_id", plain.alias("found"))
+    return out.select("key", unfold(F.col("entities"))).where("type is not null").select(
+        "key", plain.alias("found"))
 
 
 # --- prompts and payloads --------------------------------------------------------------------------

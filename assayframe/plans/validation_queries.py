@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.predicates import missing, required_missing
 from ..operators import joins, records as rec_ops, routing, rules as r, summaries, validation as v
+from ..operators.analyzers import observations
 from ..operators.issues import found, issue, unfold
+from ..session import settle
 from . import derived
 from .derived import AS_OF, listed, quoted, with_ctes
 from .registry import query, table
-from .rule_queries import SCORES_SQL, day_sql, filled, over_results, _results
+from .rule_queries import OBSERVED_SQL, day_sql, filled, monthly_runs
 
 ISSUE_COLUMNS = ["record_id", "type", "field", "severity", "value", "message"]
 
@@ -289,20 +291,29 @@ def _(spark, sf_dir):
                                    ",").alias("violated"), "route")
 
 
-@query("quality_gate", over_results("""
-SELECT s.table_name, s.rules_passed, s.total_rules, CASE WHEN s.table_name =
-  'patient_records_csv' THEN 1 ELSE 0 END AS observations,
-  CASE WHEN s.rules_passed / s.total_rules::DOUBLE >= 0.75 AND s.table_name <>
-    'patient_records_csv' THEN 'pass' ELSE 'quarantine' END AS decision FROM sc s""",
-                                    sc=SCORES_SQL).replace("THEN 1 ELSE 0 END AS obs",
-                                                           "THEN 1::BIGINT ELSE 0 END AS obs"))
+#: Rules on the monthly metrics of orders: (metric, least, most).
+_MONTH_RULES = [("Dataset.*.RowCount", 1, 10 ** 9), ("Column.o_totalprice.Mean", 0, 10 ** 6),
+                ("Dataset.*.Fixed", 98, 99)]
+
+
+@query("quality_gate", f"""
+WITH {OBSERVED_SQL}, ob AS (SELECT table_name, run_id, count(*) AS n FROM seen GROUP BY ALL),
+ok AS (SELECT table_name, run_id, count(*) AS total_rules, count(*) FILTER (CASE metric
+  {' '.join(f"WHEN '{m}' THEN value BETWEEN {a} AND {b}" for m, a, b in _MONTH_RULES)} END)
+  AS rules_passed FROM h GROUP BY ALL)
+SELECT table_name, run_id, rules_passed, total_rules, coalesce(n, 0) AS observations,
+  CASE WHEN rules_passed / total_rules::DOUBLE >= 0.9 AND n IS NULL THEN 'pass'
+    ELSE 'quarantine' END AS decision FROM ok LEFT JOIN ob USING (table_name, run_id)""")
 def _(spark, sf_dir):
-    results = _results(spark, sf_dir)
-    seen = (results.where(F.col("table_name") == "patient_records_csv").groupBy("table_name",
-                                                                               "run_id")
-            .agg(F.lit("Column.age.Mean").alias("metric")))
-    return routing.gate_decision(r.score(results), seen, 0.75).select(
-        "table_name", "rules_passed", "total_rules", "observations", "decision")
+    """Each month of a status is a run: its rules, and what its history makes of it."""
+    runs = settle(monthly_runs(spark, sf_dir), "runs")
+    good = F.lit(False)
+    for metric, low, high in _MONTH_RULES:
+        good = F.when(F.col("metric") == metric, F.col("value").between(low, high)).otherwise(good)
+    results = runs.select("table_name", "run_id", F.lit(None).cast("long").alias("total"),
+                          F.when(good, "PASS").otherwise("FAIL").alias("outcome"))
+    return routing.gate_decision(r.score(results), observations(runs, width=1.5)).select(
+        "table_name", "run_id", "rules_passed", "total_rules", "observations", "decision")
 
 
 # --- joins -------------------------------------------------------------------------------------

@@ -68,8 +68,8 @@ def record_faults(as_of) -> list[Fault]:
         Fault("negative_age", {"age": F.lit(-5)}),
         Fault("empty_meds", {"medications": F.array()}),
         Fault("duplicate_mrn", {"mrn": F.lit("MRN-000001")}),
-        Fault("encoding", {"patient_name": F.lit("René Müller-Straße"),
-                           "department": F.lit("Cardiología")}),
+        Fault("encoding", {"patient_name": F.lit("Zoë Łęcka-Ørsted"),
+                           "department": F.lit("Día y Noche")}),
         Fault("impossible_bp", {f"{vital}.systolic_bp": 300 + F.col("record_id") % 201}),
         Fault("extreme_temp", {f"{vital}.temperature_f": 110.0 + F.col("record_id") % 11}),
         Fault("negative_hr", {f"{vital}.heart_rate": -1 - F.col("record_id") % 50}),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import metrics as m, routing, rules, summaries
 from .readers import RECORD_SCHEMA, read_json_array
@@ -13,6 +14,25 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """A JSON array per file, one file per task; rows are written as they come."""
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+                      .alias("value"))
+
+    def bracketed(batches):
+        begun = False
+        for batch in batches:
+            if batch.num_rows:
+                rows = batch.column(0).to_pylist()
+                rows = [f", {r}" for r in rows] if begun else \
+                    [f"[ {rows[0]}", *(f", {r}" for r in rows[1:])]
+                begun = True
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if begun else "[]"])], names=["value"])
+
+    lines.mapInArrow(bracketed, "value string").write.text(path)
+
+
 def array_to_lines(spark: SparkSession, source: str, target: str,
                    schema: str = RECORD_SCHEMA) -> None:
     """JSON array files to JSON Lines, which later reads can split."""
@@ -26,6 +46,30 @@ def write_report(results: DataFrame, path: str) -> None:
     rules.score_all(kept).write.json(f"{path}/summary")
 
 
+#: What a rule of each type measures; other types measure a count of rows.
+_MEASURED = {"Completeness": "Completeness", "Range": "Compliance", "RegexMatch": "Compliance",
+             "Format": "Compliance", "ValueSet": "Compliance", "ColumnLength": "Compliance",
+             "NestedRange": "Compliance", "Consistency": "Compliance",
+             "Uniqueness": "Uniqueness"}
+
+
+def evaluated_metrics() -> Column:
+    """A rule's measures by name: its own metric, the values checked and those that offend."""
+    column = F.coalesce(F.concat(F.lit("Column."), F.col("column")), F.lit("Dataset.*"))
+    kind = F.lit("Value")
+    for rule_type, measured in _MEASURED.items():
+        kind = F.when(F.col("type") == rule_type, measured).otherwise(kind)
+    kind = F.when(F.col("type") == "RowCount", "RowCount").otherwise(kind)
+
+    def named(name, value):
+        return F.struct(F.concat(column, F.lit("."), name).alias("key"),
+                        value.cast("double").alias("value"))
+
+    measures = F.array(named(kind, F.col("metric")), named(F.lit("Checked"), F.col("checked")),
+                       named(F.lit("Violations"), F.col("violations")))
+    return F.map_from_entries(F.filter(measures, lambda m: m["value"].isNotNull()))
+
+
 def write_results(results: DataFrame, path: str, run_ts) -> None:
     """One JSON line per rule, partitioned by table and run day; one file per table and run."""
     day = F.lit(run_ts).cast("timestamp")
@@ -36,7 +80,7 @@ def write_results(results: DataFrame, path: str, run_ts) -> None:
         F.when(F.col("outcome") != "PASS", F.concat(
             F.lit("metric "), F.coalesce(F.col("metric").cast("string"), F.lit("not available")),
             F.lit(" does not meet the rule"))).alias("failure_reason"),
-        F.create_map(F.lit("metric"), F.col("metric")).alias("evaluated_metrics"))
+        evaluated_metrics().alias("evaluated_metrics"))
      .repartition("table_name")
      .write.mode("append").partitionBy("table_name", "year", "month", "day")
      .option("ignoreNullFields", False).json(path))
@@ -52,15 +96,17 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_validation(validated: DataFrame, path: str, record_id: str = "record_id") -> DataFrame:
-    """Summary, flagged results, gate summary and clean records under ``path``.
+    """Summary, issue counts by type, flagged results, gate summary and clean records under
+    ``path``.
 
-    The validated frame is written once and read back for the four outputs, so that the
+    The validated frame is written once and read back for the five outputs, so that the
     checks run once and a lost executor costs no more than its own tasks.
     """
     spark = validated.sparkSession
     validated.write.parquet(f"{path}/all")
     kept = spark.read.schema(validated.schema).parquet(f"{path}/all")
     summaries.validation_summary(kept).write.json(f"{path}/validation_summary")
+    summaries.errors_by_type(kept).write.json(f"{path}/errors_by_type")
     summaries.gate_summary(kept).write.json(f"{path}/gate_summary")
     routing.flagged(kept, record_id).write.parquet(f"{path}/flagged")
     routing.strip_validation(kept).write.parquet(f"{path}/clean")
