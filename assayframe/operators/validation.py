@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..functions.predicates import field_type, java_pattern
 from ..functions.sql import day, name as quote, number_of, say, text
 from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
-from .issues import ISSUES, count_severity, found, found_sql, issue, pinned, status_of
+from .issues import ISSUE_TYPE, ISSUES, count_severity, found, found_sql, issue, pinned, status_of
 
 LEVELS_WITH_CODES = ("full", "strict")
 
@@ -206,6 +207,20 @@ def record_issues(df: DataFrame, level: str, as_of,
     return F.concat(*[p for p in parts if p is not None])
 
 
+def pandas_check(check, *columns: str):
+    """A check for ``validate(extra=...)`` from a function on Arrow batches: it gets the
+    columns as pandas Series and returns a Series of lists of issues (dicts with the fields of
+    ``ISSUE_TYPE``; those left out are null). Only these columns pass through pandas."""
+    names = T.StructType.fromDDL(ISSUE_TYPE[len("struct<"):-1]).names
+
+    @F.pandas_udf(ISSUES)
+    def run(*series: pd.Series) -> pd.Series:
+        return check(*series).map(lambda found: [
+            {n: i.get(n) for n in names} for i in found or []])
+
+    return lambda df: run(*[F.col(c) for c in columns])
+
+
 def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None = None,
              record_id: str = "record_id", patterns: GatePatterns = GatePatterns(),
              extra: Sequence[Callable[[DataFrame], Column]] = ()) -> DataFrame:

@@ -16,12 +16,12 @@ AS_OF = "2001-01-01 00:00:00"
 
 DOCTORS = ["Abel", "Brandt", "Chen", "Duval", "Eriksen", "o'Neil"]
 DEPARTMENTS = ["North Wing", "South Wing", "Day Unit", "Night Unit", "Outpatients", "Annex 2"]
-#: Every drug of an interaction, and others of our own, at made-up doses.
-_DRUGS = [*dict.fromkeys(d for a, b, *_ in fv.DRUG_INTERACTIONS for d in (a, b)),
-          "Placebol", "Testamine", "Nullidone"]
-DOSED = [(drug, f"{dose}{unit}", how) for i, drug in enumerate(_DRUGS) for dose, unit, how in
-         [((i + 1) * 15, "mg", ("morning", "noon", "night")[i % 3])]][:12]
-DOSED += [(DOSED[0][0], "7mcg", "night")]
+#: Drugs of the interactions, each pair two places apart, since a record holds drugs of such
+#: distances; one of them at two doses; and others of our own. All doses are made up.
+_DRUGS = ["Lisinopril", "Warfarin", "Furosemide", "Aspirin", "Metformin", "Placebol",
+          "Metformin", "Testamine", "Nullidone", "Fixturol"]
+DOSED = [(drug, f"{15 * (i + 1)}mg", ("morning", "noon", "night")[i % 3])
+         for i, drug in enumerate(_DRUGS)]
 ENDINGS = {
     0: " Assessment: hypertension stable on Lisinopril. Plan: follow-up on 2024-01-15.",
     1: " Contact 555-123-4567 or john.doe@example.com.",

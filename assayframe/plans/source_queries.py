@@ -134,7 +134,8 @@ def _told(key):
 @query("sink_results_partitioned", over_results("""
 SELECT table_name, '2024' AS year, '03' AS month, '14' AS day, rule, outcome,
   outcome = 'PASS' AS explained, CASE WHEN type = 'RowCount' THEN 'Dataset.*.RowCount'
-    WHEN type = 'Completeness' THEN 'Column.' || "column" || '.Completeness' END AS named,
+    WHEN type = 'Completeness' THEN 'Column.' || regexp_extract(rule, '"([^"]+)"', 1)
+      || '.Completeness' END AS named,
   CASE WHEN type IN ('RowCount', 'Completeness') THEN round(metric, 4) END AS measured,
   checked::DOUBLE AS checked FROM res"""))
 def _(spark, sf_dir):
@@ -144,11 +145,11 @@ def _(spark, sf_dir):
     names = F.map_keys("evaluated_metrics")
 
     def value(test):
-        return F.element_at("evaluated_metrics", F.filter(names, test)[0])
+        return F.element_at("evaluated_metrics", F.get(F.filter(names, test), 0))
 
     return back.select("table_name", "year", "month", "day", "rule", "outcome",
                        F.col("failure_reason").isNull().alias("explained"),
-                       F.filter(names, _told)[0].alias("named"),
+                       F.get(F.filter(names, _told), 0).alias("named"),
                        F.round(value(lambda k: _told(k)), 4).alias("measured"),
                        value(lambda k: k.endswith(".Checked")).alias("checked"))
 

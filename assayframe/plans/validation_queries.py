@@ -439,3 +439,19 @@ def _(spark, sf_dir):
     df = v.validate(derived.records(spark, sf_dir), "basic", AS_OF, extra=[department])
     return df.select("record_id", unfold(F.col(f"{_V}.issues"))).where(
         "type = 'DEPARTMENT_MISSING'").select("record_id", "type", "severity")
+
+
+def _long_names(names, ages):
+    return names.fillna("").combine(ages, lambda n, a: [
+        {"type": "LONG_NAME", "field": "patient_name", "severity": "WARNING", "value": n,
+         "message": "Name of over ten characters"}] if len(n) > 10 and a == a else [])
+
+
+@query("udf_rule_pandas", with_ctes("rec", """
+SELECT record_id, 'LONG_NAME' AS type, 'WARNING' AS severity, patient_name AS value FROM rec
+WHERE length(patient_name) > 10 AND age IS NOT NULL"""))
+def _(spark, sf_dir):
+    df = v.validate(derived.records(spark, sf_dir), "basic", AS_OF,
+                    extra=[v.pandas_check(_long_names, "patient_name", "age")])
+    return df.select("record_id", unfold(F.col(f"{_V}.issues"))).where(
+        "type = 'LONG_NAME'").select("record_id", "type", "severity", "value")

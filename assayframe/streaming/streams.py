@@ -7,12 +7,14 @@ over all files there are and returns.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators import rules, validation
+from ..operators import analyzers, metrics, rules, validation
 from ..operators.gates import GatePatterns
 
 
@@ -34,13 +36,9 @@ def once(query: StreamingQuery) -> StreamingQuery:
 
 def validate_stream(records: DataFrame, target: str, checkpoint: str, level: str = "full",
                     as_of=None, note: str | None = None,
-                    patterns: GatePatterns = GatePatterns(), tasks: int | None = None,
-                    **trigger) -> StreamingQuery:
-    """Validated records as they arrive. Stateless: the same Columns as the batch form.
-
-    ``tasks`` deals the rows of a batch to that many tasks, for arrivals in few files.
-    """
-    records = records.repartition(tasks) if tasks else records
+                    patterns: GatePatterns = GatePatterns(), **trigger) -> StreamingQuery:
+    """Validated records as they arrive. Stateless: the same Columns as the batch form, and
+    nothing is shuffled."""
     out = validation.validate(records, level, as_of, note, patterns=patterns)
     return (out.writeStream.format("parquet").option("path", target)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or _NOW)).start())
@@ -50,28 +48,49 @@ _NOW = {"availableNow": True}
 
 
 def gate_stream(records: DataFrame, ruleset: Sequence[rules.Rule], table_name: str, target: str,
-                checkpoint: str, least_score: float = 0.90, **trigger) -> StreamingQuery:
+                checkpoint: str, least_score: float = 0.90,
+                watched: Sequence[analyzers.Analyzer] = (), history: str | None = None,
+                width: float = 3.0, **trigger) -> StreamingQuery:
     """Scores each batch and writes it under ``decision=pass`` or ``decision=quarantine``.
 
-    The decision of a batch is one row; it is the only thing that reaches the driver. A
-    batch that is replayed overwrites its own folder.
+    A batch passes when enough of its rules do and its ``watched`` metrics are not out of
+    line with those of earlier batches, which are kept in the folder ``history``. The decision
+    of a batch is one row; it is the only thing that reaches the driver. A batch is kept while
+    it is checked and written; one that is replayed overwrites its own folders.
     """
+    if watched and history is None:
+        raise ValueError("watched metrics need a folder for their history")
+
     def route(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         results = rules.evaluate(batch, ruleset, table_name, str(batch_id))
         score = rules.score(results).first()
         good = score["rules_passed"] >= least_score * score["total_rules"]
+        if watched:
+            spark = batch.sparkSession
+            analyzers.analyze(batch, watched, table_name, f"{batch_id:012d}").write.mode(
+                "overwrite").parquet(f"{history}/batch={batch_id}")
+            runs = spark.read.parquet(history).where(F.col("batch") <= batch_id)
+            good = good and analyzers.observations(runs, width).where(
+                F.col("run_id") == f"{batch_id:012d}").isEmpty()
         (batch.withColumn("decision", F.lit("pass" if good else "quarantine"))
          .write.mode("overwrite").partitionBy("decision").parquet(f"{target}/batch={batch_id}"))
+        batch.unpersist()
 
     return (records.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or _NOW)).start())
 
 
 def period_stream(events: DataFrame, target: str, checkpoint: str, value: Column,
-                  keys: Sequence[str] = (), period: str = "300 seconds",
-                  late: str = "10 minutes", **trigger) -> StreamingQuery:
+                  late: str, keys: Sequence[str] = (), period: str = "300 seconds",
+                  **trigger) -> StreamingQuery:
     """Count and sum per period and key. Each batch appends the periods it changed, with
-    its own number; ``current_periods`` reads the last state of each."""
+    its own number; ``current`` reads the last state of each, ``compact`` merges batches.
+
+    Events that come more than ``late`` behind the newest one seen are dropped, and their
+    state is freed: choose it by how far files may be out of order, and count what is dropped
+    with ``DropCounter``.
+    """
     periods = (events.withWatermark("ts", late)
                .groupBy(F.window("ts", period).alias("w"), *keys)
                .agg(F.count("*").alias("n"), F.sum(value).alias("total")))
@@ -114,7 +133,51 @@ def first_wins(rows: DataFrame, keys: Sequence[str], ts: str, late: str) -> Data
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped so far, from the progress reports the driver holds."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress
-               for op in p["stateOperators"])
+def compact(spark: SparkSession, target: str, into: str, keys: Sequence[str]) -> None:
+    """Writes the newest row per key of all batch folders as one batch of a new folder, with
+    the number of the last of them, so that later batches still win. Run it between runs of
+    the stream, which then goes on in the new folder with its old checkpoint."""
+    last = spark.read.parquet(target).agg(F.max("batch")).first()[0]
+    current(spark, target, keys).write.parquet(f"{into}/batch={last}")
+
+
+def alarm_stream_states(spark: SparkSession, target: str, alarms: Sequence[metrics.Alarm],
+                        key: str) -> DataFrame:
+    """Alarm states over the periods a ``period_stream`` keeps by ``key``: the sums are
+    readings of the metric that the key names, and periods without any count as missing."""
+    readings = current(spark, target, ["period_start", key]).select(
+        F.col(key).alias("name"), F.col("total").alias("value"),
+        F.col("period_start").alias("ts"),
+        F.create_map().cast("map<string,string>").alias("dimensions"))
+    return metrics.alarm_states(readings, alarms)
+
+
+class DropCounter(StreamingQueryListener):
+    """Counts what watermarks dropped, for each query by its id, over every progress report;
+    add it with ``spark.streams.addListener`` before the streams start. Aggregations count
+    groups merged within tasks, so the number depends on how rows were dealt."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        query = str(event.progress.id)
+        self.dropped[query] = self.dropped.get(query, 0) + sum(
+            op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def of(self, query: StreamingQuery, wait_s: float = 30.0) -> int:
+        """What was dropped up to the end of this run of a query; reports come after it."""
+        until = time.monotonic() + wait_s
+        while str(query.runId) not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return self.dropped.get(str(query.id), 0)

@@ -132,8 +132,11 @@ def test_late_rows_are_dropped(spark, tmp_path):
             F.timestamp_seconds("s").alias("ts"), "value").coalesce(1).write.mode(
             "append").parquet(source)
         time.sleep(1.1)
+    counter = st.DropCounter()
+    spark.streams.addListener(counter)
     query = st.once(st.period_stream(
         st.read_files(spark, source, "ts timestamp, value double", files_per_batch=1), target,
-        str(tmp_path / "progress"), F.col("value")))
-    assert st.late_rows(query) == 1
+        str(tmp_path / "progress"), F.col("value"), "10 minutes"))
+    assert counter.of(query) == 1
+    spark.streams.removeListener(counter)
     assert {x["n"] for x in st.current(spark, target, ["period_start"]).collect()} == {2, 1}
