@@ -61,13 +61,15 @@ def interactions_of(names: Column, rules: Sequence[tuple] = fv.DRUG_INTERACTIONS
 def interactions_by_table(df: DataFrame, record_id: str, names: str, rules: DataFrame) -> DataFrame:
     """The same against a rule table (drug_a, drug_b, severity, description) of any size.
 
-    Each distinct name looks up the rules it opens by an equi join, and the other name
-    is tested in the row's own array, so pairs within a record are never built.
+    Each distinct name looks up the rules it opens by an equi join, and the other name is
+    looked up among the record's own by another, so pairs within a record are never built and
+    no name carries the others along. Rows of one record id are one record.
     """
-    opened = (df.select(record_id, F.array_distinct(names).alias("_names"))
-              .withColumn("drug_a", F.explode_outer("_names")))
-    return (opened.join(rules, "drug_a")
-            .where(F.array_contains("_names", F.col("drug_b")))
+    held = df.select(F.col(record_id).alias("_record"), F.explode(names).alias("_name")).distinct()
+    opened = held.select(F.col("_record").alias(record_id), F.col("_name").alias("drug_a")) \
+        .join(rules, "drug_a")
+    return (opened.join(held, (F.col(record_id) == F.col("_record"))
+                        & (F.col("drug_b") == F.col("_name")), "left_semi")
             .select(record_id, F.least("drug_a", "drug_b").alias("drug_1"),
                     F.greatest("drug_a", "drug_b").alias("drug_2"), "severity", "description"))
 

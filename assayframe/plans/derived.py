@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import fixed_values as fv
-from .registry import table
+from .registry import dealt_table
 
 AS_OF = "2001-01-01 00:00:00"
 
@@ -51,7 +51,7 @@ def _pick(values, index: str) -> str:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_of(table(spark, sf_dir, "orders"))
+    return records_of(dealt_table(spark, sf_dir, "orders"))
 
 
 def records_of(orders: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def records_of(orders: DataFrame) -> DataFrame:
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     endings = " ".join(f"WHEN {rest} THEN concat(text, {spark_quoted(ending)})"
                        for rest, ending in ENDINGS.items())
-    return table(spark, sf_dir, "documents").selectExpr("doc_id AS i", "text").selectExpr(
+    return dealt_table(spark, sf_dir, "documents").selectExpr("doc_id AS i", "text").selectExpr(
         "if(i % 7 = 1, i - 1, i) AS record_id", "i AS seq",
         "if(i % 41 = 0, 'MRN-X', concat('MRN-', lpad(cast(i AS string), 6, '0'))) AS mrn",
         f"if(i % 53 = 0, 'Letter', {_pick(fv.NOTE_TYPES, 'i % 3')}) AS note_type",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..operators import metrics as m, rules as r
 from ..session import settle
+from . import derived
 from .registry import query, table
 from .rule_queries import SCORES_SQL, _results, over_results
 from .text_queries import SCORE_SQL, full_frame, full_sql
@@ -79,8 +80,12 @@ def _(spark, sf_dir):
 
 
 def _both(spark, sf_dir, names=None):
-    dq = m.dq_metrics(r.score(_results(spark, sf_dir)), _now(), names=names)
-    return dq.unionByName(m.validation_metrics(m.tally(full_frame(spark, sf_dir)), _now()))
+    # Records and notes are derived once; the rule sets and the checks read what was written.
+    frames = (settle(derived.records(spark, sf_dir), "records"),
+              settle(derived.notes(spark, sf_dir), "notes"))
+    dq = m.dq_metrics(r.score(_results(spark, sf_dir, frames=frames)), _now(), names=names)
+    checked = full_frame(spark, sf_dir, frames)
+    return dq.unionByName(m.validation_metrics(m.tally(checked), _now()))
 
 
 @query("metrics_pipeline", over_results(DQ_METRICS, sc=SCORES_SQL) + " UNION ALL SELECT * FROM ("

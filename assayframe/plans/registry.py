@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Setting that says to how many tasks the rows of a scan are dealt before costly checks. The
+#: caller's choice for small files, which Spark reads in one task; unset, scans stay as they are.
+DEAL = "spark.assayframe.deal"
+
+
+def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to check."""
+    tasks = spark.conf.get(DEAL, None)
+    df = table(spark, sf_dir, name)
+    return df.repartition(int(tasks)) if tasks else df
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Whole numbers as bigint, so that both engines report one type."""
     small = (T.ByteType, T.ShortType, T.IntegerType)

@@ -291,18 +291,18 @@ def notes_sql():
             + [rows_sql(q[12], "nts", ">= 100", 13), rows_sql(q[13], "nts", "= 200", 14)])
 
 
-def _sets(spark, sf_dir):
-    rec = derived.records(spark, sf_dir)
+def _sets(spark, sf_dir, frames=None):
+    rec, nts = frames or (derived.records(spark, sf_dir), derived.notes(spark, sf_dir))
     return {
         "patient_records_csv": (rec_ops.flatten(rec), rulesets.flat_records()),
         "patient_records_json": (rec, rulesets.nested_records()),
-        "clinical_notes_json": (derived.notes(spark, sf_dir), rulesets.notes()),
+        "clinical_notes_json": (nts, rulesets.notes()),
     }
 
 
-def _results(spark, sf_dir, *names):
+def _results(spark, sf_dir, *names, frames=None):
     out = None
-    for name, (df, ruleset) in _sets(spark, sf_dir).items():
+    for name, (df, ruleset) in _sets(spark, sf_dir, frames).items():
         if not names or name in names:
             one_set = r.evaluate(df, ruleset, name, "run-1")
             out = one_set if out is None else out.unionByName(one_set)

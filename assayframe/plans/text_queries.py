@@ -11,7 +11,7 @@ from ..operators.issues import unfold
 from ..operators.joins import join_notes, join_notes_typed
 from . import derived
 from .derived import AS_OF, quoted, with_ctes
-from .registry import query, table
+from .registry import dealt_table, query, table
 from .validation_queries import FULL, status_sql
 
 # --- signals of a note in SQL ----------------------------------------------------------------
@@ -144,7 +144,7 @@ SELECT record_id, {SCORE_SQL} AS score, len(profanity) > 0 AS blocked,
   (words > 0 AND len(bias) > 0) AS biased FROM sig""",
     src="SELECT doc_id AS record_id, text AS note FROM documents", sig=_GENERIC_SQL))
 def _(spark, sf_dir):
-    out = gates.with_gates(table(spark, sf_dir, "documents"), "text", "doc_id", GENERIC)
+    out = gates.with_gates(dealt_table(spark, sf_dir, "documents"), "text", "doc_id", GENERIC)
 
     def has(kind):
         return F.exists("gate_issues", lambda i: i["type"] == kind)
@@ -203,8 +203,10 @@ def full_sql(body):
     return over_records(body, iss=ALL_ISSUES, st=STATUS)
 
 
-def full_frame(spark, sf_dir):
-    joined = join_notes(derived.records(spark, sf_dir), derived.notes(spark, sf_dir), "seq")
+def full_frame(spark, sf_dir, frames=None):
+    """``frames``: records and notes that are there already."""
+    records, notes = frames or (derived.records(spark, sf_dir), derived.notes(spark, sf_dir))
+    joined = join_notes(records, notes, "seq")
     return v.validate(joined, "full", AS_OF, "note")
 
 
