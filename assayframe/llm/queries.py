@@ -46,7 +46,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gridjoin.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), p AS (SELECT doc_id, unnest(generate_series(0, length(x) // 2 - 200)) AS i FROM d
+), h AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM p JOIN d USING (doc_id)
+), r AS (SELECT doc_id, i FROM h QUALIFY count(*) OVER (PARTITION BY h) > 1
+), s AS (SELECT doc_id, i, coalesce(i > lag(i) OVER w + 200, true) AS opens FROM r
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), n AS (SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s
+), e AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM n GROUP BY ALL
+), c AS (SELECT doc_id, x, run, b, substr(x, 2 * lag(b, 1, 0) OVER w + 1,
+    2 * (a - lag(b, 1, 0) OVER w)) AS piece, b - a AS size FROM e JOIN d USING (doc_id)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY run)
+), k AS (SELECT doc_id, count(*) AS n_spans, sum(size) AS n_removed,
+    string_agg(piece, '' ORDER BY run) || substr(any_value(x), 2 * max(b) + 1) AS kept
+  FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT)
+  AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -61,7 +79,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op5_de_bruijn")
+@query("op5_de_bruijn", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d
+), h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM p
+), r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS later FROM h
+), g AS (SELECT DISTINCT doc_id, i + k AS j FROM r, range(20) t(k) WHERE later
+), u AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM d
+), k AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY j) AS kept
+  FROM u ANTI JOIN g USING (doc_id, j) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_earlier(table(spark, sf_dir, "documents")).drop("kept")
 
