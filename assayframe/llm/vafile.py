@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from assayframe.operators.ranking import number_rows
 from assayframe.session import settle
 
 from .text import map_arrow
@@ -83,20 +84,20 @@ def _blocks(vectors: DataFrame, key: str, vector: str, scale: int, size: int,
 
     def run(batch: pa.RecordBatch):
         good, v = matrix_of(batch.column(1))
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        good, v = good[~np.isnan(keys[good].astype(float))], v[~np.isnan(keys[good].astype(float))]
+        keys = batch.column(0).to_numpy()
         for i in range(0, len(good), size):
             whole = np.floor(scale * v[i:i + size])
             if np.abs(whole).max(initial=0) >= 2.0 ** 53:
                 raise ValueError("a component is too large for a whole number")
             exact = whole.astype(np.int64)
             code, low, high = quantise(whole, cells)
-            ids = keys[good[i:i + size]].astype(np.int64)
+            ids = keys[good[i:i + size]]
             yield [[len(exact)], [exact.shape[1]], [ids.tobytes()], [exact.tobytes()],
                    [code.tobytes()], [low.tobytes()], [high.tobytes()]]
 
     rows = map_arrow(vectors.select(vectors[key].cast("long").alias("key"),
-                                    vectors[vector].alias("vector")), run, schema)
+                                    vectors[vector].alias("vector"))
+                     .where("key IS NOT NULL"), run, schema)
     return rows.withColumn("block", F.monotonically_increasing_id())
 
 
@@ -112,14 +113,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     to be unique. Rows too large for 53 bits raise.
     """
     data = settle(_blocks(vectors, key, vector, scale, block, cells), "va-blocks")
-    asked = settle(_blocks(queries, key, vector, scale, query_block, cells)
-                   .select(F.col("block").alias("q"), F.col("n").alias("qn"),
-                           F.col("width").alias("qw"), F.col("ids").alias("qids"),
-                           F.col("exact").alias("qexact")), "va-queries")
-    # The grid is made of block numbers alone; payloads are joined to it by number.
-    grid = data.select("block").crossJoin(asked.select("q")) \
-        .repartition(F.col("block"), F.col("q"))
-    pairs = grid.join(data, "block").join(asked, "q").repartition(F.col("block"), F.col("q"))
+    asked = number_rows(_blocks(queries, key, vector, scale, query_block, cells)
+                        .select("block", F.col("n").alias("qn"), F.col("width").alias("qw"),
+                                F.col("ids").alias("qids"), F.col("exact").alias("qexact")),
+                        [], ["block"], "q").drop("block")
+    # Every block meets every query block: the grid holds numbers, payloads are joined to it.
+    grid = data.select("block", F.explode(F.sequence(F.lit(1), F.lit(max(1, asked.count()))))
+                       .alias("q")).repartition("block", "q")
+    pairs = grid.join(data, "block").join(asked, "q").repartition("block", "q")
 
     def run(batch: pa.RecordBatch):
         for row in batch.to_pylist():
