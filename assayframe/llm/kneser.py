@@ -32,7 +32,7 @@ from .fitting import remainder
 from .text import Words, map_arrow, mix, slices
 
 #: Bytes of training text per range of pairs; tokens counted at once; bytes scored at once.
-RANGE_BYTES, BATCH_TOKENS, SCORE_BYTES = 32 << 20, 3_000_000, 6_000_000
+RANGE_BYTES, BATCH_TOKENS, SCORE_BYTES = 16 << 20, 2_000_000, 4_000_000
 _BEGIN, _END = np.uint64(1), np.uint64(2)
 _WORD = np.dtype([("count", "i8"), ("followed", "i8"), ("cont", "u4"), ("one", "u4"),
                   ("two", "u4"), ("more", "u4")])
