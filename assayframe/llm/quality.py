@@ -18,7 +18,7 @@ from .fitting import NAMES, labelled_sample, remainder
 from .text import Words, gram_hashes, map_arrow, mix, slices
 
 #: Buckets of hashed indicators; labelled rows of each class that the model is fitted on.
-BUCKETS, PER_CLASS = 1 << 18, 6000
+BUCKETS, PER_CLASS = 1 << 18, 2500
 _LEVELS = 6
 _UPPER, _LETTER, _DIGIT = (np.zeros(257, np.int64) for _ in range(3))
 _UPPER[65:91] = 1
@@ -152,7 +152,9 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float, float]:
     entries = [np.frombuffer(found["entries"][i], np.int32) for i in order]
     label = label[order]
     size = np.array([len(e) for e in entries])
-    index, rows = np.concatenate(entries), np.repeat(np.arange(len(size)), size)
+    index = np.concatenate(entries)
+    rows = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    del found, entries
 
     def model(chosen: np.ndarray) -> np.ndarray:
         keep = chosen[rows]
