@@ -190,8 +190,8 @@ def test_best_fit(pieces):
 
 
 def test_pack(frame, corpus):
-    rows = [(*r, f"s{i % 3}") for i, r in enumerate(corpus)] + [(None, "a b", None), (1, "A b", "s0"),
-                                                                (1, "a B", "s0")]
+    rows = [(*r, f"s{i % 3}") for i, r in enumerate(corpus)] + [(None, "a b", None), (101, "A b", "s0"),
+                                                                (101, "a B", "s0")]
     got = packing.pack(frame(rows), capacity=50, shard=10).collect()
     total = {}
     for r in got:
