@@ -18,7 +18,7 @@ from .fitting import NAMES, labelled_sample, remainder
 from .text import Words, gram_hashes, map_arrow, mix, slices
 
 #: Buckets of hashed indicators; labelled rows of each class that the model is fitted on.
-BUCKETS, PER_CLASS = 1 << 18, 2500
+BUCKETS, PER_CLASS = 1 << 18, 6000
 _LEVELS = 6
 _UPPER, _LETTER, _DIGIT = (np.zeros(257, np.int64) for _ in range(3))
 _UPPER[65:91] = 1
@@ -157,12 +157,13 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float, float]:
     del found, entries
 
     def model(chosen: np.ndarray) -> np.ndarray:
-        keep = chosen[rows]
-        r = ratios(index[keep], rows[keep], label)
+        keep = slice(None) if chosen.all() else chosen[rows]
+        part = index[keep]
+        r = ratios(part, rows[keep], label.astype(np.int8))
         at = np.concatenate(([0], np.cumsum(size[chosen])))
-        value = r[index[keep]]
-        value /= np.sqrt(np.repeat(np.add.reduceat(value ** 2, at[:-1]), size[chosen]))
-        return r * fit_hinge(at, index[keep], value, np.where(label[chosen] == 1, 1.0, -1.0)), r
+        value = r[part]
+        value /= np.repeat(np.sqrt(np.add.reduceat(value ** 2, at[:-1])), size[chosen])
+        return r * fit_hinge(at, part, value, np.where(label[chosen] == 1, 1.0, -1.0)), r
 
     apart = np.arange(len(label)) % 5 == 0
     weight, r = model(~apart)

@@ -145,3 +145,16 @@ def test_logits_equal_pooled():
     values, _ = net.pooled(slots, first)
     want = values @ net.weight + net.bias[0]
     assert np.allclose(net.logits(slots, first), want, atol=1e-4)
+
+
+def test_quality_counts_all_labelled(spark, frame, monkeypatch):
+    """A class of some 2,700 free labelled rows is fitted on whole."""
+    rows = [(i, f"w{i % 97} w{i % 13}") for i in range(8000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8000)], "doc_id long, quality int")
+    free = [i for i in range(8000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    seen = []
+    real = quality.train
+    monkeypatch.setattr(quality, "train", lambda s: seen.append(s.select("key").collect()) or real(s))
+    quality.classify(frame(rows), labels)
+    assert sorted(r["key"] for r in seen[0]) == free
+    assert min(sum(i % 2 == c for i in free) for c in (0, 1)) > 2500
