@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bpe, debruijn, gridjoin, kneser, packing, quality, simhash, suffixdedup, toxicity, vafile,
+    alignment, bpe, debruijn, gridjoin, kneser, outliers, packing, quality, simhash, suffixdedup,
+    toxicity, vafile, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +138,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
         .select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    # Vocabularies have a fixed size; they travel with the tasks.
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f, \
+            open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as g:
+        first, second = f.read(), g.read()
+    pattern = public_tokenizers.PATTERN
+    return alignment.align(table(spark, sf_dir, "documents"),
+                           lambda: alignment.byte_level(first, pattern),
+                           lambda: alignment.piece_level(second))
+
+
+@query("op13_outliers")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.check(table(spark, sf_dir, "documents")).drop("level")

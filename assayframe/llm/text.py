@@ -7,7 +7,6 @@ Python object is made per word. Words are ``[^\\x20\\x09-\\x0D]+`` and never cro
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,20 +69,6 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
         first = last
 
 
-@lru_cache(maxsize=1)
-def _powers_of(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def table(base: int) -> np.ndarray:
-        out = np.full(size, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-
-    return table(_PRIME), table(pow(_PRIME, -1, 1 << 64))
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers_of(max(SLICE_BYTES + (1 << 18), 1 << max(0, size - 1).bit_length()))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (the finaliser of SplitMix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -123,13 +108,75 @@ class Words:
 
     def several_hashes(self, lower: bool, sizes: tuple[int | None, ...]) -> list[np.ndarray]:
         """``hashes`` for several numbers of first bytes."""
-        up, down = _powers(len(self.data) + 1)
-        value = (_LOWER[self.data] if lower else self.data).astype(np.uint64) + np.uint64(1)
-        value *= up[:len(value)]
-        total = np.zeros(len(value) + 1, np.uint64)
-        np.cumsum(value, out=total[1:])
+        data = _LOWER[self.data] if lower else self.data
         ends = [self.end if m is None else np.minimum(self.end, self.start + m) for m in sizes]
-        return [mix((total[e] - total[self.start]) * down[self.start]) for e in ends]
+        return [byte_hashes(data, self.start, e) for e in ends]
+
+
+def byte_lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one number; zeros follow the last byte."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def _lane(value: np.ndarray, k: np.ndarray | int) -> np.ndarray:
+    return mix(value + np.uint64(_PRIME) * np.asarray(k + 1, np.uint64))
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit value of each range of bytes, by its content alone.
+
+    Ranges are cut into lanes of eight bytes; each is mixed with its place before lanes are
+    added, so no pattern of symbols cancels out, as in polynomials modulo 2^64."""
+    size = end - start
+    if len(size) == 0:
+        return np.zeros(0, np.uint64)
+    lanes = byte_lanes(data)
+
+    def read(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        keep = np.uint64(8) * (np.uint64(8) - np.minimum(left, 8).astype(np.uint64))
+        return np.where(left > 0, lanes[at] << np.minimum(keep, np.uint64(63)) , np.uint64(0))
+
+    total = _lane(read(start, size), 0)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        many = (size[long] - 1) // 8
+        step = ranges(np.ones(len(long), np.int64), many)
+        owner = np.repeat(long, many)
+        value = _lane(read(start[owner] + 8 * step, size[owner] - 8 * step), step)
+        total[long] += np.add.reduceat(value, np.cumsum(many) - many)
+    return mix(total + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def unit_hashes(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The same for ranges of 64-bit units."""
+    size = end - start
+    total = np.zeros(len(size), np.uint64)
+    full = np.flatnonzero(size > 0)
+    if len(full):
+        step = ranges(np.zeros(len(full), np.int64), size[full])
+        value = _lane(units[np.repeat(start[full], size[full]) + step], step)
+        total[full] = np.add.reduceat(value, np.cumsum(size[full]) - size[full])
+    return mix(total + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each ``n`` consecutive bytes; two overlapping halves of a power of two bytes
+    tell a gram."""
+    m = len(data) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.uint64)
+    if n < 8:
+        return mix((byte_lanes(data)[:m] << np.uint64(64 - 8 * n)) + np.uint64(n))
+    have, power = 8, mix(byte_lanes(data)[:len(data) - 7])
+    while 2 * have <= n:
+        k = len(power) - have
+        power = mix(power[:k] * np.uint64(_PRIME + 2 * have) + power[have:])
+        have *= 2
+    if have < n:
+        power = mix(power[:m] * np.uint64(_PRIME + 4 * n) + power[n - have:n - have + m])
+    return power
 
 
 def gram_hashes(values: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
