@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions import fixed_values as fv
 from ..functions.sql import name, number_of
+from . import splitting
 
 #: Typed columns of the flat record table; every other column stays text.
 FLAT_TYPES = {
@@ -33,30 +34,43 @@ def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str] = FLAT_
                    columns: str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header; a blank or bad value of a typed column is null.
 
-    Quotes are doubled inside quoted values, which may hold separators and line breaks. A
-    file is then read by one task: ``multi_line=False`` lets Spark split files whose values
-    hold no line break. ``columns`` (a DDL list of text columns) spares the pass that reads
-    the header.
+    Quotes are doubled inside quoted values, which may hold separators and line breaks. Large
+    files are read by many tasks all the same (``splitting``), in two passes;
+    ``multi_line=False`` reads files whose values hold no line break in one. ``columns`` (a DDL
+    list of text columns) spares reading a header.
     """
-    reader = (spark.read.option("header", True).option("nullValue", "")
-              .option("escape", '"').option("multiLine", multi_line))
-    text = (reader.schema(columns) if columns else reader).csv(path)
+    reader = spark.read.option("header", True).option("nullValue", "").option("escape", '"')
+    if not multi_line:
+        text = (reader.schema(columns) if columns else reader).csv(path)
+    else:
+        schema = T.StructType.fromDDL(columns) if columns else \
+            reader.option("multiLine", True).csv(path).schema
+        # Fields may be absent: a short record leaves the last ones null.
+        held = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+        text = splitting.csv_records(spark, path).where("NOT first").select(
+            F.from_csv("record", held.toDDL(), {"nullValue": "", "escape": '"'}).alias("row")) \
+            .select("row.*")
 
     def typed(c: str) -> Column:
         if c not in types:
-            return F.coalesce(F.col(c), F.lit("")).alias(c)
+            return F.coalesce(F.col(name(c)), F.lit("")).alias(c)
         if types[c] in ("bigint", "int", "double", "float"):
             whole = types[c] in ("bigint", "int")
             return F.expr(number_of(name(c), whole)).try_cast(types[c]).alias(c)
-        return F.col(c).try_cast(types[c]).alias(c)
+        return F.col(name(c)).try_cast(types[c]).alias(c)
 
     return text.select(*[typed(c) for c in text.columns])
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA) -> DataFrame:
-    """Rows of JSON array files. A file of this form cannot be split between tasks:
-    turn large ones into JSON Lines once with ``writers.array_to_lines``."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_array(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA,
+                    split: bool = True) -> DataFrame:
+    """Rows of files that hold a JSON array of objects each. Large files are read by many tasks
+    (``splitting``), in two passes; ``split=False`` reads a file in one task and takes a file
+    that holds a single object, too."""
+    if not split:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    return splitting.json_records(spark, path).select(
+        F.from_json("record", schema).alias("row")).select("row.*")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA) -> DataFrame:
