@@ -2,14 +2,15 @@
 
 A stage is (name, function); a function takes (spark, docs, sf_dir) and returns a frame. All
 but the last return the columns of ``docs``. Nulls, empty texts and empty tables pass as the
-operators say; documents that only lose text stay, however little is left.
+operators say; documents that only lose text stay, however little is left. Repeated rows are
+judged alike by the classifiers, and the near-duplicate stage keeps one of them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayframe.llm import nearcopies, packing, quality, suffixdedup, toxicity
+from assayframe.llm import packing, quality, simhash, suffixdedup, toxicity
 from assayframe.session import fresh_path
 
 
@@ -34,9 +35,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word shingles, similarity of 0.8 or more),
-    the one with the least doc_id."""
-    return nearcopies.keep_one(docs)
+    """One document of each group whose SimHash fingerprints (3-word shingles) are linked by
+    three differing bits or fewer, the one with the least doc_id."""
+    return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
