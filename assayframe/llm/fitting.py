@@ -19,14 +19,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, mo
     """(key, text, label) of up to ``per_class`` rows of each class, the first by a hash of the
     key, of keys that aren't held out. The sample's keys are bounded by ``per_class``, so they
     are broadcast and the texts are read in one narrow pass. Null keys and labels are left
-    out; of a key with several labels the lowest counts."""
+    out; of a key with several labels the lowest counts, of a key with several texts the one
+    with the least hash, merged before the shuffle."""
     free = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)) \
         .where(remainder(key, modulus) != held) \
         .groupBy(F.col(key).alias("_key")).agg(F.min(label).cast("int").alias("_label"))
     order = [F.xxhash64(F.col("_key").cast("string")), F.col("_key")]
     chosen = free.where("_label = 0").orderBy(*order).limit(per_class).union(
         free.where("_label = 1").orderBy(*order).limit(per_class))
-    return docs.select(docs[key].alias("_doc"), docs[text].alias("_text")) \
-        .join(F.broadcast(chosen), F.expr("_doc = _key")) \
-        .select(F.col("_key").cast("long").alias("key"), F.col("_text").alias("text"),
-                F.col("_label").alias("label"))
+    found = docs.select(docs[key].alias("_doc"), F.coalesce(docs[text], F.lit("")).alias("_text")) \
+        .join(F.broadcast(chosen), F.expr("_doc = _key"))
+    return found.groupBy(F.col("_key").cast("long").alias("key"), F.col("_label").alias("label")) \
+        .agg(F.min_by("_text", F.xxhash64("_text")).alias("text")).select("key", "text", "label")

@@ -6,6 +6,9 @@ of the text they make up, in powers of four, so that long texts don't all look a
 indicator is scaled by the log ratio of its class counts (Wang and Manning, 2012); a linear
 hinge-loss model is fitted to them by dual coordinate descent (Hsieh et al., 2008), and its
 margin is turned into a probability by a logistic curve fitted on rows set apart.
+
+Features are made by tasks, in one pass over the sample and one over all texts. The driver holds
+the sample's indicators as 32-bit numbers, ``ENTRIES`` at most, and values of one row at a time.
 """
 
 from __future__ import annotations
@@ -14,11 +17,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from assayframe.session import settle
+
 from .fitting import NAMES, labelled_sample, remainder
 from .text import Words, gram_hashes, map_arrow, mix, slices
 
-#: Buckets of hashed indicators; labelled rows of each class that the model is fitted on.
-BUCKETS, PER_CLASS = 1 << 18, 6000
+#: Buckets of hashed indicators; labelled rows of each class that the model is fitted on, and
+#: indicators of a class's rows together (4 bytes each on the driver).
+BUCKETS, PER_CLASS, ENTRIES = 1 << 18, 6000, 16_000_000
+#: Bound of a row's weight in the dual, passes over the rows at most.
+COST, ROUNDS = 1.0, 30
 _LEVELS = 6
 _UPPER, _LETTER, _DIGIT = (np.zeros(257, np.int64) for _ in range(3))
 _UPPER[65:91] = 1
@@ -85,33 +93,58 @@ def features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key // BUCKETS, key % BUCKETS
 
 
-def ratios(index: np.ndarray, rows: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """log of (count in class 1 + 1, normalised) over (count in class 0 + 1, normalised)."""
-    p, q = (1 + np.bincount(index[label[rows] == c], minlength=BUCKETS) for c in (1, 0))
-    return np.log(p / p.sum()) - np.log(q / q.sum())
+class Sample:
+    """Labelled rows: row ``i`` has the indicators index[at[i]:at[i + 1]] and label[i]."""
+
+    def __init__(self, at: np.ndarray, index: np.ndarray, label: np.ndarray):
+        self.at, self.index, self.label = at, index, label
+
+    def row(self, i: int) -> np.ndarray:
+        return self.index[self.at[i]:self.at[i + 1]]
+
+    def ratios(self, rows: np.ndarray) -> np.ndarray:
+        """log of (count in class 1 + 1, normalised) over (count in class 0 + 1, normalised),
+        over some rows, block by block."""
+        count = np.ones((2, BUCKETS), np.int64)
+        for c in (0, 1):
+            mine = rows[self.label[rows] == c]
+            for k in range(0, len(mine), 200):
+                count[c] += np.bincount(np.concatenate([self.row(i) for i in mine[k:k + 200]]),
+                                        minlength=BUCKETS)
+        return np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
+
+    def norms(self, ratio: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        square = ratio ** 2
+        return np.sqrt(np.maximum([square[self.row(i)].sum() for i in rows], 1e-12))
 
 
-def fit_hinge(at: np.ndarray, index: np.ndarray, value: np.ndarray, y: np.ndarray,
-              cost: float = 0.1, rounds: int = 12, seed: int = 7) -> np.ndarray:
-    """Weights of a linear model with squared hinge loss, by dual coordinate descent over rows
-    in random order; ``y`` is -1 or 1, row ``i`` has the entries at[i]:at[i + 1]."""
-    weight, alpha = np.zeros(BUCKETS), np.zeros(len(y))
-    diagonal = 0.5 / cost
-    square = np.add.reduceat(value ** 2, at[:-1]) + diagonal if len(value) else alpha
+def fit_hinge(sample: Sample, rows: np.ndarray, ratio: np.ndarray, cost: float = COST,
+              rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, dual weights) that minimise half the squared length of the weights plus
+    ``cost`` times the hinge losses of ``rows``, by dual coordinate descent in random order.
+
+    A row's values are its ratios over their length, made when its turn comes."""
+    weight, alpha = np.zeros(BUCKETS), np.zeros(len(rows))
+    norm = sample.norms(ratio, rows)
+    sign = np.where(sample.label[rows] == 1, 1.0, -1.0)
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
-        for i in rng.permutation(len(y)):
-            here = slice(at[i], at[i + 1])
-            gradient = y[i] * (value[here] @ weight[index[here]]) - 1 + diagonal * alpha[i]
-            new = max(alpha[i] - gradient / square[i], 0.0)
-            if new != alpha[i]:
-                weight[index[here]] += (new - alpha[i]) * y[i] * value[here]
-                moved = max(moved, abs(new - alpha[i]))
-                alpha[i] = new
-        if moved < 1e-3:
+        for k in rng.permutation(len(rows)):
+            here = sample.row(rows[k])
+            value = ratio[here] / norm[k]
+            size = value @ value
+            if size == 0:
+                continue
+            gradient = sign[k] * (value @ weight[here]) - 1
+            new = min(max(alpha[k] - gradient / size, 0.0), cost)
+            if new != alpha[k]:
+                weight[here] += (new - alpha[k]) * sign[k] * value
+                moved = max(moved, abs(new - alpha[k]))
+                alpha[k] = new
+        if moved < 1e-3 * cost:
             break
-    return weight
+    return weight, alpha
 
 
 def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -131,51 +164,57 @@ def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def train(sample: DataFrame) -> tuple[np.ndarray, float, float]:
-    """(weights with the ratios multiplied in, slope, shift) from (key, text, label)."""
+def read_sample(sample: DataFrame, entries: int = ENTRIES) -> Sample:
+    """The indicators of (key, text, label), rows in order of a hash of their key: of each class
+    the first rows that hold up to ``entries`` indicators together."""
 
     def run(batch: pa.RecordBatch):
         for row, data, at in slices(batch.column(1)):
             doc, bucket = features(data, at)
             first = np.searchsorted(doc, np.arange(len(at)))
             part = slice(row, row + len(at) - 1)
-            yield [batch.column(0)[part], batch.column(2)[part],
+            yield [batch.column(0)[part], batch.column(2)[part], np.diff(first),
                    [bucket[i:j].astype(np.int32).tobytes()
                     for i, j in zip(first[:-1], first[1:], strict=True)]]
 
-    found = map_arrow(sample, run, "key long, label int, entries binary").toPandas()
-    found = found.sort_values("key", kind="stable").reset_index(drop=True)
-    label = found["label"].to_numpy(np.int64)
-    if len(set(label)) < 2:
-        return np.zeros(BUCKETS, np.float32), 1.0, 30.0 if label.sum() else 0.0
-    order = np.random.default_rng(5).permutation(len(label))
-    entries = [np.frombuffer(found["entries"][i], np.int32) for i in order]
-    label = label[order]
-    size = np.array([len(e) for e in entries])
-    index = np.concatenate(entries)
-    rows = np.repeat(np.arange(len(size), dtype=np.int32), size)
-    del found, entries
-
-    def model(chosen: np.ndarray) -> np.ndarray:
-        keep = slice(None) if chosen.all() else chosen[rows]
-        part = index[keep]
-        r = ratios(part, rows[keep], label.astype(np.int8))
-        at = np.concatenate(([0], np.cumsum(size[chosen])))
-        value = r[part]
-        value /= np.repeat(np.sqrt(np.add.reduceat(value ** 2, at[:-1])), size[chosen])
-        return r * fit_hinge(at, part, value, np.where(label[chosen] == 1, 1.0, -1.0)), r
-
-    apart = np.arange(len(label)) % 5 == 0
-    weight, r = model(~apart)
-    score = margins(weight, r, rows[apart[rows]], index[apart[rows]], len(label))[apart]
-    slope, shift = logistic(score, label[apart])
-    weight, r = model(np.ones(len(label), bool))
-    return np.stack([weight, r ** 2]).astype(np.float32), slope, shift
-
-
-def margins(weight, r, rows, index, n: int) -> np.ndarray:
-    total = np.bincount(rows, weight[index], n)
-    return total / np.sqrt(np.maximum(np.bincount(rows, r[index] ** 2, n), 1e-12))
+    found = settle(map_arrow(sample, run, "key long, label int, size long, entries binary"),
+                   "entries")
+    rank = F.xxhash64(F.col("key").cast("string"))
+    table = found.select("key", "label", "size", rank.alias("rank")).toArrow() \
+        .sort_by([("rank", "ascending"), ("key", "ascending")])
+    key, label, size = (table[c].to_numpy() for c in ("key", "label", "size"))
+    kept = np.zeros(len(key), bool)
+    for c in (0, 1):
+        mine = np.flatnonzero(label == c)
+        kept[mine[np.cumsum(size[mine]) <= entries]] = True
+    key, label, size = key[kept], label[kept].astype(np.int8), size[kept]
+    at = np.concatenate(([0], np.cumsum(size)))
+    index = np.empty(at[-1], np.int32)
+    place = {k: i for i, k in enumerate(key.tolist())}
+    # One partition at a time, straight into place.
+    for r in found.select("key", "entries").toLocalIterator():
+        i = place.get(r["key"])
+        if i is not None:
+            index[at[i]:at[i + 1]] = np.frombuffer(r["entries"], np.int32)
+    return Sample(at, index, label)
+
+
+def train(sample: DataFrame) -> tuple[np.ndarray, float, float]:
+    """(weights with the ratios multiplied in and squared ratios, slope, shift) from
+    (key, text, label)."""
+    held = read_sample(sample)
+    if len(set(held.label.tolist())) < 2:
+        return np.zeros((2, BUCKETS), np.float32), 1.0, 30.0 if held.label.any() else 0.0
+    rows = np.random.default_rng(5).permutation(len(held.label))
+    apart, rest = rows[::5], rows[np.arange(len(rows)) % 5 > 0]
+    ratio = held.ratios(rest)
+    weight = fit_hinge(held, rest, ratio)[0] * ratio
+    norm = held.norms(ratio, apart)
+    margin = np.array([weight[held.row(i)].sum() for i in apart]) / norm
+    slope, shift = logistic(margin, held.label[apart].astype(np.int64))
+    ratio = held.ratios(rows)
+    weight = fit_hinge(held, rows, ratio)[0] * ratio
+    return np.stack([weight, ratio ** 2]).astype(np.float32), slope, shift
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id",
@@ -183,15 +222,14 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", key: st
              threshold: float = 0.5, names: tuple[str, str, str] = NAMES) -> DataFrame:
     """Every row of ``docs`` with all its columns, held_out, score and predicted (``names``).
 
-    Fitted on up to ``per_class`` labelled rows of each class whose crc32(key) modulo
-    ``modulus`` isn't ``held``; scores read nothing but the text. Null and empty texts are
+    Fitted on up to ``per_class`` labelled rows of each class (and ``ENTRIES`` indicators of
+    theirs) whose crc32(key) modulo ``modulus`` isn't ``held``, the first by a hash of the key;
+    scores read nothing but the text. Repeated rows score alike. Null and empty texts are
     scored from their length alone. Without labels of both classes every score is the same
     (0.5 without any). Columns of these names in ``docs`` are replaced.
     """
     sample = labelled_sample(docs, labels, label, key, modulus, held, per_class, text)
     weight, slope, shift = train(sample)
-    if weight.ndim == 1:
-        weight = np.stack([weight, weight])
     columns = [c for c in docs.columns if c not in names]
     base = docs.select(*[docs[c] for c in columns])
     place = columns.index(text)

@@ -194,7 +194,9 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     first = near_duplicates(named, "text", "own", shingle, bits).groupBy("root") \
         .agg(F.min(F.struct("own", "print")).alias("at")).select("at.own", "at.print") \
         .withColumnsRenamed({"own": "near_own", "print": "near_print"})
-    tagged = docs.withColumn("near_key", own) \
-        .withColumn("near_text", F.xxhash64(F.coalesce(docs[text], F.lit(""))))
+    # The caller's columns travel in a struct, so no name of theirs can clash.
+    tagged = docs.select(own.alias("near_key"),
+                         F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("near_text"),
+                         F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     return tagged.join(first, F.expr("near_key = near_own AND near_text = near_print"), "left_semi") \
-        .dropDuplicates(["near_key", "near_text"]).select(*docs.columns)
+        .dropDuplicates(["near_key", "near_text"]).select("row.*")
