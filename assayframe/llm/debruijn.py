@@ -2,8 +2,8 @@
 
 A window of ``window`` words is an edge of the graph; the words it shares with the next window
 are the node between them. Only edges that can repeat are built: windows are gathered by
-content anchors (``chunks``); anchors that occur once are done, and a chunk whose anchor never
-has another content repeats or not as a whole. Where chunks under one anchor differ, the first
+keys of their content (``chunks``); keys that occur once are done, and a chunk whose key never
+has another content repeats or not as a whole. Where chunks under one key differ, the first
 copy of each kind gives its windows as edges. Of those that occur in several kinds, paths
 without branches -- every place of an edge is followed by the same edge, and every place of
 that one preceded by it, checked on source coordinates -- are compacted by pointer doubling
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from assayframe.session import settle
 
 from .chunks import keyed, mixed_kinds, repeated_chunks, unkeyed
-from .text import Words, gram_hashes, map_arrow, slices
+from .text import SLICE_BYTES, Words, gram_hashes, map_arrow, slices, word_units
 
 #: Words of an anchor; windows of fewer words use half of them.
 GRAM = 6
@@ -40,13 +40,18 @@ def _edges(asked: DataFrame, docs: DataFrame, window: int) -> DataFrame:
         at_list = lists.offsets.to_numpy()
         begin, count = (lists.values.field(i).to_numpy() for i in (0, 1))
         for row, data, at in slices(batch.column(3)):
-            words = Words(data, at)
-            one, two = (gram_hashes(words.hashes(), window, salt) for salt in (1, 2))
+            if len(data) > 2 * SLICE_BYTES:
+                units = word_units(data)
+                begins = np.array([0, len(units)])
+            else:
+                words = Words(data, at)
+                units, begins = words.hashes(), words.first
+            one, two = (gram_hashes(units, window, salt) for salt in (1, 2))
             for i in range(len(at) - 1):
                 part = slice(at_list[row + i], at_list[row + i + 1])
                 pos = np.repeat(begin[part] - np.cumsum(count[part]) + count[part],
                                 count[part]) + np.arange(count[part].sum())
-                place = words.first[i] + pos
+                place = begins[i] + pos
                 yield [one[place].view(np.int64), two[place].view(np.int64),
                        np.full(len(pos), doc[row + i]), np.full(len(pos), print_[row + i]), pos]
 

@@ -113,6 +113,23 @@ class Words:
         return [byte_hashes(data, self.start, e) for e in ends]
 
 
+def word_units(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of one long text, read in slices that end at white space."""
+    out, begin = [], 0
+    while begin < len(data):
+        end = begin + SLICE_BYTES
+        if end < len(data):
+            # Ever further, so that a slice ends after a word of any length.
+            step = 1 << 12
+            while end < len(data) and not _SPACE[data[end:end + step]].any():
+                end, step = end + step, 2 * step
+            end += int(np.argmax(_SPACE[data[end:end + step]])) if end < len(data) else 0
+        part = data[begin:end]
+        out.append(Words(part, np.array([0, len(part)])).hashes())
+        begin = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def byte_lanes(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each byte on as one number; zeros follow the last byte."""
     padded = np.zeros(len(data) + 8, np.uint8)
@@ -202,7 +219,7 @@ def gram_hashes(values: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     return mix(out)
 
 
-#: Places in a slice take so many low bits of a packed key (texts of up to 256 MB).
+#: Places in a slice take so many low bits of a packed key.
 _PLACE_BITS = np.uint64(28)
 
 
@@ -215,6 +232,8 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values)
     if n < width:
         return np.zeros(0, np.int64)
+    if n >> int(_PLACE_BITS):
+        raise ValueError("places beyond 2^28: cut the values into overlapping slices")
     blocks = -(-n // width)
     key = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
     key[:n] = (values >> _PLACE_BITS << _PLACE_BITS) | np.arange(n, dtype=np.uint64)

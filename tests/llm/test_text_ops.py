@@ -51,7 +51,7 @@ def test_chunks_partition_windows(texts):
     got = sorted(p for s, n in zip(c.start, c.count) for p in range(s, s + n))
     assert got == [f + i for f, t in zip(first, texts) for i in range(len(t) - 5)]
     offset = {}
-    for s, n, a in zip(c.start, c.count, c.anchor):
+    for s, n, a in zip(c.start, c.count, c.key):
         for p in range(s, s + n):  # equal windows have one anchor
             assert offset.setdefault(tuple(units[p:p + 6].tolist()), a) == a
 
