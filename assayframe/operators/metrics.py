@@ -168,20 +168,7 @@ def alarm_states(metrics: DataFrame, alarms: Sequence[Alarm], start=None, end=No
     """
     spark = metrics.sparkSession
     table = _alarm_table(spark, alarms)
-    subset = F.forall(F.map_entries("want"),
-                      lambda e: F.coalesce(F.element_at("dimensions", e["key"]) == e["value"],
-                                           F.lit(False)))
-    exact = ~F.col("strict") | (F.size("want") == F.size("dimensions"))
-    period = F.floor(F.unix_seconds("ts") / F.col("period_s")) * F.col("period_s")
-    measured = (metrics.join(table, (F.col("name") == F.col("metric")) & subset & exact)
-                .groupBy("alarm", "statistic", period.alias("period"))
-                .agg(F.sum("value").alias("s"), F.avg("value").alias("a"),
-                     F.min("value").alias("lo"), F.max("value").alias("hi"),
-                     F.count("value").cast("double").alias("n"))
-                .select(F.col("alarm").alias("_a"), F.col("period").alias("_p"),
-                        F.expr("CASE statistic " + " ".join(
-                            f"WHEN '{k}' THEN {c}" for k, c in _STATISTICS.items()) + " END")
-                        .alias("statistic_value")))
+    measured = measure_alarms(metrics, alarms).withColumnsRenamed({"alarm": "_a", "period": "_p"})
     # Written once: its span bounds the periods, and the states read it again.
     measured = settle(measured, "measured")
     if start is None or end is None:
@@ -214,6 +201,117 @@ def alarm_states(metrics: DataFrame, alarms: Sequence[Alarm], start=None, end=No
                     .alias("state")))
 
 
+_CARRY = "alarm string, next_period bigint, streak bigint, state string"
+
+
+def alarm_changes(measured: DataFrame, alarms: Sequence[Alarm], start: int, end: int,
+                  carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(changes, carry) of alarms over the periods from ``start`` to before ``end`` (epoch
+    seconds): a row (alarm, period_start, state) where a state begins or changes, and a row
+    per alarm (alarm, next_period, streak, state) to go on from.
+
+    ``measured`` (alarm, period, statistic_value) has a row per alarm and period with data.
+    Periods without any are never made: a run of them is one interval between two rows, so a
+    single reading far ahead costs one row. Runs of equal verdicts are merged into islands; an
+    alarm goes off within an island once its breaching periods are enough. With the ``carry`` of
+    an earlier call its alarms go on where they stopped, and only changes are returned.
+    """
+    spark = measured.sparkSession
+    table = _alarm_table(spark, alarms)
+    value, limit = F.col("statistic_value"), F.col("threshold")
+    verdict = (F.when(value.isNull(), F.col("missing") == "breaching")
+               .when(F.col("compare") == "<", value < limit)
+               .when(F.col("compare") == "<=", value <= limit)
+               .when(F.col("compare") == ">", value > limit).otherwise(value >= limit))
+    before = carry if carry is not None else spark.createDataFrame([], _CARRY)
+    step = F.col("period_s").cast("bigint")
+    opened = table.join(F.broadcast(before.withColumnRenamed("alarm", "_b")),
+                        F.col("alarm") == F.col("_b"), "left").drop("_b").select(
+        "alarm", "compare", "threshold", "missing", "periods", step.alias("period_s"),
+        F.coalesce("next_period", F.floor(F.lit(start) / step) * step).alias("first"),
+        (F.ceil(F.lit(end) / step) * step).alias("stop"),
+        F.coalesce("streak", F.lit(0)).alias("streak"), F.col("state").alias("was"))
+    rows = opened.join(measured.withColumnRenamed("alarm", "_m"),
+                       (F.col("alarm") == F.col("_m")) & (F.col("period") >= F.col("first"))
+                       & (F.col("period") < F.col("stop")), "left").drop("_m")
+    by_period = Window.partitionBy("alarm").orderBy("period")
+    after = F.coalesce(F.lead("period").over(by_period), F.col("stop"))
+    gap = F.col("missing") == "breaching"
+
+    def run(begin: Column, until: Column, breaching: Column) -> Column:
+        return F.struct(begin.alias("begin"), F.floor((until - begin) / F.col("period_s"))
+                        .cast("bigint").alias("length"), breaching.alias("breaching"))
+
+    place, next_ = F.col("period"), F.col("period") + F.col("period_s")
+    runs = F.when(place.isNull(), F.array(run(F.col("first"), F.col("stop"), gap))).otherwise(
+        F.array(F.when(F.lag("period").over(by_period).isNull(),
+                       run(F.col("first"), place, gap)),
+                run(place, next_, verdict), run(next_, after, gap)))
+    state = ["alarm", "periods", "period_s", "stop", "streak", "was"]
+    found = rows.select(*state, runs.alias("runs")).select(*state, F.explode("runs").alias("r")) \
+        .where("r IS NOT NULL AND r.length > 0").select(*state, "r.*")
+    by_begin = Window.partitionBy("alarm").orderBy("begin")
+    fresh = F.coalesce(F.lag("breaching").over(by_begin) != F.col("breaching"), F.lit(True))
+    islands = (found.withColumn("fresh", fresh)
+               .withColumn("island", F.sum(F.col("fresh").cast("int")).over(by_begin))
+               .groupBy(*state, "island", "breaching")
+               .agg(F.min("begin").alias("begin"), F.sum("length").alias("length")))
+    # The breaching periods before the first island belong to it if it breaches as well.
+    had = F.when(F.col("breaching") & (F.col("island") == 1), F.col("streak")).otherwise(0)
+    wait = F.greatest(F.lit(0), F.col("periods") - had - 1)
+    by_island = Window.partitionBy("alarm").orderBy("island")
+    fires = F.col("breaching") & (F.col("length") > wait)
+    marks = F.array(
+        # An alarm that is new starts with a state; it is OK until it has fired.
+        F.when((F.col("island") == 1) & F.col("was").isNull()
+               & ~(fires & (wait == 0)), F.struct(F.col("begin").alias("p"), F.lit("OK").alias("s"))),
+        F.when(~F.col("breaching"), F.struct(F.col("begin").alias("p"), F.lit("OK").alias("s"))),
+        F.when(fires, F.struct((F.col("begin") + wait * F.col("period_s")).alias("p"),
+                               F.lit("ALARM").alias("s"))))
+    told = islands.select("alarm", "was", "island", F.explode(marks).alias("m")) \
+        .where("m IS NOT NULL").select("alarm", "was", "island", "m.*").distinct()
+    in_order = Window.partitionBy("alarm").orderBy("p", "island")
+    changes = (told.withColumn("last", F.coalesce(F.lag("s").over(in_order), F.col("was")))
+               .where("last IS NULL OR last != s")
+               .select("alarm", F.timestamp_seconds("p").alias("period_start"),
+                       F.col("s").alias("state")))
+    last = (islands.withColumn("total", F.when(F.col("breaching"), F.col("length") + had)
+                               .otherwise(0))
+            .groupBy("alarm").agg(F.max_by("total", "island").alias("total"),
+                                  F.max("periods").alias("periods")))
+    kept = opened.join(last.select(F.col("alarm").alias("_l"), "total"),
+                       F.col("alarm") == F.col("_l"), "left").select(
+        "alarm", F.greatest("first", "stop").alias("next_period"),
+        F.coalesce("total", "streak").cast("bigint").alias("streak"))
+    kept = kept.join(table.select(F.col("alarm").alias("_t"), "periods"),
+                     F.col("alarm") == F.col("_t")).select(
+        "alarm", "next_period", "streak",
+        F.when(F.col("streak") >= F.col("periods"), "ALARM").otherwise("OK").alias("state"))
+    return changes, kept
+
+
+def measure_alarms(metrics: DataFrame, alarms: Sequence[Alarm]) -> DataFrame:
+    """(alarm, period, statistic_value) per alarm and period with data."""
+    table = _alarm_table(metrics.sparkSession, alarms)
+    subset = F.forall(F.map_entries("want"),
+                      lambda e: F.coalesce(F.element_at("dimensions", e["key"]) == e["value"],
+                                           F.lit(False)))
+    exact = ~F.col("strict") | (F.size("want") == F.size("dimensions"))
+    period = F.floor(F.unix_seconds("ts") / F.col("period_s")) * F.col("period_s")
+    return (metrics.join(table, (F.col("name") == F.col("metric")) & subset & exact)
+            .groupBy("alarm", "statistic", period.alias("period"))
+            .agg(F.sum("value").alias("s"), F.avg("value").alias("a"),
+                 F.min("value").alias("lo"), F.max("value").alias("hi"),
+                 F.count("value").cast("double").alias("n"))
+            .select("alarm", "period", statistic().alias("statistic_value")))
+
+
+def statistic() -> Column:
+    """The value of column ``statistic`` from s, a, lo, hi and n."""
+    return F.expr("CASE statistic " + " ".join(
+        f"WHEN '{k}' THEN {c}" for k, c in _STATISTICS.items()) + " END")
+
+
 # --- series ----------------------------------------------------------------------------
 
 def _period(period_s: int) -> Column:

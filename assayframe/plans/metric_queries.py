@@ -255,6 +255,19 @@ def _(spark, sf_dir):
     return _text(states).withColumn("statistic_value", F.round("statistic_value", 4))
 
 
+@query("alarm_changes", f"WITH {EVENT_METRICS}, {_bounds_sql(ALARMS)} SELECT alarm, "
+       "strftime(make_timestamp(period_start * 1000000), '%Y-%m-%d %H:%M:%S') AS period_start, state "
+       "FROM (SELECT *, lag(state) OVER (PARTITION BY alarm ORDER BY period_start) AS was FROM ("
+       + " UNION ALL ".join(_alarm_sql(a) for a in ALARMS) + ")) WHERE was IS NULL OR was <> state")
+def _(spark, sf_dir):
+    measured = settle(m.measure_alarms(event_metrics(spark, sf_dir), ALARMS), "measured")
+    low, high = measured.agg(F.min("period"), F.max("period")).first()
+    if low is None:
+        low, high = 0, -1
+    changes, _ = m.alarm_changes(measured, ALARMS, low, high + 1)
+    return _text(changes)
+
+
 #: The pipeline's metrics are published now and ten minutes later, under the names that the
 #: default alarms ask for; the five minutes between have none.
 _RENAMED = {"patient_records_csv": "patient_records"}

@@ -8,7 +8,7 @@ from ..operators import rules as r
 from ..operators.analyzers import Analyzer
 from ..operators.metrics import Alarm
 from ..session import fresh_path
-from ..streaming import streams as st
+from ..streaming import periods as pr, streams as st
 from . import derived
 from .derived import AS_OF, with_ctes
 from .registry import query, table
@@ -129,7 +129,7 @@ def _(spark, sf_dir):
     for arrivals in _ordered_parts(spark, sf_dir, "stream-updates"):
         rows = arrivals.select("user_id", "event_id", "event_type", "value")
         st.once(st.last_wins_stream(rows, "user_id", "event_id", target, progress))
-    return st.current(spark, target, ["user_id"])
+    return st.current(spark, target, ["user_id"], "event_id")
 
 
 @query("stream_dedup_first", """
@@ -176,3 +176,66 @@ def _(spark, sf_dir):
                                  progress, F.col("value"), "10 minutes"))
     return st.current(spark, target, ["period_start"]).agg(
         F.count("*").alias("periods"), F.sum("n").alias("kept_events"))
+
+
+@query("stream_late_rows", """
+WITH m AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events)
+SELECT event_type, CAST(count(*) FILTER (ts >= middle) AS BIGINT) AS kept,
+  CAST(count(*) FILTER (ts < middle) AS BIGINT) AS late,
+  CAST(coalesce(sum(event_id) FILTER (ts < middle), 0) AS BIGINT) AS late_ids
+FROM events, m GROUP BY event_type""")
+def _(spark, sf_dir):
+    """The newest half arrives first; every event of the older half is then late, and kept as
+    it came: periods and late events add up to all events."""
+    source, target = _paths(spark, "stream-late-rows")
+    progress = fresh_path(spark, "stream-late-rows-progress")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    row = events.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("middle")).first()
+    for i, half in enumerate((F.col("ts") >= F.lit(row["middle"]), F.col("ts") < F.lit(row["middle"]))):
+        events.where(half).write.parquet(f"{source}/{i}")
+        st.once(pr.period_stream(st.read_files(spark, f"{source}/*", events.schema), target,
+                                 progress, F.col("value"), 600, ["event_type"]))
+    kept = pr.kept(spark, target).groupBy("event_type").agg(F.sum("n").alias("kept"))
+    late = pr.late(spark, target).groupBy(F.col("event_type").alias("t")).agg(
+        F.count("*").alias("late"), F.sum("event_id").alias("late_ids"))
+    zero = F.lit(0).cast("long")
+    return kept.join(late, F.expr("event_type = t"), "full").select(
+        F.coalesce("event_type", "t").alias("event_type"), F.coalesce("kept", zero).alias("kept"),
+        F.coalesce("late", zero).alias("late"), F.coalesce("late_ids", zero).alias("late_ids"))
+
+
+def _changes_sql(states: str) -> str:
+    """Rows of states per period where an alarm's state begins or changes."""
+    return f"""SELECT alarm, strftime(make_timestamp(p * 1000000), '%Y-%m-%d %H:%M:%S')
+      AS period_start, state FROM (SELECT *, lag(state) OVER (PARTITION BY alarm ORDER BY p) AS was
+    FROM ({states})) WHERE was IS NULL OR was <> state"""
+
+
+@query("stream_alarm_changes", "WITH e AS (SELECT *, (epoch_us(ts) // 300000000) * 300 AS p "
+       "FROM events), bounds AS (SELECT min(p) AS lo, max(p) AS hi FROM e) "
+       + _changes_sql(" UNION ALL ".join(map(_stream_alarm_sql, _STREAM_ALARMS))))
+def _(spark, sf_dir):
+    """Alarms from the stream itself. A beat ten minutes after the last period, of a kind that no
+    alarm reads, closes all periods; nothing is made for those without events."""
+    source, target = _paths(spark, "stream-alarms")
+    progress = fresh_path(spark, "stream-alarms-progress")
+    late = 600
+
+    def run(arrivals):
+        st.once(pr.period_stream(arrivals, target, progress, F.col("value"), late,
+                                 ["event_type"], alarms=_STREAM_ALARMS))
+
+    columns = ["ts", "event_type", "value"]
+    events = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    low, high = events.agg(F.unix_seconds(F.min("ts")), F.unix_seconds(F.max("ts"))).first()
+    third = F.least(F.lit(2), F.floor((F.unix_seconds("ts") - low) * 3 / max(1, high - low)))
+    beat = spark.range(1).select(
+        F.timestamp_seconds(F.lit(high // 300 * 300 + 300 + late)).alias("ts"),
+        F.lit("beat").alias("event_type"), F.lit(None).cast("double").alias("value"))
+    for i in range(4):
+        (events.where(third == i) if i < 3 else beat).select(*columns).write.parquet(
+            f"{source}/{i}")
+        run(st.read_files(spark, f"{source}/*", events.schema))
+    return pr.changes(spark, target).select(
+        "alarm", F.date_format("period_start", "yyyy-MM-dd HH:mm:ss").alias("period_start"), "state")

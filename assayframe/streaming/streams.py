@@ -103,42 +103,61 @@ def period_stream(events: DataFrame, target: str, checkpoint: str, value: Column
             .option("checkpointLocation", checkpoint).trigger(**(trigger or _NOW)).start())
 
 
-def current(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row per key over the folders of all batches."""
+def current(spark: SparkSession, target: str, keys: Sequence[str],
+            order: str | None = None) -> DataFrame:
+    """The newest row per key over the folders of all batches: that of the last batch, or the
+    one with the greatest ``order``."""
     rows = spark.read.parquet(target)
     rest = [c for c in rows.columns if c not in keys and c != "batch"]
-    newest = F.max_by(F.struct(*rest), F.col("batch"))
+    newest = F.max_by(F.struct(*rest), F.col(order or "batch"))
     return rows.groupBy(*keys).agg(newest.alias("_r")).select(*keys, "_r.*")
 
 
 def last_wins_stream(rows: DataFrame, key: str, order: str, target: str, checkpoint: str,
                      **trigger) -> StreamingQuery:
-    """The row with the greatest ``order`` per key, kept up to date.
+    """The row with the greatest ``order`` per key of each batch, appended under its number.
 
-    State is one row per key, merged within tasks before it is shuffled.
+    The stream keeps no state, so none grows: which row wins over all batches is told by
+    ``order`` when they are read (``current`` with the same order) or merged (``compact``), however
+    late it came. Rows are merged within tasks before they are shuffled, so a hot key is one row
+    per task. ``changes`` tells what a batch changed.
     """
     rest = [c for c in rows.columns if c != key]
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(key, "_r.*").write.mode("overwrite")
-         .parquet(f"{target}/batch={batch_id}"))
+        newest = batch.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
+        newest.select(key, "_r.*").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    return (newest.writeStream.outputMode("update").foreachBatch(append)
+    return (rows.writeStream.foreachBatch(append)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or _NOW)).start())
 
 
+def changes(spark: SparkSession, target: str, key: str, order: str, batch: int) -> DataFrame:
+    """The rows of a batch that win over all earlier ones of their key."""
+    rows = spark.read.parquet(target)
+    before = rows.where(F.col("batch") < batch).groupBy(F.col(key).alias("_key")).agg(
+        F.max(order).alias("_before"))
+    return rows.where(F.col("batch") == batch).join(before, F.col(key) == F.col("_key"), "left") \
+        .where(F.col("_before").isNull() | (F.col(order) > F.col("_before"))) \
+        .drop("_key", "_before", "batch")
+
+
 def first_wins(rows: DataFrame, keys: Sequence[str], ts: str, late: str) -> DataFrame:
     """The first row per key within the watermark, with state that expires."""
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def compact(spark: SparkSession, target: str, into: str, keys: Sequence[str]) -> None:
-    """Writes the newest row per key of all batch folders as one batch of a new folder, with
-    the number of the last of them, so that later batches still win. Run it between runs of
+def compact(spark: SparkSession, target: str, into: str, keys: Sequence[str],
+            order: str | None = None, alive: Column | None = None) -> None:
+    """Writes the newest row per key of all batch folders (see ``current``) as one batch of a new
+    folder, with the number of the last of them, so that later batches still win. Keys whose
+    newest row isn't ``alive`` (say, younger than some days) are left out. Run it between runs of
     the stream, which then goes on in the new folder with its old checkpoint."""
     last = spark.read.parquet(target).agg(F.max("batch")).first()[0]
-    current(spark, target, keys).write.parquet(f"{into}/batch={last}")
+    rows = current(spark, target, keys, order)
+    if alive is not None:
+        rows = rows.where(alive)
+    rows.write.parquet(f"{into}/batch={last}")
 
 
 def alarm_stream_states(spark: SparkSession, target: str, alarms: Sequence[metrics.Alarm],

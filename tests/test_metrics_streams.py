@@ -111,7 +111,7 @@ def test_last_wins_over_batches_and_restart(spark, tmp_path, arrivals):
     for _ in range(2):
         stream = st.read_files(spark, arrivals, "k int, seq int, v string", files_per_batch=1)
         st.once(st.last_wins_stream(stream, "k", "seq", target, progress))
-    got = {x["k"]: x["v"] for x in st.current(spark, target, ["k"]).collect()}
+    got = {x["k"]: x["v"] for x in st.current(spark, target, ["k"], "seq").collect()}
     assert got == {1: "c", 2: "b", 3: "d"}
 
 
