@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
-from ..operators import analyzers as an, records as rec_ops, rules as r, rulesets
+from ..operators import analyzers as an, ledger, records as rec_ops, rules as r, rulesets, states
 from ..operators.joins import cross_table_dates
+from ..session import fresh_path, settle
 from . import derived
 from .derived import quoted, with_ctes
 from .registry import query, table
@@ -314,6 +315,19 @@ def _(spark, sf_dir):
     return _results(spark, sf_dir, "patient_records_csv").select(*COLUMNS)
 
 
+@query("ruleset_ledger", with_ctes("rec flat", " UNION ALL ".join(flat_sql())))
+def _(spark, sf_dir):
+    """Three files of records, the last of which comes after a first run: the second run reads
+    that one alone, and a third none at all."""
+    path, folder = fresh_path(spark, "ledger-table"), fresh_path(spark, "ledger")
+    flat, rules = rec_ops.flatten(derived.records(spark, sf_dir)), rulesets.flat_records()
+    for run, parts in (("run-1", "0, 1"), ("run-2", "2"), ("run-3", None)):
+        if parts:
+            flat.where(f"pmod(record_id, 3) IN ({parts})").write.mode("append").parquet(path)
+        found = ledger.evaluate(spark, path, rules, "patient_records_csv", folder, run)
+    return found.select(*COLUMNS)
+
+
 @query("ruleset_nested", with_ctes("rec", " UNION ALL ".join(nested_sql())))
 def _(spark, sf_dir):
     return _results(spark, sf_dir, "patient_records_json").select(*COLUMNS)
@@ -445,6 +459,31 @@ def _(spark, sf_dir):
         "table_name", "run_id", "metric", F.round("value", 6).alias("value"))
 
 
+_MERGED = ["o_orderstatus", "o_orderpriority", "o_totalprice"]
+
+
+@query("analyzer_states", " UNION ALL ".join(
+    [metric_sql("Dataset.*.RowCount", "count(*)", "orders")]
+    + [metric_sql(f"Column.{c}.Completeness", f"count(*) FILTER {filled(c)} / count(*)::DOUBLE",
+                  "orders") for c in _MERGED]
+    + [metric_sql(f"Column.{c}.{n}Length", f"{f}(length({c}))", "orders") for c in _MERGED[:2]
+       for n, f in [("Minimum", "min"), ("Maximum", "max"), ("Average", "avg")]]
+    + [metric_sql(f"Column.{c}.DistinctValuesCount", f"count(DISTINCT {c})", "orders")
+       for c in _MERGED[:2]]
+    + [metric_sql("Column.o_totalprice.Mean", "avg(o_totalprice)", "orders"),
+       metric_sql("Column.o_totalprice.StandardDeviation", "stddev_samp(o_totalprice)",
+                  "orders")]))
+def _(spark, sf_dir):
+    """States of seven parts, merged. The sketch counts a few values exactly; that of prices is
+    an estimate and isn't shown."""
+    orders = table(spark, sf_dir, "orders").select(
+        *_MERGED, (F.col("o_orderkey") % 7).alias("part"))
+    parts = settle(states.states(orders, ["part"]), "states")
+    found = states.metrics_of(states.merge(parts.drop("part")))
+    return found.where("metric != 'Column.o_totalprice.DistinctValuesCount'").select(
+        "metric", F.round("value", 6).alias("value"))
+
+
 # --- recommendation --------------------------------------------------------------------------
 
 def _recommended_sql(source, columns):
@@ -554,6 +593,36 @@ def _(spark, sf_dir):
                        *[F.round(c, 2).alias(c) for c in ("actual", "expected", "lower", "upper")])
 
 
+_YEARLY = """SELECT 'orders' AS table_name, strftime(o_orderdate, '%Y') AS run_id,
+  'Count.' || o_orderstatus AS metric, count(*)::DOUBLE AS value FROM orders GROUP BY ALL
+UNION ALL SELECT 'orders', strftime(o_orderdate, '%Y'), 'Mean.' || o_orderstatus, avg(o_totalprice)
+  FROM orders GROUP BY ALL"""
+
+
+@query("anomaly_running", f"""
+WITH {OBSERVED_SQL.replace(_MONTHLY, _YEARLY).replace('runs >= 5', 'runs >= 3')}
+SELECT run_id, metric, round(value, 2) AS actual, round(expected, 2) AS expected,
+  round(expected - spread, 2) AS lower, round(expected + spread, 2) AS upper FROM seen""")
+def _(spark, sf_dir):
+    """A run per year; each reads its own metrics and one row of history per metric."""
+    year = F.date_trunc("year", F.col("o_orderdate").cast("timestamp"))
+    runs = settle(table(spark, sf_dir, "orders").groupBy("o_orderstatus", year.alias("run_ts")).agg(
+        F.count("*").cast("double").alias("n"), F.avg("o_totalprice").alias("mean")).select(
+        F.lit("orders").alias("table_name"), F.date_format("run_ts", "yyyy").alias("run_id"),
+        "run_ts", F.inline(F.array(*[F.struct(F.concat(F.lit(f"{k}."), "o_orderstatus").alias("metric"),
+                                              F.col(c).alias("value"))
+                                     for k, c in (("Count", "n"), ("Mean", "mean"))]))), "runs")
+    history, out = states.no_history(spark), None
+    for row in runs.select("run_id").distinct().orderBy("run_id").collect():
+        seen, history = states.observe(history, runs.where(F.col("run_id") == row[0]), 1.5, 3)
+        history = settle(history, "history")
+        out = seen if out is None else out.unionByName(seen)
+    if out is None:
+        out = an.observations(runs)
+    return out.select("run_id", "metric",
+                      *[F.round(c, 2).alias(c) for c in ("actual", "expected", "lower", "upper")])
+
+
 def _scores(spark, sf_dir):
     """The share of high-value orders per status and month, as a score history."""
     month = F.date_trunc("month", F.col("o_orderdate").cast("timestamp"))
