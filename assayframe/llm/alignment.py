@@ -303,7 +303,7 @@ def align_texts(pieces: Pieces, data: np.ndarray, at: np.ndarray):
         start = piece_starts(data, at)
     else:
         start = at[:-1][at[1:] > at[:-1]]
-    end = np.append(start[1:], len(data)).astype(np.int64)
+    end = np.append(start[1:], len(data)).astype(np.int64)[:len(start)]
     raw = data.tobytes()
     which = pieces.find([raw[i:j] for i, j in zip(start.tolist(), end.tolist(), strict=True)])
     owner = np.searchsorted(at, start, "right") - 1

@@ -87,8 +87,9 @@ def _blocks(vectors: DataFrame, key: str, vector: str, scale: int, size: int,
         keys = batch.column(0).to_numpy()
         for i in range(0, len(good), size):
             whole = np.floor(scale * v[i:i + size])
-            if np.abs(whole).max(initial=0) >= 2.0 ** 53:
-                raise ValueError("a component is too large for a whole number")
+            most = np.abs(whole).max(initial=0)
+            if most >= 2.0 ** 53 or most * most * whole.shape[1] >= 2.0 ** 62:
+                raise OverflowError("inner products of such components leave 64 bits")
             exact = whole.astype(np.int64)
             code, low, high = quantise(whole, cells)
             ids = keys[good[i:i + size]]
@@ -110,7 +111,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     All if there are fewer; ties go to the smaller key. Null or empty vectors, those with null
     or non-finite components and rows without key take no part. Repeated rows stay apart, so
     a repeated query has its results once per repeat (by rank of the whole) -- keys are meant
-    to be unique. Rows too large for 53 bits raise.
+    to be unique. Components whose inner products could leave 64 bits raise OverflowError.
     """
     data = settle(_blocks(vectors, key, vector, scale, block, cells), "va-blocks")
     asked = number_rows(_blocks(queries, key, vector, scale, query_block, cells)
