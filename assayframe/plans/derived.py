@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import fixed_values as fv
-from .registry import dealt_table
+from .registry import dealt_table, table
 
 AS_OF = "2001-01-01 00:00:00"
 
@@ -32,6 +32,8 @@ ENDINGS = {
     7: " drug-seeking behavior, Frequent  flyer, difficult patient, obese and lazy",
 }
 GARBLED = " ## 44 $$ 9"
+#: Ids of blank notes start here, beyond those of records.
+BLANK_IDS = 10 ** 12
 
 
 DIAGNOSES = "array<struct<icd10:string,description:string>>"
@@ -98,13 +100,20 @@ def records_of(orders: DataFrame) -> DataFrame:
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A note per document, with its whole text, and blank notes beside them: for one document
+    in 36, under an id that no record has."""
     endings = " ".join(f"WHEN {rest} THEN concat(text, {spark_quoted(ending)})"
                        for rest, ending in ENDINGS.items())
-    return dealt_table(spark, sf_dir, "documents").selectExpr("doc_id AS i", "text").selectExpr(
-        "if(i % 7 = 1, i - 1, i) AS record_id", "i AS seq",
+    own = dealt_table(spark, sf_dir, "documents").selectExpr(
+        "doc_id AS i", "doc_id AS seq", "text", "false AS blank")
+    blank = table(spark, sf_dir, "documents").where("doc_id % 36 = 5").selectExpr(
+        "doc_id AS i", "-1 - doc_id AS seq", "if(doc_id % 2 = 0, '', '   ') AS text",
+        "true AS blank")
+    return own.unionByName(blank).selectExpr(
+        f"if(blank, {BLANK_IDS}L + i, if(i % 7 = 1, i - 1, i)) AS record_id", "seq",
         "if(i % 41 = 0, 'MRN-X', concat('MRN-', lpad(cast(i AS string), 6, '0'))) AS mrn",
         f"if(i % 53 = 0, 'Letter', {_pick(fv.NOTE_TYPES, 'i % 3')}) AS note_type",
-        f"CASE WHEN i % 36 = 5 THEN if(i % 2 = 0, '', '   ') "
+        f"CASE WHEN blank THEN text "
         f"ELSE CASE i % 9 WHEN 6 THEN concat(text, repeat({spark_quoted(GARBLED)}, "
         f"cast(length(text) / 4 AS int))) {endings} ELSE text END END AS note_text",
         f"concat('Dr. ', {_pick(DOCTORS, 'i % 6')}) AS author",
@@ -167,17 +176,19 @@ FROM (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s,
 
 #: CTE body of ``nts``, the notes.
 NOTES_SQL = f"""
-SELECT CASE WHEN i % 7 = 1 THEN i - 1 ELSE i END AS record_id, i AS seq,
+SELECT CASE WHEN blank THEN {BLANK_IDS} + i WHEN i % 7 = 1 THEN i - 1 ELSE i END AS record_id, seq,
   CASE WHEN i % 41 = 0 THEN 'MRN-X' ELSE 'MRN-' || lpad(CAST(i AS VARCHAR), 6, '0') END AS mrn,
   CASE WHEN i % 53 = 0 THEN 'Letter' ELSE {_sql_pick(fv.NOTE_TYPES, 'i % 3')} END AS note_type,
-  CASE WHEN i % 36 = 5 THEN CASE WHEN i % 2 = 0 THEN '' ELSE '   ' END
+  CASE WHEN blank THEN text
     WHEN i % 9 = 6 THEN text || repeat({quoted(GARBLED)}, CAST(length(text) // 4 AS BIGINT))
     {' '.join(f"WHEN i % 9 = {r} THEN text || {quoted(e)}" for r, e in ENDINGS.items())}
     ELSE text END AS note_text,
   'Dr. ' || {_sql_pick(DOCTORS, 'i % 6')} AS author,
   CASE WHEN i % 31 = 0 THEN '2024/01/01'
     ELSE '2024-01-' || lpad(CAST(i % 28 + 1 AS VARCHAR), 2, '0') END AS date
-FROM (SELECT doc_id AS i, text FROM documents)
+FROM (SELECT doc_id AS i, doc_id AS seq, text, false AS blank FROM documents
+  UNION ALL SELECT doc_id, -1 - doc_id, CASE WHEN doc_id % 2 = 0 THEN '' ELSE '   ' END, true
+  FROM documents WHERE doc_id % 36 = 5)
 """
 
 #: CTE body of ``flat``, the flat form of ``rec``.

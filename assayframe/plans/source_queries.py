@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules as r
 from ..session import fresh_path
-from ..sources import faults, readers, writers
+from ..sources import faults, metric_sink, readers, writers
 from . import derived
 from .derived import with_ctes
 from .metric_queries import EVENT_METRICS, event_metrics
@@ -191,6 +191,22 @@ def _(spark, sf_dir):
     return back.select("batch_id", "metric_count", F.round(total, 4).alias("total"))
 
 
+@query("sink_metric_groups", f"""
+WITH {EVENT_METRICS} SELECT name, count(*) AS n, round(sum(value), 4) AS total, true AS small
+FROM em GROUP BY name""")
+def _(spark, sf_dir):
+    """All metrics, in groups of 20 at most."""
+    path = fresh_path(spark, "metric-groups")
+    metrics = event_metrics(spark, sf_dir)
+    metric_sink.write_metric_groups(metrics, path)
+    back = metric_sink.read_metric_groups(spark, path)
+    small = back.agg(F.coalesce(F.max(F.size("metrics")), F.lit(0)).alias("most"))
+    total = back.select(F.inline("metrics")).groupBy("name").agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return total.join(F.broadcast(small), F.lit(True)).select(
+        "name", "n", "total", (F.col("most") <= 20).alias("small"))
+
+
 _FAULTS = ["missing_name", "future_date", "negative_age", "empty_meds", "duplicate_mrn", "encoding",
            "impossible_bp", "extreme_temp", "negative_hr", "missing_bp", "bad_code", "blank_code"]
 _V = "vitals_at_discharge"

@@ -10,12 +10,13 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators import analyzers, metrics, rules, validation
+from ..operators import analyzers, metrics, rules, states, validation
 from ..operators.gates import GatePatterns
+from ..sources import publishing
 
 
 def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -51,36 +52,60 @@ def gate_stream(records: DataFrame, ruleset: Sequence[rules.Rule], table_name: s
                 checkpoint: str, least_score: float = 0.90,
                 watched: Sequence[analyzers.Analyzer] = (), history: str | None = None,
                 width: float = 3.0, **trigger) -> StreamingQuery:
-    """Scores each batch and writes it under ``decision=pass`` or ``decision=quarantine``.
+    """Writes each batch, audits what was written, and publishes it with its decision, pass or
+    quarantine (see ``publishing``). ``gated`` reads published batches.
 
-    A batch passes when enough of its rules do and its ``watched`` metrics are not out of
-    line with those of earlier batches, which are kept in the folder ``history``. The decision
-    of a batch is one row; it is the only thing that reaches the driver. A batch is kept while
-    it is checked and written; one that is replayed overwrites its own folders.
+    A batch passes when enough of its rules do and its ``watched`` metrics are not out of line
+    with those of earlier batches, of which the folder ``history`` keeps one row per metric and
+    batch. What was out of line is kept for review with its expected value and limits
+    (``reviews``). The decision is one row; it is the only thing that reaches the driver.
     """
     if watched and history is None:
         raise ValueError("watched metrics need a folder for their history")
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.DISK_ONLY)
-        results = rules.evaluate(batch, ruleset, table_name, str(batch_id))
+        spark = batch.sparkSession
+        path = publishing.stage(batch, target, batch_id)
+        staged = spark.read.schema(batch.schema).parquet(path)
+        results = rules.evaluate(staged, ruleset, table_name, str(batch_id))
         score = rules.score(results).first()
         good = score["rules_passed"] >= least_score * score["total_rules"]
         if watched:
-            spark = batch.sparkSession
-            analyzers.analyze(batch, watched, table_name, f"{batch_id:012d}").write.mode(
-                "overwrite").parquet(f"{history}/batch={batch_id}")
-            runs = spark.read.parquet(history).where(F.col("batch") <= batch_id)
-            good = good and analyzers.observations(runs, width).where(
-                F.col("run_id") == f"{batch_id:012d}").isEmpty()
-        (batch.withColumn("decision", F.lit("pass" if good else "quarantine"))
-         .write.mode("overwrite").partitionBy("decision").parquet(f"{target}/batch={batch_id}"))
-        batch.unpersist()
+            own = f"{target}/metrics/batch={batch_id}"
+            analyzers.analyze(staged, watched, table_name, f"{batch_id:012d}").write.mode(
+                "overwrite").parquet(own)
+            seen, bounds = states.observe(_bounds(spark, history, batch_id),
+                                          spark.read.parquet(own), width)
+            seen.write.mode("overwrite").parquet(f"{target}/reviews/batch={batch_id}")
+            bounds.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+            good = good and spark.read.parquet(f"{target}/reviews/batch={batch_id}").isEmpty()
+        publishing.publish(spark, target, batch_id, path, "pass" if good else "quarantine",
+                           score["overall_score"])
 
     return (records.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or _NOW)).start())
 
 
+def _bounds(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
+    """What the batch before left of all runs so far."""
+    try:
+        return spark.read.parquet(f"{history}/batch={batch_id - 1}")
+    except AnalysisException:
+        return states.no_history(spark)
+
+
+def gated(spark: SparkSession, target: str, decision: str | None = None) -> DataFrame | None:
+    """The rows of published batches with ``batch`` and ``decision``."""
+    return publishing.published(spark, target, decision)
+
+
+def reviews(spark: SparkSession, target: str) -> DataFrame:
+    """Metrics of published batches that were out of line: actual, expected, lower, upper."""
+    known = publishing.manifest(spark, target).select(F.col("batch").alias("_batch"))
+    return spark.read.parquet(f"{target}/reviews").join(
+        F.broadcast(known), F.col("batch") == F.col("_batch"), "left_semi")  # a row per batch
+
+
 def period_stream(events: DataFrame, target: str, checkpoint: str, value: Column,
                   late: str, keys: Sequence[str] = (), period: str = "300 seconds",
                   **trigger) -> StreamingQuery:

@@ -120,7 +120,7 @@ def test_gate_stream_routes_each_batch(spark, tmp_path, arrivals):
     stream = st.read_files(spark, arrivals, "k int, seq int, v string", files_per_batch=1)
     st.once(st.gate_stream(stream, [r.value_range("seq", 0, 4)], "t", target,
                            str(tmp_path / "progress")))
-    got = {(x["batch"], x["decision"]): x["count"] for x in spark.read.parquet(target).groupBy(
+    got = {(x["batch"], x["decision"]): x["count"] for x in st.gated(spark, target).groupBy(
         "batch", "decision").count().collect()}
     assert got == {(0, "quarantine"): 2, (1, "pass"): 2, (2, "pass"): 2}
 
