@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.predicates import field_type, missing
+from ..functions.sql import name as quote
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,36 @@ def analyze(df: DataFrame, analyzers: Sequence[Analyzer], table_name: str, run_i
 VALUE_SET_SIZE = 20
 
 
-def _profile_columns(df: DataFrame) -> list[Column]:
+#: Values are hashed below this prime to check that a summary of them is whole.
+_CHECK = 1048573
+
+
+def _few_values(column: str, most: int) -> Column:
+    """The distinct values of a text column if there are ``most`` at most, else null.
+
+    A frequent-items summary of fixed size, merged like any aggregate. It counts exactly until
+    more values come than it tracks; its counts then no longer add up to the rows, by number and
+    by hash, so no estimate ever decides.
+    """
+    value = quote(column)
+    k = most + 1
+    top = (f"approx_top_k({value}, {k}, {4 * k}) FILTER (WHERE {value} IS NOT NULL)")
+    check = f"pmod(xxhash64({value}), {_CHECK}L)"
+    return F.expr(f"named_struct('top', {top}, 'n', count({value}), "
+                  f"'check', sum(CASE WHEN {value} IS NOT NULL THEN {check} END))")
+
+
+def _whole_values(few: Column, most: int) -> Column:
+    top = few["top"]
+    zero = F.lit(0).cast("bigint")
+    number = F.aggregate(top, zero, lambda a, x: a + x["count"])
+    check = F.aggregate(top, zero, lambda a, x: a + x["count"] * F.pmod(
+        F.xxhash64(x["item"]), F.lit(_CHECK)))
+    whole = (few["n"] > 0) & (F.size(top) <= most) & (number == few["n"]) & (check == few["check"])
+    return F.when(whole, F.transform(top, lambda x: x["item"]))
+
+
+def _profile_columns(df: DataFrame, value_set_size: int) -> list[Column]:
     profiled = []
     for f in df.schema.fields:
         col = F.col(f"`{f.name}`")
@@ -100,15 +130,18 @@ def _profile_columns(df: DataFrame) -> list[Column]:
             (F.stddev_samp(real).cast("double") if numeric else none).alias("spread"),
             (F.min(size) if text else F.lit(None)).cast("long").alias("shortest"),
             (F.max(size) if text else F.lit(None)).cast("long").alias("longest"),
-            (F.approx_count_distinct(col) if text else F.lit(None)).cast("long")
-            .alias("distinct"),
+            (_few_values(f.name, value_set_size) if text else F.lit(None)).cast(
+                "struct<top:array<struct<item:string,count:bigint>>,n:bigint,check:bigint>")
+            .alias("few"),
         ))
     return profiled
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """One row per column, from one scan."""
-    return df.agg(F.array(*_profile_columns(df)).alias("p")).select(F.inline_outer("p"))
+def profile(df: DataFrame, value_set_size: int = VALUE_SET_SIZE) -> DataFrame:
+    """One row per column, from one scan; ``values`` are those of a text column with few."""
+    found = df.agg(F.array(*_profile_columns(df, value_set_size)).alias("p")) \
+        .select(F.inline_outer("p"))
+    return found.withColumn("values", _whole_values(F.col("few"), value_set_size)).drop("few")
 
 
 def _spread_text(value: Column) -> Column:
@@ -124,16 +157,13 @@ def recommend(df: DataFrame, value_set_size: int = VALUE_SET_SIZE) -> DataFrame:
     0.75 to 1.25 for numbers; observed lengths at 0.99 for text; a value set for text
     with up to ``value_set_size`` values; a row-count band of half to one and a half.
 
-    One row per column reaches the driver. The estimate of distinct values only says which
-    columns are worth counting: it never exceeds the true number by more than a hair where
-    that is small, so twice the size leaves no column out, and an exact count decides. All
-    such columns are counted in one scan.
+    One scan, and nothing runs before the result is asked for.
     """
-    spark = df.sparkSession
-    rows = profile(df).collect()
-    columns = spark.createDataFrame(rows, profile(df).schema) if rows else profile(df)
+    columns = profile(df, value_set_size)
     number, text = F.col("kind") == "number", F.col("kind") == "text"
     quoted = F.concat(F.lit('"'), F.col("column"), F.lit('"'))
+    listed = F.array_join(F.sort_array(F.transform("values", lambda v: F.concat(
+        F.lit('"'), v, F.lit('"')))), ", ")
 
     def rule(kind, body):
         return F.struct(F.lit(kind).alias("type"), body.alias("rule"))
@@ -151,31 +181,16 @@ def recommend(df: DataFrame, value_set_size: int = VALUE_SET_SIZE) -> DataFrame:
             F.lit("ColumnLength "), quoted, F.lit(" between "), F.col("shortest").cast("string"),
             F.lit(" and "), F.col("longest").cast("string"),
             F.lit(" with threshold >= 0.99")))),
+        F.when(F.col("values").isNotNull(), rule("ValueSet", F.concat(
+            F.lit("ColumnValues "), quoted, F.lit(" in ["), listed, F.lit("]")))),
+        # The first column's row tells the table's rows.
+        F.when(F.col("column") == df.columns[0], rule("RowCount", F.concat(
+            F.lit("RowCount between "), F.floor(F.col("rows") * 0.5).cast("string"),
+            F.lit(" and "), F.ceil(F.col("rows") * 1.5).cast("string")))),
     )
-    out = columns.select("column", F.explode_outer(candidates).alias("r")).where("r is not null") \
-        .select("column", "r.*")
-    out = out.unionByName(columns.limit(1).select(
-        F.lit(None).cast("string").alias("column"), F.lit("RowCount").alias("type"),
-        F.concat(F.lit("RowCount between "), F.floor(F.col("rows") * 0.5).cast("string"),
-                 F.lit(" and "), F.ceil(F.col("rows") * 1.5).cast("string")).alias("rule")))
-    few = [r["column"] for r in rows
-           if r["kind"] == "text" and 0 < r["distinct"] <= 2 * value_set_size + 1]
-    return out.unionByName(_value_sets(df, few, value_set_size)) if few else out
-
-
-def _value_sets(df: DataFrame, names: Sequence[str], most: int) -> DataFrame:
-    """Value sets of columns with few values: (column, value) pairs merged within tasks."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("v"))
-                      for n in names])
-    values = (df.select(F.inline_outer(pairs)).where(F.col("v").isNotNull())
-              .groupBy("column", "v").agg(F.lit(1).alias("one")))
-    listed = F.array_join(F.sort_array(F.collect_list(
-        F.concat(F.lit('"'), F.col("v"), F.lit('"')))), ", ")
-    return (values.groupBy("column").agg(F.count("*").alias("n"), listed.alias("listed"))
-            .where(F.col("n") <= most)
-            .select("column", F.lit("ValueSet").alias("type"),
-                    F.concat(F.lit('ColumnValues "'), "column", F.lit('" in ['), "listed",
-                             F.lit("]")).alias("rule")))
+    table = F.col("r.type") == "RowCount"
+    return columns.select("column", F.explode_outer(candidates).alias("r")).where("r is not null") \
+        .select(F.when(~table, F.col("column")).alias("column"), "r.*")
 
 
 def rules_diff(recommended: DataFrame, written: DataFrame) -> DataFrame:

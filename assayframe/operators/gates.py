@@ -193,6 +193,19 @@ def with_relevance(df: DataFrame, note: str, patterns: GatePatterns = GatePatter
                                {"relevance_score": relevance_score()}))
 
 
+def with_route(df: DataFrame, note: str, patterns: GatePatterns = GatePatterns()) -> DataFrame:
+    """Adds ``route``, as ``gate_route`` of all gates would give: the text is searched for
+    offending words, and for personal data where there are none."""
+    body = F.coalesce(F.col(note), F.lit(""))
+    offends = body.rlike(java_pattern(by_first_letter(patterns.profanity), True))
+    private = F.lit(False)
+    for phi in patterns.phi:
+        private = private | _has_phi(body, phi)
+    wordy = word_count(body) > 0
+    return df.withColumn("route", F.when(offends & wordy, "blocked").when(
+        private & wordy, "deidentify").otherwise("ready"))
+
+
 def redact_phi(note: Column, patterns: GatePatterns = GatePatterns()) -> Column:
     """Replaces personal data by its kind in brackets, and ISO dates by ``[DATE]``."""
     for phi in (*patterns.phi, PhiPattern("date", fv.DATE_ENTITY_PATTERN, needs="-")):

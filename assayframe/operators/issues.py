@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sql import NULL, text
@@ -11,11 +15,27 @@ ISSUE_TYPE = ("struct<type:string,field:string,severity:string,value:string,mess
 ISSUES = f"array<{ISSUE_TYPE}>"
 
 
+_detail: ContextVar[bool] = ContextVar("detail", default=True)
+
+
+@contextmanager
+def without_detail() -> Iterator[None]:
+    """Issues built inside tell their type and severity only: no message or value is made."""
+    token = _detail.set(False)
+    try:
+        yield
+    finally:
+        _detail.reset(token)
+
+
 def issue(kind: str, field: str | None, severity: str, message: str, value: str = NULL,
           drugs: str = "CAST(NULL AS ARRAY<STRING>)", interaction_severity: str = NULL) -> str:
     """An issue struct; ``message``, ``value`` and what follows are SQL expressions, and so
     is a severity that is neither ERROR nor WARNING."""
     severity = text(severity) if severity in ("ERROR", "WARNING") else severity
+    if not _detail.get():
+        value = message = interaction_severity = NULL
+        drugs = "CAST(NULL AS ARRAY<STRING>)"
     return (f"named_struct('type', {text(kind)}, 'field', {text(field)}, 'severity', {severity}, "
             f"'value', {value}, 'message', {message}, 'drugs', {drugs}, "
             f"'interaction_severity', {interaction_severity})")

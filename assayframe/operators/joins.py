@@ -114,3 +114,9 @@ def only_validated(df: DataFrame, validated: DataFrame, key: str = "record_id")
 
 def without_flagged(df: DataFrame, flagged: DataFrame, key: str = "record_id") -> DataFrame:
     return df.join(flagged.select(key), key, "left_anti")
+
+
+def holds_all(values: Column, wanted: Sequence[str]) -> Column:
+    """Whether all ``wanted`` values are among the elements of an array; null for a null array.
+    Case counts, order and repeats don't, and nothing at all is in every array."""
+    return F.size(F.array_except(F.array(*map(F.lit, wanted)).cast("array<string>"), values)) == 0

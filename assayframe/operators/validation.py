@@ -11,7 +11,9 @@ from ..functions import fixed_values as fv
 from ..functions.predicates import field_type, java_pattern
 from ..functions.sql import day, name as quote, number_of, say, text
 from .gates import GatePatterns, drop_signals, gate_issues, relevance_score, with_signals
-from .issues import ISSUE_TYPE, ISSUES, count_severity, found, found_sql, issue, pinned, status_of
+from .issues import (
+    ISSUE_TYPE, ISSUES, count_severity, found, found_sql, issue, pinned, status_of, without_detail,
+)
 
 LEVELS_WITH_CODES = ("full", "strict")
 
@@ -223,12 +225,16 @@ def pandas_check(check, *columns: str):
 
 def validate(df: DataFrame, level: str = "full", as_of=None, note: str | None = None,
              record_id: str = "record_id", patterns: GatePatterns = GatePatterns(),
-             extra: Sequence[Callable[[DataFrame], Column]] = ()) -> DataFrame:
+             extra: Sequence[Callable[[DataFrame], Column]] = (), detail: bool = True) -> DataFrame:
     """Adds ``_validation``: status, issues, counts and relevance score.
 
     ``full`` and ``strict`` also run the text gates over ``note``. Everything is one
-    narrow projection: no shuffle, no Python.
+    narrow projection: no shuffle, no Python. Without ``detail`` issues have their type and
+    severity alone, which is all that counts, summaries and metrics need.
     """
+    if not detail:
+        with without_detail():
+            return validate(df, level, as_of, note, record_id, patterns, extra)
     issues = record_issues(df, level, as_of, extra)
     out, relevance = df, F.lit(None).cast("double")
     if level in LEVELS_WITH_CODES and note is not None:

@@ -71,7 +71,7 @@ DQ_METRICS = " UNION ALL ".join([
 
 @query("metrics_validation", full_sql(VALIDATION_METRICS))
 def _(spark, sf_dir):
-    return shown(m.validation_metrics(m.tally(full_frame(spark, sf_dir)), _now()))
+    return shown(m.validation_metrics(m.tally(full_frame(spark, sf_dir, detail=False)), _now()))
 
 
 @query("metrics_dq", over_results(DQ_METRICS, sc=SCORES_SQL))
@@ -84,7 +84,7 @@ def _both(spark, sf_dir, names=None):
     frames = (settle(derived.records(spark, sf_dir), "records"),
               settle(derived.notes(spark, sf_dir), "notes"))
     dq = m.dq_metrics(r.score(_results(spark, sf_dir, frames=frames)), _now(), names=names)
-    checked = full_frame(spark, sf_dir, frames)
+    checked = full_frame(spark, sf_dir, frames, detail=False)
     return dq.unionByName(m.validation_metrics(m.tally(checked), _now()))
 
 

@@ -157,8 +157,7 @@ def _(spark, sf_dir):
 SELECT record_id, CASE WHEN words > 0 AND len(profanity) > 0 THEN 'blocked'
   WHEN words > 0 AND len(phi) > 0 THEN 'deidentify' ELSE 'ready' END AS route FROM sig"""))
 def _(spark, sf_dir):
-    return gated(spark, sf_dir).select(
-        "record_id", gates.gate_route(F.col("gate_issues")).alias("route"))
+    return gates.with_route(noted(spark, sf_dir), "note").select("record_id", "route")
 
 
 _REDACTED = "note"
@@ -203,11 +202,14 @@ def full_sql(body):
     return over_records(body, iss=ALL_ISSUES, st=STATUS)
 
 
-def full_frame(spark, sf_dir, frames=None):
+def joined_frame(spark, sf_dir, frames=None):
     """``frames``: records and notes that are there already."""
     records, notes = frames or (derived.records(spark, sf_dir), derived.notes(spark, sf_dir))
-    joined = join_notes(records, notes, "seq")
-    return v.validate(joined, "full", AS_OF, "note")
+    return join_notes(records, notes, "seq")
+
+
+def full_frame(spark, sf_dir, frames=None, detail=True):
+    return v.validate(joined_frame(spark, sf_dir, frames), "full", AS_OF, "note", detail=detail)
 
 
 @query("validation_summary", full_sql("""
@@ -216,21 +218,21 @@ SELECT count(*) AS total, count(*) FILTER (status = 'PASS') AS passed,
   round(count(*) FILTER (status = 'PASS') * 100.0::DOUBLE / greatest(count(*), 1), 1)
     AS quality_score FROM st"""))
 def _(spark, sf_dir):
-    return summaries.validation_summary(full_frame(spark, sf_dir)).drop("pass_rate")
+    return summaries.validation_summary(full_frame(spark, sf_dir, detail=False)).drop("pass_rate")
 
 
 @query("quality_score", full_sql("""
 SELECT round(count(*) FILTER (status = 'PASS') * 100.0::DOUBLE / greatest(count(*), 1), 1)
   AS quality_score FROM st"""))
 def _(spark, sf_dir):
-    return summaries.validation_summary(full_frame(spark, sf_dir)).select("quality_score")
+    return summaries.validation_summary(full_frame(spark, sf_dir, detail=False)).select("quality_score")
 
 
 @query("pass_rate", with_ctes("rec", """
 SELECT gender, round(count(*) FILTER (status = 'PASS') * 100.0::DOUBLE / greatest(count(*), 1), 6)
   AS pass_rate FROM rec JOIN st USING (record_id) GROUP BY gender""", st=status_sql(FULL)))
 def _(spark, sf_dir):
-    df = v.validate(derived.records(spark, sf_dir), "full", AS_OF)
+    df = v.validate(derived.records(spark, sf_dir), "full", AS_OF, detail=False)
     passed = F.count_if(F.col("_validation.status") == "PASS")
     return df.groupBy("gender").agg(F.round(
         passed * 100.0 / F.greatest(F.count("*"), F.lit(1)), 6).alias("pass_rate"))
@@ -239,7 +241,7 @@ def _(spark, sf_dir):
 @query("errors_by_type", full_sql(
     "SELECT type, count(*) AS issues FROM iss GROUP BY type"))
 def _(spark, sf_dir):
-    return summaries.errors_by_type(full_frame(spark, sf_dir))
+    return summaries.errors_by_type(full_frame(spark, sf_dir, detail=False))
 
 
 @query("gate_summary", full_sql(
@@ -248,14 +250,14 @@ def _(spark, sf_dir):
     + ", count(*) FILTER (type LIKE 'RA_%') AS total_ra_issues, "
     f"(SELECT round(avg({SCORE_SQL}), 1) FROM sig) AS avg_clinical_relevance_score FROM iss"))
 def _(spark, sf_dir):
-    return summaries.gate_summary(full_frame(spark, sf_dir))
+    return summaries.gate_summary(full_frame(spark, sf_dir, detail=False))
 
 
 @query("avg_relevance", over_records(
     f"SELECT coalesce(round(avg({SCORE_SQL}), 1), 0.0) AS avg_relevance FROM sig"))
 def _(spark, sf_dir):
-    return summaries.gate_summary(full_frame(spark, sf_dir)).select(
-        F.col("avg_clinical_relevance_score").alias("avg_relevance"))
+    return gates.with_relevance(joined_frame(spark, sf_dir), "note").agg(
+        F.coalesce(F.round(F.avg("relevance_score"), 1), F.lit(0.0)).alias("avg_relevance"))
 
 
 # --- entities -------------------------------------------------------------------------------------

@@ -362,10 +362,9 @@ def _(spark, sf_dir):
 SELECT record_id, list_contains({NAMES}, 'Warfarin') AND list_contains({NAMES}, 'Aspirin') AS both
 FROM rec WHERE medications IS NOT NULL"""))
 def _(spark, sf_dir):
-    pair = F.array(F.lit("Warfarin"), F.lit("Aspirin"))
     names = F.transform("medications", lambda m: m["name"])
     return derived.records(spark, sf_dir).where("medications is not null").select(
-        "record_id", (F.size(F.array_except(pair, names)) == 0).alias("both"))
+        "record_id", joins.holds_all(names, ["Warfarin", "Aspirin"]).alias("both"))
 
 
 @query("lookup_default", with_ctes("rec", f"""

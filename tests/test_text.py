@@ -221,3 +221,27 @@ def test_rows_of_a_hot_group_are_numbered(spark):
         assert [x for _, x in mine] == sorted(x for h, x in rows if h == g)
     assert sorted(r["position"] for r in number_rows(df, [], ["x"]).collect()) == \
         list(range(1, 601))
+
+
+def test_route_and_types_alone_equal_full_checks(spark):
+    from assayframe.operators import validation as v
+    from assayframe.plans import derived, text_queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    noted = text_queries.noted(spark, sf_dir)
+    full = gates.with_gates(noted, "note", "record_id").select(
+        "record_id", gates.gate_route(F.col("gate_issues")).alias("route"))
+    assert sorted(full.collect()) == sorted(
+        gates.with_route(noted, "note").select("record_id", "route").collect())
+    joined = text_queries.joined_frame(spark, sf_dir)
+
+    def told(detail):
+        out = v.validate(joined, "strict", derived.AS_OF, "note", detail=detail)
+        return sorted(map(str, out.select(
+            "record_id", "_validation.status", "_validation.error_count",
+            "_validation.warning_count", "_validation.relevance_score", F.transform(
+                "_validation.issues", lambda i: F.concat(i["type"], i["severity"]))).collect()))
+
+    assert told(True) == told(False)
+    assert v.validate(joined, "full", derived.AS_OF, "note").schema == \
+        v.validate(joined, "full", derived.AS_OF, "note", detail=False).schema
