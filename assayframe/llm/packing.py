@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from assayframe.session import settle
 
+from . import simhash
+
 #: Words of a bin, and pieces of a shard on average.
 CAPACITY, SHARD = 2048, 1500
 
@@ -57,9 +59,36 @@ def best_fit(pieces: list[tuple[int, object, object]], capacity: int) -> list[in
     return out
 
 
+def _word_count(text: str):
+    return F.size(_words(text)).cast("long")
+
+
+def _words(text: str):
+    return F.expr(f"filter(split(coalesce(`{text}`, ''), '[ \\\\t\\\\n\\\\x0B\\\\f\\\\r]+'), "
+                  "x -> x != '')")
+
+
+def pack_apart(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
+               **options) -> DataFrame:
+    """``pack`` with near duplicates (SimHash groups) as clusters, so that no bin holds two copies
+    of a text, however it was changed a little. Texts are read in two narrow passes; only keys,
+    sizes and groups are shuffled."""
+    near = simhash.near_duplicates(docs, text, key).select(
+        F.col(key).alias("near_key"), F.col("print").alias("near_print"), "root").distinct()
+    sized = docs.select(
+        docs[key].cast("long").alias(key), docs[source].cast("string").alias(source),
+        F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("print"),
+        _word_count(text).alias("total"))
+    joined = sized.join(near, F.col(key).eqNullSafe(F.col("near_key"))
+                        & (F.col("print") == F.col("near_print")), "left")
+    return pack(joined, text=text, key=key, source=source, size=F.col("total"),
+                cluster=F.when(F.col("total") > 0, F.col("root")), **options)
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, text: str = "text",
          key: str = "doc_id", source: str = "source", size=None, cluster=None) -> DataFrame:
-    """One row per piece: key, piece, copy, start, size, shard, bin, bin_id.
+    """One row per piece: key, piece, copy, start, size, shard, bin, bin_id. "Tightest" is that of
+    a shard's bins.
 
     ``size``: a column of whole numbers (default: the text's words, split at white space);
     ``cluster``: a column that is equal for duplicates (default: a hash of the words, in lower
@@ -70,13 +99,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, text: st
     """
     if capacity < 1 or shard < 1:
         raise ValueError("capacity and shard are at least 1")
-    words = F.expr(f"filter(split(coalesce(`{text}`, ''), '[ \\\\t\\\\n\\\\x0B\\\\f\\\\r]+'), x -> x != '')")
-    count = F.size(words).cast("long") if size is None else F.greatest(
+    count = _word_count(text) if size is None else F.greatest(
         F.coalesce(size.cast("long"), F.lit(0)), F.lit(0))
-    group = F.when(F.size(words) > 0, F.xxhash64(F.lower(F.array_join(words, " ")))) \
-        if cluster is None else F.xxhash64(cluster)
-    if cluster is not None:
-        group = F.when(cluster.isNotNull(), group)
+    if cluster is None:
+        words = _words(text)
+        group = F.when(F.size(words) > 0, F.xxhash64(F.lower(F.array_join(words, " "))))
+    else:
+        group = F.when(cluster.isNotNull(), F.xxhash64(cluster))
     rows = docs.select(docs[key].cast("long").alias("key"),
                        docs[source].cast("string").alias("source"),
                        group.alias("cluster"), count.alias("total"))

@@ -131,7 +131,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_best_fit")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack_apart(table(spark, sf_dir, "documents"))
 
 
 @query("op10_toxicity_cnn")

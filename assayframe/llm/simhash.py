@@ -6,10 +6,11 @@ Hamming ball of each half (the half and its one-bit changes) is enumerated and l
 the tables of halves; complete distances are verified on what meets. Of two halves one bit
 apart one has the bit set: clearing set bits on either side is enough.
 
-Equal fingerprints are one node. Buckets of more than ``BUCKET`` nodes are split again by the
-other half's quarters (of at most three bits there, a quarter has one at most), so 48 bits are
-fixed and a bucket holds 65,536 nodes at most, whatever the input. Buckets yield a spanning
-forest of their links, not their pairs.
+Equal fingerprints are one node, so copies don't fill a bucket. Buckets of more than ``BUCKET``
+nodes are split again by the other half's quarters (of at most three bits there, a quarter has one
+at most). A split bucket holds values of the half that are its key or have one more bit set (33 at
+most), of the quarter likewise (17), and any of the last quarter (65,536): 36.8 million nodes of 8
+bytes at most, whatever the input. Buckets yield a spanning forest of their links, not their pairs.
 """
 
 from __future__ import annotations

@@ -401,3 +401,35 @@ def test_hinge_loss_is_minimised():
     dual = alpha.sum() - 0.5 * weight @ weight
     assert 0 <= alpha.min() and alpha.max() <= cost
     assert primal - dual < 1e-2 * primal
+
+
+# --- packing -------------------------------------------------------------------------------
+
+def test_copies_and_sources_keep_apart(frame, corpus):
+    from assayframe.llm import packing, simhash
+
+    rng = np.random.default_rng(4)
+    base = [" ".join(f"w{rng.integers(500)}" for _ in range(60)) for _ in range(12)]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(base)]
+    rows += [(100 + i, t.upper(), f"t{i}") for i, t in enumerate(base)]
+    rows += [(200 + i, t.replace("w", "v", 1), f"u{i}") for i, t in enumerate(base)]
+    rows += [(300 + i, None, f"x{i}") for i in range(6)] + [(400, base[0], "s1"), (400, base[0], "s1")]
+    df = frame(rows)
+    out = packing.pack_apart(df, capacity=200, shard=10_000).collect()
+    words = {k: len((t or "").split()) for k, t, _ in rows}
+    total = collections.Counter()
+    for r in out:
+        total[r["doc_id"], r["copy"]] += r["size"]
+    assert total == {(k, c): words[k] for k, c in [(k, 0) for k in words] + [(400, 1)]}
+    group = {r["doc_id"]: r["root"] for r in simhash.near_duplicates(df).collect()}
+    assert len({group[i] for i in range(12)}) > 6
+    source, bins = {k: s for k, _, s in rows}, collections.defaultdict(list)
+    for r in out:
+        bins[r["bin_id"]].append(r)
+    for held in bins.values():
+        assert sum(r["size"] for r in held) <= 200
+        told = [group[r["doc_id"]] for r in held if r["size"]]
+        assert len(told) == len(set(told))
+        seen = [source[r["doc_id"]] for r in held]
+        assert len(seen) == len(set(seen))
+    assert packing.pack_apart(frame([])).count() == 0
