@@ -654,3 +654,31 @@ WINDOW w AS (PARTITION BY table_name ORDER BY run_id)""")
 def _(spark, sf_dir):
     return an.score_trend(_scores(spark, sf_dir)).select(
         "table_name", "run_id", "score", "previous", F.round("change", 4).alias("change"))
+
+
+_GOVERNED = [r.value_range("o_totalprice", 0, 480000), r.unique("o_orderkey"),
+             r.values_in("o_orderstatus", ["F", "O", "P"]), r.row_count(least=100)]
+
+
+@query("governed_run", """
+WITH k AS (SELECT unnest([0, 1, 2]) AS k), p AS (
+  SELECT k, count(*) FILTER (o_totalprice NOT BETWEEN 0 AND 480000) = 0 AS a,
+    count(*) = count(DISTINCT o_orderkey) AS b,
+    count(*) FILTER (o_orderstatus NOT IN ('F', 'O', 'P')) = 0 AS c, count(*) >= 100 AS d
+  FROM orders JOIN k ON o_orderkey % 3 <= k GROUP BY k),
+n AS (SELECT k, a::BIGINT + b::BIGINT + c::BIGINT + d::BIGINT AS passed FROM p)
+SELECT 'run-' || k AS run_id, passed AS rules_passed, CAST(4 AS BIGINT) AS total_rules,
+  CASE WHEN passed >= 3.6 THEN 'pass' ELSE 'quarantine' END AS decision FROM n""")
+def _(spark, sf_dir):
+    """A table that grows by a third a run; each run is ruled, observed, decided and metered."""
+    from . import jobs
+
+    path, folder = fresh_path(spark, "governed-table"), fresh_path(spark, "governed")
+    orders, out = table(spark, sf_dir, "orders"), None
+    for k in range(3):
+        orders.where(F.col("o_orderkey") % 3 == k).write.mode("append").parquet(path)
+        one = jobs.governed_run(
+            spark, path, _GOVERNED, "orders", folder, f"run-{k}", f"2024-01-0{k + 1} 00:00:00",
+            watched=[an.Analyzer("mean", "o_totalprice")])
+        out = one if out is None else out.unionByName(one)
+    return out.select("run_id", "rules_passed", "total_rules", "decision")

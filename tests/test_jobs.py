@@ -39,3 +39,37 @@ def test_validation_then_payloads(spark, tmp_path):
     by_name = {x["name"]: x["value"] for x in metrics.collect()}
     assert by_name["Validation_ErrorCount"] == kept.count() - good
     assert spark.read.parquet(str(tmp_path / "v/clean")).count() == good
+
+
+def test_governed_run_goes_on_from_the_last(spark, tmp_path):
+    from assayframe.operators import rules as r
+    from assayframe.operators.analyzers import Analyzer
+    from assayframe.operators.metrics import Alarm
+    from assayframe.plans import jobs
+    from assayframe.sources import metric_sink as ms
+
+    path, folder = str(tmp_path / "t"), str(tmp_path / "runs")
+    ruleset = [r.value_range("v", 0, 10), r.row_count(least=1)]
+    alarms = [Alarm("low", "GlueDQ_OverallScore", {}, "Average", "<", 80.0, 1, 86400)]
+
+    def run(i):
+        return jobs.governed_run(spark, path, ruleset, "t", folder, f"r{i}",
+                                 f"2024-01-0{i + 1} 00:00:00", [Analyzer("mean", "v")], alarms,
+                                 least_runs=2).first()
+
+    got = []
+    for i, value in enumerate([1.0, 1.0, 1.0, 99.0]):
+        spark.createDataFrame([(value,)] * 3, "v double").coalesce(1).write.mode("append").parquet(path)
+        got.append(run(i))
+    assert [(x["run_id"], x["decision"], x["observations"]) for x in got] == [
+        ("r0", "pass", 0), ("r1", "pass", 0), ("r2", "pass", 0), ("r3", "quarantine", 1)]
+    seen = spark.read.parquet(f"{folder}/reviews/run=r3").first()
+    assert seen["actual"] == 25.5 and seen["lower"] == seen["upper"] == 1.0
+    sent = ms.read_metric_groups(spark, f"{folder}/metrics")
+    before = sum(x["metric_count"] for x in sent.collect())
+    changes = spark.read.parquet(f"{folder}/alarm-changes").orderBy("period_start").collect()
+    assert [(x["alarm"], x["state"]) for x in changes] == [("low", "OK"), ("low", "ALARM")]
+    again = run(4)  # nothing has changed: the last decision, and nothing is sent
+    assert again == got[-1]
+    assert sum(x["metric_count"] for x in ms.read_metric_groups(spark, f"{folder}/metrics")
+               .collect()) == before
