@@ -433,3 +433,15 @@ def test_copies_and_sources_keep_apart(frame, corpus):
         seen = [source[r["doc_id"]] for r in held]
         assert len(seen) == len(set(seen))
     assert packing.pack_apart(frame([])).count() == 0
+
+
+def test_keep_one_carries_columns_of_any_name(spark):
+    from assayframe.llm import simhash
+
+    rows = [(2, "a b c d e", "mine", "yours", 1), (1, "a b c d e", "kept", "too", 2),
+            (5, None, "empty", None, 3), (4, "", "first", "x", 4), (None, "other words here now", "z", "", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, near_key string, near_text string, row int")
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [rows[1], rows[3], rows[4]], key=str)
