@@ -158,3 +158,45 @@ def test_quality_counts_all_labelled(spark, frame, monkeypatch):
     quality.classify(frame(rows), labels)
     assert sorted(r["key"] for r in seen[0]) == free
     assert min(sum(i % 2 == c for i in free) for c in (0, 1)) > 2500
+
+
+def test_toxicity_counts_all_labelled(spark, frame, monkeypatch):
+    """Classes of over 3,000 free labelled rows are fitted on whole, in several shards."""
+    rows = [(i, f"w{i % 97} {'knave' if i % 2 else 'kin'} w{i % 13}") for i in range(9000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9000)], "doc_id long, toxic int")
+    free = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    keys, counts = [], []
+    real, counted = toxicity.train, toxicity._counted
+    monkeypatch.setattr(toxicity, "train",
+                        lambda s: keys.append(s.select("key").collect()) or real(s))
+    monkeypatch.setattr(toxicity, "_counted", lambda s: counts.append(counted(s)) or counts[-1])
+    out = toxicity.classify(frame(rows), labels).collect()
+    assert sorted(r["key"] for r in keys[0]) == free and len(free) > toxicity.SHARD
+    assert min(sum(i % 2 == c for i in free) for c in (0, 1)) > 3000
+    seen, many, apart = counts[0]
+    assert list(many + apart) == [sum(i % 2 == c for i in free) for c in (0, 1)]
+    slot = toxicity.slots_of(toxicity._hashes_of("knave"))[0]
+    assert list(seen[0, :, slot]) == [0, many[1]]
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in out)
+
+
+def test_toxicity_in_shards(spark, frame, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 150)
+    test_toxicity(spark, frame)
+
+
+def test_limits_of_all_rows(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(3), y := int(rnd.random() < 0.3), round(rnd.gauss(y, 1), 2))
+            for _ in range(800)] + [(3, 1, 0.5)] * 30
+    common, own = toxicity._limits(spark.createDataFrame(rows, "lang int, label long, z double"))
+    assert sorted(own) == [0, 1, 2]
+    for limit, some in [(common, rows), *[(own[k], [r for r in rows if r[0] == k]) for k in own]]:
+        z, y = np.array([r[2] for r in some]), np.array([r[1] for r in some])
+
+        def errors(cut):
+            return (z[y == 1] < cut).mean() + toxicity.CAUTION * (z[y == 0] >= cut).mean()
+
+        cuts = np.unique(z)
+        want = min(errors(c) for c in [*cuts, cuts[-1] + 1])
+        assert errors(limit) == pytest.approx(want) and not np.isin(limit, z)
