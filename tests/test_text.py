@@ -245,3 +245,31 @@ def test_route_and_types_alone_equal_full_checks(spark):
     assert told(True) == told(False)
     assert v.validate(joined, "full", derived.AS_OF, "note").schema == \
         v.validate(joined, "full", derived.AS_OF, "note", detail=False).schema
+
+
+def test_counts_keep_no_matches(spark):
+    """Words, letters and sentences are counted without an array of matches, and alike."""
+    signals = gates.text_signals(F.col("note"))
+    for name in ("words", "letters", "sentences"):
+        plan = spark.createDataFrame([("a",)], "note string").select(
+            signals[name])._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in plan and "regexp_replace" not in plan
+    texts = [None, "", " ", " \n\x1c ", "a", " a ", "a b c\x1fd", "...", "a. b!? c", "😀 é1-2 ß",
+             "١٢ x", "́a"]
+    got = spark.createDataFrame([(t,) for t in texts], "note string").select(
+        "note", signals["words"], signals["letters"], signals["sentences"]).collect()
+    for note, words, letters, sentences in got:
+        note = note or ""
+        assert words == len(note.split()), repr(note)
+        assert letters == sum(c.isalpha() or c.isspace() for c in note), repr(note)
+        assert sentences == len(re.findall("[.!?]+", note)) + 1, repr(note)
+
+
+def test_words_after_optional_parts_are_told_early(spark):
+    pattern = by_first_letter(fv.BIAS_PATTERN)
+    assert pattern.startswith("(?=(?-i:[") and pattern.endswith(fv.BIAS_PATTERN)
+    notes_ = ["an unreliable historian", "Reliable reporter", "ſhe claims pain", "éhe claims pain",
+              "x_he alleges pain", "-HE alleges symptoms", "oKay obese lazy"]
+    got = spark.createDataFrame([(n,) for n in notes_], "note string").select(
+        F.size(gates.find_words(F.col("note"), fv.BIAS_PATTERN))).collect()
+    assert [r[0] for r in got] == [1, 1, 1, 0, 0, 1, 1]
