@@ -73,3 +73,16 @@ def test_governed_run_goes_on_from_the_last(spark, tmp_path):
     assert again == got[-1]
     assert sum(x["metric_count"] for x in ms.read_metric_groups(spark, f"{folder}/metrics")
                .collect()) == before
+
+
+def test_code_of_records_can_be_compiled(spark, capsys):
+    """The JVM leaves methods of over 8,000 bytes of code uncompiled."""
+    import re
+
+    from assayframe.plans import derived
+    orders = spark.range(100).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus",
+        "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate")
+    derived.records_of(orders).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
