@@ -1,9 +1,18 @@
-"""Labelled rows that the classifiers are fitted on: all of them, or a bounded sample."""
+"""Labelled rows that the classifiers are fitted on, all of them or a bounded sample, and the
+pass that scores texts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .text import slices
+
+#: Bytes of texts that a classifier takes at once: it makes some 25 bytes of each.
+SCORED_BYTES = 500_000
 
 #: Columns that a classifier adds.
 NAMES = ("held_out", "score", "predicted")
@@ -51,3 +60,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, mo
     found = docs.select(docs[key].alias("_doc"), F.coalesce(docs[text], F.lit("")).alias("_text")) \
         .join(F.broadcast(chosen), F.expr("_doc = _key"))
     return _one_each(found)
+
+
+def add_score(docs: DataFrame, text: str, name: str,
+              score: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``docs`` and a double column more, ``score`` of the bytes and offsets of a slice of texts.
+    Rows are sent back slice by slice, so neither side holds a batch's texts again."""
+    place, names = docs.columns.index(text), [*docs.columns, name]
+
+    def run(batches):
+        for batch in batches:
+            for row, data, at in slices(batch.column(place), SCORED_BYTES):
+                part = batch.slice(row, len(at) - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(score(data, at), pa.float64())], names=names)
+
+    return docs.mapInArrow(run, docs.withColumn(name, F.lit(0.0)).schema)

@@ -17,9 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from assayframe.session import settle
+from assayframe.session import bound_batches, settle
 
-from .fitting import NAMES, labelled_sample, remainder
+from .fitting import NAMES, SCORED_BYTES, add_score, labelled_sample, remainder
 from .text import Words, gram_hashes, map_arrow, mix, slices
 
 #: Buckets of hashed indicators; labelled rows of each class that the model is fitted on, and
@@ -169,7 +169,7 @@ def read_sample(sample: DataFrame, entries: int = ENTRIES) -> Sample:
     the first rows that hold up to ``entries`` indicators together."""
 
     def run(batch: pa.RecordBatch):
-        for row, data, at in slices(batch.column(1)):
+        for row, data, at in slices(batch.column(1), SCORED_BYTES):
             doc, bucket = features(data, at)
             first = np.searchsorted(doc, np.arange(len(at)))
             part = slice(row, row + len(at) - 1)
@@ -228,25 +228,19 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", key: st
     scored from their length alone. Without labels of both classes every score is the same
     (0.5 without any). Columns of these names in ``docs`` are replaced.
     """
+    bound_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, key, modulus, held, per_class, text)
     weight, slope, shift = train(sample)
     columns = [c for c in docs.columns if c not in names]
     base = docs.select(*[docs[c] for c in columns])
-    place = columns.index(text)
 
-    def run(batch: pa.RecordBatch):
-        scores = []
-        for _, data, at in slices(batch.column(place)):
-            rows, index = features(data, at)
-            n = len(at) - 1
-            total = np.bincount(rows, weight[0][index], n)
-            norm = np.sqrt(np.maximum(np.bincount(rows, weight[1][index], n), 1e-12))
-            scores.append(1 / (1 + np.exp(-np.clip(slope * total / norm + shift, -30, 30))))
-        score = np.concatenate(scores) if scores else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)],
-                                         names=[*columns, names[1]])
-
-    schema = base.withColumn(names[1], F.lit(0.0)).schema
-    scored = base.mapInArrow(lambda batches: (o for b in batches for o in run(b)), schema)
+    def score(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        rows, index = features(data, at)
+        n = len(at) - 1
+        total = np.bincount(rows, weight[0][index], n)
+        norm = np.sqrt(np.maximum(np.bincount(rows, weight[1][index], n), 1e-12))
+        return 1 / (1 + np.exp(-np.clip(slope * total / norm + shift, -30, 30)))
+
+    scored = add_score(base, text, names[1], score)
     return scored.select(*columns, (remainder(key, modulus) == held).alias(names[0]), names[1],
                          (F.col(names[1]) >= threshold).cast("int").alias(names[2]))

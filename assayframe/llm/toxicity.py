@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import settle
-from .fitting import NAMES, labelled_rows, remainder
+from ..session import bound_batches, settle
+from .fitting import NAMES, SCORED_BYTES, add_score, labelled_rows, remainder
 from .text import Words, map_arrow, slices
 
 #: First bytes of a word that a table hashes (None: all), rows per table, columns per row,
@@ -295,14 +295,15 @@ def _shards(rows: DataFrame) -> DataFrame:
     shard = F.pmod(F.xxhash64("key"), F.lit(many))
     held = F.sort_array(F.collect_list(F.struct("key", "label", "text")))
     return settle(rows.groupBy(shard.alias("shard")).agg(held.alias("rows")).select(
-        "shard", F.col("rows.label").alias("label"), F.col("rows.text").alias("text")), "shards")
+        "shard", F.col("rows.label").alias("label"), F.col("rows.text").alias("text")), "shards",
+        codec="zstd")
 
 
 def _each_shard(batch: pa.RecordBatch):
     """(shard, slots of each text, labels, languages, flags of the rows set apart)."""
     for i, shard in enumerate(batch.column(0).to_pylist()):
         texts, langs = [], []
-        for _, data, at in slices(batch.column(2)[i].values):
+        for _, data, at in slices(batch.column(2)[i].values, SCORED_BYTES):
             hashes, slots, first = words_of(data, at)
             texts += [slots[:, i:j].astype(np.int32)
                       for i, j in zip(first[:-1], first[1:], strict=True)]
@@ -431,23 +432,18 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str
     labels of both classes every score is the same. Columns of these names in ``docs`` are
     replaced.
     """
+    bound_batches(docs.sparkSession)
     net, limits = train(labelled_rows(docs, labels, label, key, modulus, held, text))
     columns = [c for c in docs.columns if c not in names]
     base = docs.select(*[docs[c] for c in columns])
-    place, aim = columns.index(text), float(np.log(threshold / (1 - threshold)))
+    aim = float(np.log(threshold / (1 - threshold)))
 
-    def run(batch: pa.RecordBatch):
-        scores = []
-        for _, data, at in slices(batch.column(place)):
-            hashes, slots, first = words_of(data, at)
-            z = net.logits(slots, first) if net is not None else np.zeros(len(at) - 1)
-            z = z - limits[language_of(hashes, first)] + aim
-            scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-        score = np.concatenate(scores) if scores else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)],
-                                         names=[*columns, names[1]])
-
-    schema = base.withColumn(names[1], F.lit(0.0)).schema
-    scored = base.mapInArrow(lambda batches: (o for b in batches for o in run(b)), schema)
+    def score(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        hashes, slots, first = words_of(data, at)
+        z = net.logits(slots, first) if net is not None else np.zeros(len(at) - 1)
+        z = z - limits[language_of(hashes, first)] + aim
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    scored = add_score(base, text, names[1], score)
     return scored.select(*columns, (remainder(key, modulus) == held).alias(names[0]), names[1],
                          (F.col(names[1]) >= threshold).cast("int").alias(names[2]))

@@ -5,9 +5,10 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from assayframe.llm import gridjoin, quality, toxicity, vafile
+from assayframe.llm import fitting, gridjoin, quality, toxicity, vafile
 
 
 @pytest.fixture(scope="module")
@@ -200,3 +201,44 @@ def test_limits_of_all_rows(spark):
         cuts = np.unique(z)
         want = min(errors(c) for c in [*cuts, cuts[-1] + 1])
         assert errors(limit) == pytest.approx(want) and not np.isin(limit, z)
+
+
+@pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_batches_are_bounded(spark, frame, module, label):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = frame([(i, "many words " * 600) for i in range(1500)]).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    given = spark.conf.get(key)
+    try:
+        for own in (None, "1m"):
+            spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+            labels = spark.createDataFrame([], f"doc_id long, {label} int")
+            assert module.classify(docs, labels).count() == 1500
+            seen = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+            assert sum(r["rows"] for r in seen) == 1500
+            assert max(r["bytes"] for r in seen) < (5e6 if own is None else 1.3e6)
+    finally:
+        spark.conf.set(key, given)
+
+
+def test_add_score_takes_slices(spark, frame):
+    texts = ["a few words " * 100] * 1000 + ["long " * 200_000, None, "", "end"]
+    docs = frame(list(enumerate(texts))).coalesce(1)
+    out = fitting.add_score(docs, "text", "size", lambda data, at: np.full(len(at) - 1, len(data)))
+    assert out.columns == [*docs.columns, "size"]
+    got = {r["doc_id"]: (r["text"], r["size"]) for r in out.collect()}
+    assert [got[i][0] for i in range(len(texts))] == texts
+    assert got[1000][1] == 1_000_000
+    assert all(size <= fitting.SCORED_BYTES for i, (_, size) in got.items() if i != 1000)
+    assert out.where("doc_id < 0").count() == 0
+
+
+def test_shards_are_written_by_a_codec_that_streams(spark):
+    rows = [(i, f"w{i}", i % 2) for i in range(30)]
+    shards = toxicity._shards(spark.createDataFrame(rows, "key long, text string, label int"))
+    assert sorted(t for r in shards.collect() for t in r["text"]) == sorted(r[1] for r in rows)
+    assert all(f.endswith(".zstd.parquet") for f in shards.inputFiles()) and shards.inputFiles()
