@@ -155,7 +155,9 @@ def near_links(nodes: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> Data
         raise ValueError("halves and one-bit balls find links of up to three bits")
     probes = _probes(nodes)
     size = probes.groupBy("seg", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = settle(probes.join(size, ["seg", "key"]), "probes")
+    # Spark sizes either side like the fingerprints, which become some 30 rows each, and would
+    # broadcast one from the driver.
+    met = settle(probes.hint("merge").join(size, ["seg", "key"]), "probes")
     cold = met.where(F.col("n") <= bucket).groupBy("seg", "key")
     fine = _finer(met.where(F.col("n") > bucket)).groupBy("seg", "key")
     links = [_bucket_links(g.agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1"), bits)
@@ -174,14 +176,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     """
     prints = settle(fingerprints(docs, text, key, shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min(key).alias("least"))
-    roots = components(near_links(nodes, bits), "near")
+    # Joins by merging: tables with a row per fingerprint are several times their files' size in
+    # memory, and below Spark's limit by those would be broadcast.
+    roots = components(near_links(nodes, bits), "near").hint("merge")
     placed = settle(nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")), "placed")
     # Written first: adaptive execution splits a hot key only between two plain exchanges.
     ids = settle(placed.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    of = settle(placed.join(ids, "root").select(F.col("fp").alias("node"), "root",
-                                                "component_id"), "of")
-    return prints.join(of, prints["fp"] == of["node"]).select(
+    of = settle(placed.join(ids.hint("merge"), "root").select(F.col("fp").alias("node"), "root",
+                                                                   "component_id"), "of")
+    return prints.join(of.hint("merge"), prints["fp"] == of["node"]).select(
         key, "print", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
 
 

@@ -134,6 +134,24 @@ def test_simhash(frame, corpus):
     assert simhash.keep_one(frame([])).count() == 0
 
 
+def test_simhash_broadcasts_no_fingerprints(frame, monkeypatch):
+    # A fingerprint becomes some 30 probes, of which Spark's estimate knows nothing.
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    plans, settle = {}, simhash.settle
+    monkeypatch.setattr(simhash, "settle", lambda df, name: (
+        plans.update({name: plan(df)}), settle(df, name))[1])
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(1, 9)]
+    rows += [(20, rows[0][1]), (None, rows[1][1])]
+    out = simhash.near_duplicates(frame(rows))
+    plans["result"] = plan(out)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} \
+        == {i: i for i in range(1, 9)} | {20: 1, None: 2}
+    for name in ("probes", "placed", "of", "result"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name], name
+
+
 @pytest.mark.parametrize("bucket", [1024, 3])
 def test_near_links(spark, bucket):
     rng = np.random.default_rng(4)
