@@ -94,7 +94,10 @@ def evaluate(spark: SparkSession, path: str, ruleset: Sequence[Rule], table_name
         if last["ruleset"] == ruleset_print(ruleset, T.StructType.fromJson(
                 json.loads(last["schema"]))):
             return results_of(spark, folder, last["run_id"])
-    schema = spark.read.format(fmt).load(path).schema
+    try:
+        schema = spark.read.format(fmt).load(path).schema
+    except AnalysisException:  # read from one file, which may be an old one that is corrupt by now
+        schema = spark.read.format(fmt).option("mergeSchema", True).load(path).schema
     asked = ruleset_print(ruleset, schema)
     states, keys = _known(spark, folder, table_name, asked)
     fresh = files if states is None else files.join(

@@ -88,6 +88,26 @@ def test_old_files_are_not_read(spark, table):
     assert shown(got) == shown(r.evaluate(want, rules, "t"))
 
 
+def test_schema_is_found_behind_a_corrupt_file(spark, table):
+    path, folder, add = table
+    rules = [x for x in RULES if not x.sql]
+    add(40)
+    [old] = glob.glob(f"{path}/*.parquet")
+    os.rename(old, f"{path}/part-0.parquet")  # the first by name, of which Spark reads the footer
+    ledger.evaluate(spark, path, rules, "t", folder, "one")
+    full = spark.createDataFrame(spark.read.parquet(path).collect(), SCHEMA)
+    spoil(path)
+    add(15)
+    [new] = glob.glob(f"{path}/part-00000*.parquet")
+    want = full.unionByName(spark.read.schema(SCHEMA).parquet(new))
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        got = ledger.evaluate(spark, path, rules, "t", folder, "two")
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+    assert shown(got) == shown(r.evaluate(want, rules, "t"))
+
+
 def test_run_that_ended_midway_does_not_count(spark, table):
     path, folder, add = table
     add(20)
